@@ -36,8 +36,7 @@ def apply_patch(
     change = edits.select(*keys, F.struct("action", *sorted(patched)).alias("_chg"))
 
     base = source.select(*keys, *kept)
-    same = reduce(Column.__and__, [base[k].eqNullSafe(change[k]) for k in keys])
-    joined = base.join(change, same, "left").drop(*[change[k] for k in keys])
+    joined = null_safe(base, change, keys, "left")
     hit = F.coalesce(F.col("_chg.action"), F.lit(""))
     cells = []
     for c in kept:

@@ -94,6 +94,11 @@ def skew_join(
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Join on equal keys where NULL equals NULL; semi and anti joins included."""
-    condition = reduce(Column.__and__, [left[k].eqNullSafe(right[k]) for k in keys])
-    return left.join(right, condition, how)
+    """Join on equal keys where NULL equals NULL; semi and anti joins included.
+
+    The right keys are renamed first, so two versions of one table never confuse their
+    columns; the result has the left keys.
+    """
+    theirs = {k: f"_r_{k}" for k in keys}
+    condition = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(theirs[k])) for k in keys])
+    return left.join(right.withColumnsRenamed(theirs), condition, how).drop(*theirs.values())
