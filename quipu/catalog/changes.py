@@ -181,6 +181,7 @@ _SIDES = (
 )
 def d3(m):
     """Sales and receipts by day and office; a repeated key links nothing."""
+    m.land()
     a = m.raw("ventas").select(F.col("fecha_venta").alias("fecha"), "oficina_id", F.col("venta_id").alias("id"))
     b = m.raw("recepciones").select(F.col("fecha_recepcion").alias("fecha"), "oficina_id", F.col("recepcion_id").alias("id"))
     pairs = rows.align_by_key(a, b, ["fecha", "oficina_id"])

@@ -38,6 +38,7 @@ def j3(m):
     "select recepcion_id, serie, fecha_venta from recepciones left join productos using (producto_id) left join (select recepcion_id, fecha_venta from ventas) v using (recepcion_id)",
 )
 def j4(m):
+    m.land()
     rows = layered.receipts_with_sale(m.stg("recepciones"), m.stg("ventas"), m.stg("productos"))
     return rows.select("recepcion_id", "serie", "fecha_venta")
 
@@ -47,6 +48,7 @@ def j4(m):
     "select venta_id, dtiem_id, dofic_id, dest_id from stg_ventas v left join productos using (producto_id) left join dim_tiempo t on t.fecha = v.fecha_venta left join dim_oficina using (oficina_id) left join dim_estado e on e.lote_serie = serie",
 )
 def j5(m):
+    m.land()
     series = m.stg("productos").select("producto_id", "serie")
     rows = left_join_unique(m.stg("ventas"), series, "producto_id", ["venta_id"])
     rows = layered.join_series(rows, m.dim_estado, "serie", ["venta_id"])
@@ -88,6 +90,7 @@ def j9(m):
 
 @query("j10_join_own_aggregate", "select venta_id, ing::decimal(22,2) as ingresos_oficina from enriched join office_income using (oficina_id)")
 def j10(m):
+    m.land()
     offices = m.enriched.groupBy(F.col("oficina_id").alias("_of")).agg(F.sum("monto_calculado").alias("ingresos_oficina"))
     rows = m.enriched.join(offices, F.col("oficina_id") == F.col("_of"))
     return rows.select("venta_id", "ingresos_oficina")
@@ -171,6 +174,7 @@ def j17(m):
     "on a.fecha_venta = b.fecha_recepcion and a.oficina_id = b.oficina_id where a.n = 1 and b.n = 1",
 )
 def j18(m):
+    m.land()
     a = m.raw("ventas").select(F.col("fecha_venta").alias("fecha"), "oficina_id", "venta_id")
     b = m.raw("recepciones").select(F.col("fecha_recepcion").alias("fecha"), "oficina_id", "recepcion_id")
     rows = link_unique(a, b, ["fecha", "oficina_id"])

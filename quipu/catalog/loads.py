@@ -32,6 +32,7 @@ def model_reference(m):
     "union all select 'productos', count(*) from productos union all select 'ventas', count(*) from ventas",
 )
 def snapshot_copy(m):
+    m.land()
     names = ["activaciones", "metas", "productos", "ventas"]
     copies = sinks.snapshot_copy({n: m.raw(n) for n in names}, scratch_path(m.spark, "mirror"))
     rows = [copies[n].agg(F.count("*").alias("filas")).select(F.lit(n).alias("tabla"), "filas") for n in names]
@@ -48,6 +49,7 @@ def full_refresh(m):
 @query("s5_incremental_append", "select * from ventas")
 def incremental_append(m):
     """Three loads; each brings what the source had by then, only newer sales arrive."""
+    m.land()
     path = scratch_path(m.spark, "ventas")
     source = m.raw("ventas")
     for until in ("1994-06-30", "1996-12-31", "9999-12-31"):
@@ -203,7 +205,7 @@ def post_load_update(m):
 
 
 def _scripted_sales(m):
-    view = scripted.vw_ventas_enriched(*[m.raw(t) for t in ("ventas", "recepciones", "activaciones", "productos")])
+    view = scripted.vw_ventas_enriched(*[m.land().raw(t) for t in ("ventas", "recepciones", "activaciones", "productos")])
     office = scripted.dim_oficina(scripted.empty_dim(m.spark, "dim_oficina"), m.raw("oficinas"))
     state = scripted.dim_estado(m.raw("recepciones"), m.raw("productos"))
     return scripted.hecho_ventas(view, office, state)

@@ -46,12 +46,13 @@ def scripted_dims(m):
 
 @query("x5_hecho_ventas", "select * from hecho_ventas")
 def hecho_ventas(m):
-    view = scripted.vw_ventas_enriched(*[m.raw(t) for t in RAW4])
+    view = scripted.vw_ventas_enriched(*[m.land().raw(t) for t in RAW4])
     return scripted.hecho_ventas(view, *scripted_dims(m))
 
 
 @query("x6_hecho_inventario", "select * from hecho_inventario")
 def hecho_inventario(m):
+    m.land()
     return scripted.hecho_inventario(m.raw("recepciones"), m.raw("productos"), m.raw("ventas"), *scripted_dims(m))
 
 
@@ -66,6 +67,7 @@ def hecho_canal(m):
 
 @query("x8_hecho_desempeno", "select * from hecho_desempeno")
 def hecho_desempeno(m):
+    m.land()
     sellers = scripted.dim_asesor_pdv(
         scripted.empty_dim(m.spark, "dim_asesor_pdv"), m.raw("vendedores"), m.raw("asesores")
     )
@@ -76,16 +78,18 @@ def hecho_desempeno(m):
 
 @query("x10_vw_enriched", "select * from vw_enriched")
 def vw_enriched(m):
-    return scripted.vw_ventas_enriched(*[m.raw(t) for t in RAW4])
+    return scripted.vw_ventas_enriched(*[m.land().raw(t) for t in RAW4])
 
 
 @query("x11_vw_received", "select * from vw_received")
 def vw_received(m):
+    m.land()
     return scripted.vw_ventas_received(m.raw("ventas"), m.raw("recepciones"), m.raw("activaciones"))
 
 
 @query("x12_scripted_dim_tiempo", "select * from a_dim_tiempo")
 def scripted_dim_tiempo(m):
+    m.land()
     return scripted.dim_tiempo(m.raw("ventas"), m.raw("recepciones"), m.raw("metas"))
 
 
@@ -108,6 +112,7 @@ def scripted_dim_asesor(m):
 
 @query("s2_mart_sizes", " union all ".join(f"select '{t}' as modelo, count(*) as filas from {t}" for t in ("dim_asesor_pdv", "dim_estado", "dim_oficina", "dim_tiempo")))
 def mart_sizes(m):
+    m.land()
     names = ("dim_asesor_pdv", "dim_estado", "dim_oficina", "dim_tiempo")
     return reduce(
         DataFrame.unionByName,

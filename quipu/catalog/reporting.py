@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import percent
 from ..plans import kpis, layered, measures, quality, reports
+from ..session import written
 from ..sources.sinks import resolve_schema
 from .oracle import pct, ratio
 from .registry import query
@@ -19,6 +20,7 @@ def sales_of(m):
 
 
 def goals_of(m):
+    m.land()
     goals = measures.goals_table(m.stg("recepciones"), m.stg("metas"))
     return measures.with_attributes(goals, "fecha_mes", m.stg("oficinas"))
 
@@ -30,7 +32,9 @@ def _register(key: str, names: list[str], by: list[str], sql: str) -> None:
         for n in (measures.DERIVED[name][0] if name in measures.DERIVED else [name])
     )
     query(key, sql)(
-        lambda m: measures.measure(sales_of(m), goals_of(m) if needs_goals else None, names, by)
+        lambda m: measures.measure(
+            sales_of(m.land() if needs_goals else m), goals_of(m) if needs_goals else None, names, by
+        )
     )
 
 
@@ -96,7 +100,7 @@ _K1 = f"select oficina_id, fecha_mes, ifnull(a, 0) as kits_activos, ifnull(kits_
 
 
 def _k1(m):
-    return kpis.activation_of_received(sales_of(m), m.fact_metas_pedidos)
+    return kpis.activation_of_received(sales_of(m.land()), m.fact_metas_pedidos)
 
 
 query("k1_activation_of_received", _K1)(_k1)
@@ -141,7 +145,7 @@ query("k6_lot_rotation_by_lot", "select lote_serie, sum(date_diff('day', fecha_r
 _K7 = f"select region, fecha_mes, ifnull(sum(kits) filter (canal_venta = 'DIRECTO'), 0)::bigint as kits_directo, ifnull(sum(kits) filter (canal_venta = 'PDV'), 0)::bigint as kits_pdv, sum(kits)::bigint as kits, {pct('ifnull(sum(kits) filter (canal_venta = $$PDV$$), 0)', 'sum(kits)')} as mix_pdv_pct, {pct('ifnull(sum(kits) filter (canal_venta = $$DIRECTO$$), 0)', 'sum(kits)')} as mix_directo_pct from sales group by 1, 2"
 query("k7_channel_mix", _K7)(lambda m: kpis.channel_mix(sales_of(m), ["region", "fecha_mes"]))
 _K8 = f"select oficina_id, fecha_mes, a as kits_activos, ifnull(meta_activacion, 0) as meta, {pct('a', 'meta_activacion')} as cumplimiento_meta_pct from (select oficina_id, fecha_mes, sum(activos)::bigint as a from sales group by 1, 2) left join goal_months using (oficina_id, fecha_mes)"
-query("k8_goal_attainment", _K8)(lambda m: kpis.goal_attainment(sales_of(m), m.fact_metas_pedidos))
+query("k8_goal_attainment", _K8)(lambda m: kpis.goal_attainment(sales_of(m.land()), m.fact_metas_pedidos))
 query("k9_seller_kits", f"select vendedor_id, asesor_pdv_id, sum(kits_por_asesor)::bigint as kits, sum(kits_inactivos_asesor)::bigint as kits_inactivos, {pct('sum(kits_inactivos_asesor)', 'sum(kits_por_asesor)')} as inactivos_pct from seller_months group by 1, 2")(
     lambda m: kpis.seller_kits(layered.seller_months(m.stg("ventas"), m.stg("activaciones")))
 )
@@ -170,7 +174,7 @@ query("k10_mix_band", f"select region, fecha_mes, case when greatest(mix_pdv_pct
     lambda m: kpis.channel_mix(sales_of(m), ["region", "fecha_mes"]).select("region", "fecha_mes", kpis.band("canal_unico", F.greatest("mix_pdv_pct", "mix_directo_pct")).alias("banda"))
 )
 query("k10_goal_band", _band_sql(_K8, "oficina_id, fecha_mes", "cumplimiento_meta_pct", "when cumplimiento_meta_pct < 80 then 'bajo' when cumplimiento_meta_pct < 100 then 'esperado' else 'alto'"))(
-    lambda m: kpis.goal_attainment(sales_of(m), m.fact_metas_pedidos).select("oficina_id", "fecha_mes", "cumplimiento_meta_pct", kpis.band("cumplimiento_meta", F.col("cumplimiento_meta_pct")).alias("banda"))
+    lambda m: kpis.goal_attainment(sales_of(m.land()), m.fact_metas_pedidos).select("oficina_id", "fecha_mes", "cumplimiento_meta_pct", kpis.band("cumplimiento_meta", F.col("cumplimiento_meta_pct")).alias("banda"))
 )
 
 
@@ -238,8 +242,9 @@ def _checks_sql() -> str:
 
 @query("q6_run_all_checks", _checks_sql())
 def q6(m):
+    """Staging is checked as it is read; marts are stored first, then checked."""
     models = {
-        name: m.stg(name.removeprefix("stg_")) if name.startswith("stg_") else getattr(m, name)
+        name: m.land().stg(name.removeprefix("stg_")) if name.startswith("stg_") else written(getattr(m, name), name)
         for name in quality.CHECKS
     }
     return quality.run_checks(models)
@@ -248,7 +253,7 @@ def q6(m):
 # ---- report pages -------------------------------------------------------------------
 
 query("x13_comparison_matrix", _both("nom_oficina", "asesor as ventas_asesor, pdv as ventas_pdv, activos as activaciones, meta, " + LIGHT.format(r=ratio("activos", "meta")) + " as semaforo"))(
-    lambda m: reports.comparison_matrix(sales_of(m), goals_of(m))
+    lambda m: reports.comparison_matrix(sales_of(m.land()), goals_of(m))
 )
 query(
     "x14_region_sellers",

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ...functions.cells import EXACT, CellRules, comparable
 from ...functions.text import key_text
@@ -76,20 +75,20 @@ def align_infer_keys(
     a = checkpointed(a.select(F.col(id_a).alias("id_a"), *chosen))
     b = checkpointed(b.select(F.col(id_b).alias("id_b"), *chosen))
     height_a, height_b = a.count(), b.count()
-    taller = max(height_a, height_b, 0) + 1  # the header row counts in the height
+    taller = max(height_a, height_b) + 1  # the header row counts in the height
     everything = 2 ** len(chosen) - 1
-    links: list[DataFrame] = []
+    links = a.sparkSession.createDataFrame(
+        [], StructType([a.schema["id_a"], b.schema["id_b"], StructField("subset", StringType())])
+    )
     linked = used = 0
     for code in range(1, everything + 1):
-        if linked >= height_a:
-            break
+        if linked >= min(height_a, height_b):
+            break  # every row of one side is linked, so no later round can add a link
         subset = [c for i, c in enumerate(chosen) if code >> i & 1]
-        keys = a.select(_key(subset, rules).alias("key"), "id_a", F.lit(None).cast(b.schema["id_b"].dataType).alias("id_b"))
-        keys = keys.unionByName(
-            b.select(_key(subset, rules).alias("key"), F.lit(None).cast(a.schema["id_a"].dataType).alias("id_a"), "id_b")
-        )
+        key = _key(subset, rules).alias("key")
+        rows = a.select(key, "id_a").unionByName(b.select(key, "id_b"), allowMissingColumns=True)
         groups = checkpointed(
-            keys.groupBy("key").agg(
+            rows.groupBy("key").agg(
                 F.count("id_a").alias("n_a"),
                 F.count("id_b").alias("n_b"),
                 F.max("id_a").alias("id_a"),
@@ -103,15 +102,12 @@ def align_infer_keys(
         found = groups.filter("n_a = 1 and n_b = 1 and key <> ''").select(
             "id_a", "id_b", F.lit(",".join(subset)).alias("subset")
         )
-        for earlier in links:
-            found = found.join(earlier.select("id_a"), "id_a", "left_anti")
-            found = found.join(earlier.select("id_b"), "id_b", "left_anti")
-        found = checkpointed(found)
+        found = found.join(links.select("id_a"), "id_a", "left_anti")
+        found = found.join(links.select("id_b"), "id_b", "left_anti")
+        found = checkpointed(found.select("id_a", "id_b", "subset"))
         linked += found.count()
-        links.append(found)
-    if not links:
-        return checkpointed(a.join(b, F.lit(False)).select("id_a", "id_b", F.lit("").alias("subset")))
-    return reduce(DataFrame.unionByName, links)
+        links = links.unionByName(found)
+    return links
 
 
 def unlinked(df: DataFrame, links: DataFrame, own: str, link: str) -> DataFrame:

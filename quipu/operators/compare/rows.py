@@ -188,13 +188,7 @@ def diff_summary(a: DataFrame, b: DataFrame, keys: list[str], **options) -> Data
 
 def tables_equal(a: DataFrame, b: DataFrame) -> bool:
     """Same columns and the same rows, repeats counted; row order does not matter."""
-    if not same_width(a, b):
-        return False
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
-
-
-def same_width(a: DataFrame, b: DataFrame) -> bool:
-    return a.columns == b.columns
+    return a.columns == b.columns and equality_report(a, b).first()["iguales"]
 
 
 def equality_report(a: DataFrame, b: DataFrame) -> DataFrame:

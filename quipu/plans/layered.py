@@ -8,9 +8,9 @@ from ..functions import rules
 from ..functions.dates import calendar_columns, date_key, day_gap, month_start
 from ..functions.numeric import money_percent, percent
 from ..functions.text import clean_serie, has_serie
-from ..operators.joins import left_join_unique, lookup, skew_join
+from ..operators.joins import fits_broadcast, left_join_unique, lookup, skew_join
 from ..operators.numbering import keep_best, number_rows
-from ..session import checkpointed
+from ..session import written
 
 KITS = ["kits_por_asesor", "kits_activos_asesor", "kits_inactivos_asesor"]
 
@@ -143,9 +143,15 @@ def office_shares(enriched: DataFrame) -> DataFrame:
 
 
 def join_series(fact: DataFrame, estado: DataFrame, serie: str, spread_by: list[str]) -> DataFrame:
-    """Status key by series; the dimension's series are unique but may be many."""
-    keys = estado.select("dest_id", F.col("lote_serie").alias(serie))
-    return left_join_unique(fact, keys, serie, spread_by)
+    """Status key by series; the dimension's series are unique but may be many.
+
+    Its series are never blank, so rows without a usable series match nothing and are
+    scattered like those without any.
+    """
+    usable = F.when(has_serie(F.col(serie)), F.col(serie))
+    keys = estado.select("dest_id", F.col("lote_serie").alias("_lote"))
+    joined = left_join_unique(fact.withColumn("_lote", usable), keys, "_lote", spread_by)
+    return joined.drop("_lote")
 
 
 def fact_ventas(
@@ -159,7 +165,7 @@ def fact_ventas(
     dedupe: bool = False,
 ) -> DataFrame:
     # read twice below (shares, rows), so the joins run once and are written
-    enriched = checkpointed(enrich_sales(ventas, activaciones, productos, dedupe))
+    enriched = written(enrich_sales(ventas, activaciones, productos, dedupe), "enriched")
     shares = office_shares(enriched)
     facts = enriched
     if normalize_serie:
@@ -170,7 +176,7 @@ def fact_ventas(
     offices = oficina.select("dofic_id", F.col("oficina_id").alias("_of")).join(
         shares, F.col("_of") == F.col("_office"), "full"
     )
-    offices = checkpointed(offices.withColumn("_of", F.coalesce("_of", "_office")).drop("_office"))
+    offices = written(offices.withColumn("_of", F.coalesce("_of", "_office")).drop("_office"), "shares")
     days = tiempo.select(F.col("dtiem_id"))
     facts = lookup(facts, days, date_key(F.col("fecha_venta")) == F.col("dtiem_id"))
     # one row per office, from the two small office tables
@@ -276,15 +282,23 @@ def seller_months(ventas: DataFrame, activaciones: DataFrame) -> DataFrame:
 
 
 def resolve_seller(rows: DataFrame, asesor: DataFrame) -> DataFrame:
-    """Seller key: the direct seller's when there is one, else the retail seller's."""
+    """Seller key: the direct seller's when there is one, else the retail seller's.
+
+    Each row lacks at least one of the two ids, so beyond the broadcast size the rows
+    without the id are scattered.
+    """
+    spread_by = list(rows.columns)
     for channel, source, name in (
         (rules.DIRECT, "vendedor_id", "_direct"),
         (rules.RETAIL, "asesor_pdv_id", "_retail"),
     ):
         role = asesor.filter(F.col("tipo_canal") == channel).select(
-            F.col("dases_id").alias(name), F.col("origen_id").alias(f"{name}_origin")
+            F.col("origen_id").cast("long").alias(source), F.col("dases_id").alias(name)
         )
-        rows = lookup(rows, role, F.col(source) == F.col(f"{name}_origin"))
+        if fits_broadcast(role):
+            rows = rows.join(F.broadcast(role), source, "left")
+        else:
+            rows = left_join_unique(rows, role, source, spread_by)
     return rows.withColumn("dases_id", F.coalesce("_direct", "_retail"))
 
 

@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import checkpointed
+from ..session import written
 from ..sources.registry import Sources
 from . import layered
 from .staging import STAGING
@@ -20,6 +20,11 @@ class Mart:
         self.sources = Sources(spark, root, layout)
         self._staged: dict[str, DataFrame] = {}
 
+    def land(self) -> Mart:
+        """Call before a job that reads sales and receipts more than once."""
+        self.sources.land()
+        return self
+
     def raw(self, name: str) -> DataFrame:
         return self.sources.raw(name)
 
@@ -30,9 +35,9 @@ class Mart:
 
     @cached_property
     def dim_tiempo(self) -> DataFrame:
-        return checkpointed(
-            layered.dim_tiempo(self.stg("ventas"), self.stg("recepciones"), self.stg("metas"))
-        )
+        self.land()
+        days = layered.dim_tiempo(self.stg("ventas"), self.stg("recepciones"), self.stg("metas"))
+        return written(days, "dim_tiempo")
 
     @cached_property
     def dim_oficina(self) -> DataFrame:
@@ -54,6 +59,7 @@ class Mart:
 
     @cached_property
     def fact_ventas(self) -> DataFrame:
+        self.land()
         return layered.fact_ventas(
             self.stg("ventas"),
             self.stg("activaciones"),
@@ -65,6 +71,7 @@ class Mart:
 
     @cached_property
     def fact_inventario(self) -> DataFrame:
+        self.land()
         return layered.fact_inventario(
             self.stg("recepciones"),
             self.stg("ventas"),
@@ -76,12 +83,14 @@ class Mart:
 
     @cached_property
     def fact_canal(self) -> DataFrame:
+        self.land()
         return layered.fact_canal(
             self.stg("ventas"), self.stg("activaciones"), self.dim_tiempo, self.dim_oficina
         )
 
     @cached_property
     def fact_desempeno(self) -> DataFrame:
+        self.land()
         return layered.fact_desempeno(
             self.stg("ventas"),
             self.stg("activaciones"),
@@ -93,4 +102,5 @@ class Mart:
 
     @cached_property
     def fact_metas_pedidos(self) -> DataFrame:
+        self.land()
         return layered.fact_metas_pedidos(self.stg("recepciones"), self.stg("metas"))

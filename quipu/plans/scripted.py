@@ -15,7 +15,7 @@ from ..functions.text import folded
 from ..operators.joins import left_join_unique, lookup, skew_join
 from ..operators.numbering import first_writer, number_rows
 from ..operators.upsert import upsert
-from ..session import checkpointed
+from ..session import checkpointed, written
 from ..sources.schemas import MART_SCHEMAS
 from ..sources.sinks import conform
 from .layered import resolve_seller, weighted_sales
@@ -168,16 +168,15 @@ def hecho_ventas(view: DataFrame, oficina: DataFrame, estado: DataFrame) -> Data
         F.col("serie_producto").alias("serie"),
         "canal_venta",
     )
-    return fill_contribution(checkpointed(conform(rows, "hecho_ventas")))
+    return fill_contribution(written(conform(rows, "hecho_ventas"), "hecho_ventas"))
 
 
 def fill_contribution(loaded: DataFrame) -> DataFrame:
     """Post-load update: each row takes its office's share of all loaded income."""
     offices = loaded.groupBy(F.col("dofic_id").alias("_of")).agg(F.sum("ingresos_s").alias("_income"))
     total = offices.agg(F.sum("_income")).scalar()
-    shares = checkpointed(
-        offices.select("_of", money_percent(F.col("_income"), total).cast("decimal(5,2)").alias("_share"))
-    )
+    share = money_percent(F.col("_income"), total).cast("decimal(5,2)")
+    shares = written(offices.select("_of", share.alias("_share")), "shares")
     joined = lookup(loaded, shares, F.col("dofic_id") == F.col("_of"))
     updated = F.when(F.col("_of").isNotNull(), F.col("_share")).otherwise(F.col("contribucion_pct"))
     return joined.withColumn("contribucion_pct", updated).select(loaded.columns)

@@ -50,6 +50,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared folder and go on from the written rows."""
+    """Write `df` once to the shared folder, keeping its partitions and row order."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` once as a table in the shared folder and read it back.
+
+    For intermediates that several jobs read: columns prune, and the file sizes tell
+    Catalyst whether a side is small.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import written
 from .schemas import RAW_SCHEMAS
 
 
@@ -18,6 +19,16 @@ class Sources:
         self.spark = spark
         self.root = root
         self.layout = layout
+        self._landed: DataFrame | None = None
+
+    def land(self) -> None:
+        """Write the joined order rows once, for jobs that read several derived tables.
+
+        Sales, receipts and goals are then plain projections of one stored table; stored
+        raw tables need no landing.
+        """
+        if self.layout == "derived" and self._landed is None:
+            self._landed = written(self._order_rows(), "order-rows")
 
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
@@ -78,6 +89,8 @@ class Sources:
         The customer comes first: the lines, grouped by order, then join without
         another exchange, and what follows stays partitioned by order.
         """
+        if self._landed is not None:
+            return self._landed
         lines = (
             self.base("lineitem")
             .groupBy(F.col("l_orderkey").alias("o_orderkey"))
@@ -86,7 +99,8 @@ class Sources:
         customer = self.base("customer").select(
             F.col("c_custkey").alias("o_custkey"), "c_nationkey"
         )
-        return self.base("orders").join(customer, "o_custkey").join(lines, "o_orderkey", "left")
+        orders = self.base("orders").drop("o_orderpriority")
+        return orders.join(customer, "o_custkey").join(lines, "o_orderkey", "left")
 
     def _ventas(self) -> DataFrame:
         key, seller = F.col("o_orderkey"), F.col("sk")

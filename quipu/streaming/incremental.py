@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -15,8 +16,8 @@ def append_newer(spark: SparkSession, source: DataFrame, path: str, cursor: str)
     last = None
     try:
         last = spark.read.parquet(path).agg(F.max(cursor)).first()[0]
-    except Exception as error:  # the first load finds no table
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:  # the first load finds no table
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
     newer_than(source, cursor, last).write.mode("append").parquet(path)
     return spark.read.parquet(path)
