@@ -39,7 +39,7 @@ def j3(m):
 )
 def j4(m):
     m.land()
-    rows = layered.receipts_with_sale(m.stg("recepciones"), m.stg("ventas"), m.stg("productos"))
+    rows = layered.receipts_with_sale(m.stg("recepciones"), m.stg("ventas"), m.stg("productos").select("producto_id", "serie"))
     return rows.select("recepcion_id", "serie", "fecha_venta")
 
 
@@ -49,9 +49,8 @@ def j4(m):
 )
 def j5(m):
     m.land()
-    series = m.stg("productos").select("producto_id", "serie")
-    rows = left_join_unique(m.stg("ventas"), series, "producto_id", ["venta_id"])
-    rows = layered.join_series(rows, m.dim_estado, "serie", ["venta_id"])
+    status = layered.product_status(m.stg("productos"), m.dim_estado)
+    rows = left_join_unique(m.stg("ventas"), status, "producto_id", ["venta_id"])
     rows = lookup(rows, m.dim_tiempo.select("dtiem_id"), date_key(F.col("fecha_venta")) == F.col("dtiem_id"))
     offices = m.dim_oficina.select("dofic_id", F.col("oficina_id").alias("_of"))
     rows = lookup(rows, offices, F.col("oficina_id") == F.col("_of"))

@@ -208,7 +208,7 @@ def _scripted_sales(m):
     view = scripted.vw_ventas_enriched(*[m.land().raw(t) for t in ("ventas", "recepciones", "activaciones", "productos")])
     office = scripted.dim_oficina(scripted.empty_dim(m.spark, "dim_oficina"), m.raw("oficinas"))
     state = scripted.dim_estado(m.raw("recepciones"), m.raw("productos"))
-    return scripted.hecho_ventas(view, office, state)
+    return scripted.hecho_ventas(view, office, state, m.raw("productos"))
 
 
 @query(

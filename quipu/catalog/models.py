@@ -47,7 +47,7 @@ def scripted_dims(m):
 @query("x5_hecho_ventas", "select * from hecho_ventas")
 def hecho_ventas(m):
     view = scripted.vw_ventas_enriched(*[m.land().raw(t) for t in RAW4])
-    return scripted.hecho_ventas(view, *scripted_dims(m))
+    return scripted.hecho_ventas(view, *scripted_dims(m), m.raw("productos"))
 
 
 @query("x6_hecho_inventario", "select * from hecho_inventario")

@@ -122,7 +122,7 @@ def fallback_smart_key(m):
     "select recepcion_id, fecha_venta, date_diff('day', fecha_recepcion, fecha_venta)::integer as rotation_lote from recepciones left join (select recepcion_id, fecha_venta from ventas) v using (recepcion_id)",
 )
 def conditional_measure(m):
-    rows = receipts_with_sale(m.stg("recepciones"), m.stg("ventas"), m.stg("productos"))
+    rows = receipts_with_sale(m.stg("recepciones"), m.stg("ventas"), m.stg("productos").select("producto_id", "serie"))
     return rows.select("recepcion_id", "fecha_venta", "rotation_lote")
 
 

@@ -30,12 +30,11 @@ def number_rows(
     if check_small and df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
         rank = F.row_number().over(Window.orderBy(*order))
         return df.withColumn(name, base + rank.cast("long"))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = checkpointed(df.repartitionByRange(parts, *order).sortWithinPartitions(*order))
+    placed = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order))
     placed = placed.withColumn("_at", F.monotonically_increasing_id())
     part = F.shiftright("_at", ROW_BITS)
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition, so this frame and the broadcast hold at most `parts` rows
+    # one row per partition: the frame and the broadcast hold at most shuffle.partitions rows
     offsets = (
         placed.groupBy(part.alias("_part"))
         .count()

@@ -92,8 +92,8 @@ def dim_estado(recepciones: DataFrame, productos: DataFrame) -> DataFrame:
 # ---- enrichment ---------------------------------------------------------------
 
 
-def enrich_sales(ventas: DataFrame, activaciones: DataFrame, productos: DataFrame, dedupe: bool = False) -> DataFrame:
-    """Sales with activation and series, one row per sale and activation.
+def with_activations(ventas: DataFrame, activaciones: DataFrame, dedupe: bool = False) -> DataFrame:
+    """Sales with `es_activacion`, one row per sale and activation.
 
     A sale with several activations counts several times; `dedupe=True` keeps one row
     per sale, active when any activation is.
@@ -101,12 +101,30 @@ def enrich_sales(ventas: DataFrame, activaciones: DataFrame, productos: DataFram
     acts = activaciones.select("venta_id", F.col("flag_activo").alias("_active"))
     if dedupe:
         acts = acts.groupBy("venta_id").agg(F.max("_active").alias("_active"))
-        with_acts = left_join_unique(ventas, acts, "venta_id")
+        rows = left_join_unique(ventas, acts, "venta_id")
     else:
-        with_acts = skew_join(ventas, acts, "venta_id")
+        rows = skew_join(ventas, acts, "venta_id")
+    return rows.withColumn("es_activacion", F.coalesce("_active", F.lit(0))).drop("_active")
+
+
+def enrich_sales(ventas: DataFrame, activaciones: DataFrame, productos: DataFrame, dedupe: bool = False) -> DataFrame:
+    """Sales with activation and series."""
     series = productos.select("producto_id", F.col("serie").alias("serie_producto"))
-    enriched = left_join_unique(with_acts, series, "producto_id", ["venta_id"])
-    return enriched.withColumn("es_activacion", F.coalesce("_active", F.lit(0))).drop("_active")
+    rows = with_activations(ventas, activaciones, dedupe)
+    return left_join_unique(rows, series, "producto_id", ["venta_id"])
+
+
+def product_status(productos: DataFrame, estado: DataFrame, normalize_serie: bool = False) -> DataFrame:
+    """Series and status key per product.
+
+    A product has one series, so the status is looked up among the products and the
+    facts then shuffle once, by product, instead of again by series.
+    """
+    rows = productos.select("producto_id", "serie")
+    if not normalize_serie:
+        return join_series(rows, estado, "serie", ["producto_id"])
+    cleaned = rows.withColumn("_clean", clean_serie(F.col("serie")))
+    return join_series(cleaned, estado, "_clean", ["producto_id"]).drop("_clean")
 
 
 def activation_counts(activaciones: DataFrame) -> DataFrame:
@@ -164,15 +182,19 @@ def fact_ventas(
     normalize_serie: bool = False,
     dedupe: bool = False,
 ) -> DataFrame:
+    status = product_status(productos, estado, normalize_serie)
+    enriched = left_join_unique(
+        with_activations(ventas, activaciones, dedupe), status, "producto_id", ["venta_id"]
+    )
     # read twice below (shares, rows), so the joins run once and are written
-    enriched = written(enrich_sales(ventas, activaciones, productos, dedupe), "enriched")
-    shares = office_shares(enriched)
-    facts = enriched
-    if normalize_serie:
-        facts = facts.withColumn("_serie", clean_serie(F.col("serie_producto")))
-        facts = join_series(facts, estado, "_serie", ["venta_id"])
-    else:
-        facts = join_series(facts, estado, "serie_producto", ["venta_id"])
+    facts = written(
+        enriched.select(
+            "venta_id", "oficina_id", "canal_venta", "fecha_venta", "monto_calculado",
+            "es_activacion", "serie", "dest_id",
+        ),
+        "enriched",
+    )
+    shares = office_shares(facts)
     offices = oficina.select("dofic_id", F.col("oficina_id").alias("_of")).join(
         shares, F.col("_of") == F.col("_office"), "full"
     )
@@ -187,7 +209,7 @@ def fact_ventas(
         "dest_id",
         "venta_id",
         "canal_venta",
-        F.col("serie_producto").alias("serie"),
+        "serie",
         F.lit(1).alias("kits_vendidos"),
         F.col("es_activacion").alias("kits_activos"),
         rules.activation_pct(F.col("es_activacion")).alias("tasa_activacion_pct"),
@@ -196,10 +218,9 @@ def fact_ventas(
     )
 
 
-def receipts_with_sale(recepciones: DataFrame, ventas: DataFrame, productos: DataFrame) -> DataFrame:
-    """Receipts with series and sale date; unsold receipts stay, repeated sales repeat."""
-    series = productos.select("producto_id", "serie")
-    rows = left_join_unique(recepciones, series, "producto_id", ["recepcion_id"])
+def receipts_with_sale(recepciones: DataFrame, ventas: DataFrame, products: DataFrame) -> DataFrame:
+    """Receipts with product columns and sale date; unsold receipts stay, repeated sales repeat."""
+    rows = left_join_unique(recepciones, products, "producto_id", ["recepcion_id"])
     sold = ventas.filter(F.col("recepcion_id").isNotNull()).select("recepcion_id", "fecha_venta")
     joined = skew_join(rows, sold, "recepcion_id")
     gap = day_gap(F.col("fecha_venta"), F.col("fecha_recepcion"))
@@ -214,8 +235,7 @@ def fact_inventario(
     oficina: DataFrame,
     estado: DataFrame,
 ) -> DataFrame:
-    rows = receipts_with_sale(recepciones, ventas, productos)
-    rows = join_series(rows, estado, "serie", ["recepcion_id"])
+    rows = receipts_with_sale(recepciones, ventas, product_status(productos, estado))
     days = tiempo.select("dtiem_id")
     rows = lookup(rows, days, date_key(F.col("fecha_recepcion")) == F.col("dtiem_id"))
     offices = oficina.select("dofic_id", F.col("oficina_id").alias("_of"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import rules
 from ..functions.dates import calendar_columns, date_key, day_gap, month_start, month_start_of
 from ..functions.numeric import flag, money_percent, percent
-from ..functions.text import folded
+from ..operators.folding import canonical_texts, equal_texts
 from ..operators.joins import left_join_unique, lookup, skew_join
 from ..operators.numbering import first_writer, number_rows
 from ..operators.upsert import upsert
@@ -98,21 +98,25 @@ def dim_tiempo(ventas: DataFrame, recepciones: DataFrame, metas: DataFrame) -> D
 
 def dim_estado(recepciones: DataFrame, productos: DataFrame) -> DataFrame:
     """Every distinct (state, idle days, risk, series); texts equal under the collation are one."""
-    series = productos.select("producto_id", F.col("serie").alias("lote_serie"))
-    rows = left_join_unique(recepciones, series, "producto_id", ["recepcion_id"])
+    series = productos.select("producto_id", "serie").join(
+        canonical_texts(productos, "serie", "lote_serie"), "serie"
+    )
+    names = canonical_texts(recepciones, "estado_recepcion", "estado")
+    rows = left_join_unique(
+        recepciones, series.select("producto_id", "lote_serie"), "producto_id", ["recepcion_id"]
+    )
     at_risk = flag(rules.stock_at_risk(F.col("dias_inactivo"), F.col("estado_recepcion")))
-    states = (
-        rows.groupBy(
-            folded(F.col("estado_recepcion")).alias("_state"),
-            F.col("dias_inactivo").alias("dias_desde_recepcion"),
-            at_risk.alias("flag_riesgo_90d"),
-            folded(F.col("lote_serie")).alias("_serie"),
-        )
-        .agg(F.min("estado_recepcion").alias("estado"), F.min("lote_serie").alias("lote_serie"))
-        .drop("_state", "_serie")
+    states = rows.groupBy(
+        "estado_recepcion",
+        F.col("dias_inactivo").alias("dias_desde_recepcion"),
+        at_risk.alias("flag_riesgo_90d"),
+        "lote_serie",
+    ).agg(F.lit(1))
+    states = states.join(names, "estado_recepcion", "left").select(
+        "estado", "dias_desde_recepcion", "flag_riesgo_90d", "lote_serie"
     )
     order = ["estado", "lote_serie", "dias_desde_recepcion", "flag_riesgo_90d"]
-    numbered = number_rows(states, [F.asc_nulls_last(c) for c in order], "dest_id")
+    numbered = number_rows(states.distinct(), [F.asc_nulls_last(c) for c in order], "dest_id")
     return conform(numbered, "dim_estado")
 
 
@@ -142,21 +146,28 @@ def dim_asesor_pdv(target: DataFrame, vendedores: DataFrame, asesores: DataFrame
     return target
 
 
-def join_status(rows: DataFrame, estado: DataFrame, serie: str) -> DataFrame:
+def join_status(
+    rows: DataFrame, estado: DataFrame, serie: str, texts: DataFrame | None = None
+) -> DataFrame:
     """Left join to the status rows of a series under the collation.
 
-    One series may own any share of the status rows, so its rows are split.
+    Equal texts are found among the distinct series, then rows and status rows meet on
+    plain text. One series may own any share of the status rows, so its rows are split.
+    `texts` may name a shorter table that holds every series of `rows`.
     """
-    keyed = rows.withColumn("_fold", folded(F.col(serie)))
-    states = estado.select("dest_id", folded(F.col("lote_serie")).alias("_fold"))
-    return skew_join(keyed, states.filter(F.col("_fold").isNotNull()), "_fold").drop("_fold")
+    known = equal_texts(rows if texts is None else texts, serie, estado, "lote_serie")
+    states = known.join(estado.select("dest_id", "lote_serie"), "lote_serie").drop("lote_serie")
+    return skew_join(rows, written(states, "status"), serie)
 
 
-def hecho_ventas(view: DataFrame, oficina: DataFrame, estado: DataFrame) -> DataFrame:
+def hecho_ventas(
+    view: DataFrame, oficina: DataFrame, estado: DataFrame, productos: DataFrame
+) -> DataFrame:
     """Typed sales fact; the office share is filled in from the loaded rows."""
+    texts = productos.select(F.col("serie").alias("serie_producto"))
     offices = oficina.select("dofic_id", F.col("oficina_id").alias("_of"))
     rows = lookup(view, offices, F.col("oficina_id") == F.col("_of"), "inner")
-    rows = join_status(rows, estado, "serie_producto").select(
+    rows = join_status(rows, estado, "serie_producto", texts).select(
         date_key(F.col("fecha_venta")).alias("dtiem_id"),
         "dofic_id",
         "dest_id",
@@ -190,7 +201,7 @@ def hecho_inventario(
     rows = recepciones.join(productos.select("producto_id", "serie"), "producto_id")
     rows = lookup(rows, offices, F.col("oficina_id") == F.col("_of"), "inner")
     sold = ventas.filter(F.col("recepcion_id").isNotNull()).select("recepcion_id", "fecha_venta")
-    rows = join_status(skew_join(rows, sold, "recepcion_id"), estado, "serie")
+    rows = join_status(skew_join(rows, sold, "recepcion_id"), estado, "serie", productos)
     at_risk = rules.stock_at_risk(F.col("dias_inactivo"), F.col("estado_recepcion"))
     return conform(
         rows.select(

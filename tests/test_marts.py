@@ -128,7 +128,7 @@ def test_scripted_sales_repeat_per_status_row(mart, rows):
     raw = [mart.raw(t) for t in ("ventas", "recepciones", "activaciones", "productos")]
     office = scripted.dim_oficina(scripted.empty_dim(mart.spark, "dim_oficina"), mart.raw("oficinas"))
     state = scripted.dim_estado(mart.raw("recepciones"), mart.raw("productos"))
-    got = scripted.hecho_ventas(scripted.vw_ventas_enriched(*raw), office, state)
+    got = scripted.hecho_ventas(scripted.vw_ventas_enriched(*raw), office, state, mart.raw("productos"))
     # sale 4 has no known office; the series of sale 1 is ' ab 1 ', which only its own receipt has
     assert rows(got.groupBy("venta_id").agg(F.count("*"), F.max("contribucion_pct"))) == [
         (1, 2, Decimal("88.17")), (2, 1, Decimal("88.17")), (3, 1, Decimal("11.83")),
