@@ -21,19 +21,14 @@ KITS = ["kits_por_asesor", "kits_activos_asesor", "kits_inactivos_asesor"]
 def dim_tiempo(ventas: DataFrame, recepciones: DataFrame, metas: DataFrame) -> DataFrame:
     """Every date seen in sales, receipts or goal months.
 
-    Each stream is made distinct before the union, so an exchange carries at most one
-    row per date and map task.
+    One exchange for all three streams; each map task sends a date once at most.
     """
-    streams = [
-        df.select(F.col(c).alias("fecha")).filter(F.col("fecha").isNotNull()).distinct()
-        for df, c in (
-            (ventas, "fecha_venta"),
-            (recepciones, "fecha_recepcion"),
-            (metas, "fecha_mes"),
-        )
-    ]
-    dates = streams[0].unionByName(streams[1]).unionByName(streams[2]).distinct()
-    return dates.select(*calendar_columns(F.col("fecha")))
+    day = F.col("fecha")
+    sold = ventas.select(F.col("fecha_venta").alias("fecha"))
+    received = recepciones.select(F.col("fecha_recepcion").alias("fecha"))
+    goals = metas.select(F.col("fecha_mes").alias("fecha"))
+    dates = sold.unionByName(received).unionByName(goals).filter(day.isNotNull()).distinct()
+    return dates.select(*calendar_columns(day))
 
 
 def dim_oficina(oficinas: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,9 @@ from . import layered
 from .staging import STAGING
 
 
+MODEL_THREADS = 4
+
+
 class Mart:
     """Models by name. Dimensions are written once and read by every fact."""
 
@@ -25,6 +29,11 @@ class Mart:
         self.sources.land()
         return self
 
+    def build(self, *names: str) -> None:
+        """Build models that do not need each other from a few driver threads."""
+        with ThreadPoolExecutor(MODEL_THREADS) as pool:
+            list(pool.map(lambda name: getattr(self, name), names))
+
     def raw(self, name: str) -> DataFrame:
         return self.sources.raw(name)
 
@@ -60,6 +69,7 @@ class Mart:
     @cached_property
     def fact_ventas(self) -> DataFrame:
         self.land()
+        self.build("dim_tiempo", "dim_oficina", "dim_estado")
         return layered.fact_ventas(
             self.stg("ventas"),
             self.stg("activaciones"),
@@ -72,6 +82,7 @@ class Mart:
     @cached_property
     def fact_inventario(self) -> DataFrame:
         self.land()
+        self.build("dim_tiempo", "dim_oficina", "dim_estado")
         return layered.fact_inventario(
             self.stg("recepciones"),
             self.stg("ventas"),
@@ -84,6 +95,7 @@ class Mart:
     @cached_property
     def fact_canal(self) -> DataFrame:
         self.land()
+        self.build("dim_tiempo", "dim_oficina")
         return layered.fact_canal(
             self.stg("ventas"), self.stg("activaciones"), self.dim_tiempo, self.dim_oficina
         )
@@ -91,6 +103,7 @@ class Mart:
     @cached_property
     def fact_desempeno(self) -> DataFrame:
         self.land()
+        self.build("dim_tiempo", "dim_oficina", "dim_asesor_pdv")
         return layered.fact_desempeno(
             self.stg("ventas"),
             self.stg("activaciones"),

@@ -12,6 +12,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot partition even when the split costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # joins here can multiply their rows, so small inputs still get a task per core
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }
