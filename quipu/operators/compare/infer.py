@@ -87,14 +87,13 @@ def align_infer_keys(
         subset = [c for i, c in enumerate(chosen) if code >> i & 1]
         key = _key(subset, rules).alias("key")
         rows = a.select(key, "id_a").unionByName(b.select(key, "id_b"), allowMissingColumns=True)
-        groups = checkpointed(
-            rows.groupBy("key").agg(
-                F.count("id_a").alias("n_a"),
-                F.count("id_b").alias("n_b"),
-                F.max("id_a").alias("id_a"),
-                F.max("id_b").alias("id_b"),
-            )
+        groups = rows.groupBy("key").agg(
+            F.count("id_a").alias("n_a"),
+            F.count("id_b").alias("n_b"),
+            F.max("id_a").alias("id_a"),
+            F.max("id_b").alias("id_b"),
         )
+        # a crowded combination costs this one pass and writes nothing
         crowd = groups.agg(F.max(F.greatest("n_a", "n_b"))).first()[0] or 0
         if crowd / (taller + 20) >= CROWDED_SHARE and (used > 0 or code < everything):
             continue

@@ -178,3 +178,12 @@ def test_shared_folder_is_asked_for_on_a_cluster(monkeypatch):
 def test_unknown_source(spark):
     with pytest.raises(KeyError):
         Sources(spark, "/nowhere").raw("pedidos")
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    path = session.scratch_path(spark, "probe")
+    spark.range(3).write.parquet(path)
+    assert session.written(spark.range(3), "probe").count() == 3
+    session.drop_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
