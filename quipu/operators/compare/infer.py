@@ -93,12 +93,18 @@ def align_infer_keys(
             F.max("id_a").alias("id_a"),
             F.max("id_b").alias("id_b"),
         )
-        # a crowded combination costs this one pass and writes nothing
-        crowd = groups.agg(F.max(F.greatest("n_a", "n_b"))).first()[0] or 0
-        if crowd / (taller + 20) >= CROWDED_SHARE and (used > 0 or code < everything):
+        alone = (F.col("n_a") == 1) & (F.col("n_b") == 1) & (F.col("key") != "")
+        # a crowded combination, or one that tells no row apart, costs this pass and writes nothing
+        seen = groups.agg(
+            F.coalesce(F.max(F.greatest("n_a", "n_b")), F.lit(0)).alias("crowd"),
+            F.count_if(alone).alias("pairs"),
+        ).first()
+        if seen.crowd / (taller + 20) >= CROWDED_SHARE and (used > 0 or code < everything):
             continue
         used += 1
-        found = groups.filter("n_a = 1 and n_b = 1 and key <> ''").select(
+        if seen.pairs == 0:
+            continue
+        found = groups.filter(alone).select(
             "id_a", "id_b", F.lit(",".join(subset)).alias("subset")
         )
         found = found.join(links.select("id_a"), "id_a", "left_anti")

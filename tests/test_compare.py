@@ -294,8 +294,16 @@ def brute_links(a, b, columns):
     return links
 
 
+@pytest.fixture
+def one_partition(spark):
+    keep = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", keep)
+
+
 @pytest.mark.parametrize("seed, width", [(1, 2), (2, 3), (3, 6)])
-def test_inferred_keys_against_brute_force(spark, seed, width):
+def test_inferred_keys_against_brute_force(spark, one_partition, seed, width):
     draw = random.Random(seed)
     names = [f"c{i}" for i in range(width)]
     make = lambda n: [
