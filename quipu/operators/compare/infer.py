@@ -68,8 +68,8 @@ def align_infer_keys(
     counting order. A combination whose largest group holds a tenth of the taller
     table (plus 20 rows) is passed over, except the full one when nothing was used
     before. Rows link when their key text is found once on each side; only rows not
-    yet linked take part in later rounds. Links are written after each round, so the
-    plan does not grow with the number of rounds. `id_a` and `id_b` name row ids.
+    yet linked take part in later rounds. Links are written after each round, so a
+    plan only ever reads stored links. `id_a` and `id_b` name row ids.
     """
     chosen = top_columns(a, b, columns)
     a = checkpointed(a.select(F.col(id_a).alias("id_a"), *chosen))
