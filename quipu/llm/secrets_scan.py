@@ -137,11 +137,12 @@ def found_secrets(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256 and spans of every document."""
     rows, spans = scan(docs, id="doc_id")
     told = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    of_kind = lambda n: F.filter("spans", lambda s: s["kind"] == n)
     base = [k.name for k in KINDS if k.strong]
     strong = F.filter("spans", lambda s: s["kind"].isin(*base))
     per_text = listed(spans).select(
         "key",
-        *[F.size(F.filter("spans", lambda s, n=n: s["kind"] == n)).cast("long").alias(f"n_{n}") for n in base],
+        *[F.size(of_kind(n)).cast("long").alias(f"n_{n}") for n in base],
         F.array_join(F.transform(strong, told), ",").alias("base"),
         F.array_join(F.transform("spans", told), ",").alias("spans"),
     )
