@@ -10,7 +10,6 @@ place that the patterns have for that length.
 from __future__ import annotations
 
 import bisect
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, packing, secrets_scan, simhash
+from ..session import scratch_path
+from . import chat, decontaminate, langid, licenses, merkle, packing, rollup, secrets_scan, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +49,23 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_langid")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
+
+
+@query("op3_chat")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
+@query("op6_token_rollup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.corpus_totals(table(spark, sf_dir, "documents"), scratch_path(spark, "llm-token-rollup"))
+
+
+@query("op7_licenses", licenses.license_sql())
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op9_merkle")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edited_neighbours(table(spark, sf_dir, "documents"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from base64 import b64decode
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -24,30 +25,41 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-@lru_cache(2)
+def merge_ranks(path: str) -> tuple[dict[bytes, int], set[str]]:
+    """Words and ids of a vocabulary, and its special tokens' strings."""
+    if path.endswith(".tiktoken"):
+        with open(path, "rb") as file:
+            return {b64decode(word): int(i) for word, i in map(bytes.split, file)}, set()
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)
+    letters = byte_letters()
+    special = {t["content"] for t in model["added_tokens"]}
+    words = model["model"]["vocab"].items()
+    return {bytes(letters[c] for c in word): i for word, i in words if word not in special}, special
+
+
+@lru_cache(4)
 def encoder(path: str | None = None) -> Callable[[list[str]], list[np.ndarray]]:
-    """A function from texts to their ids, for a byte-level vocabulary of `tokenizers`.
+    """A function from texts to their ids, for a byte-level vocabulary file.
 
-    No special tokens are added. Plain texts go through tiktoken, which merges the same
-    pairs several times faster; a text with a special token's string or a rare script goes
-    through `tokenizers` itself.
+    `path` is a file's path or the name of a public one. No special tokens are added. Plain
+    texts go through tiktoken, which merges the same pairs several times faster than
+    `tokenizers`; for a file of the latter, a text with a special token's string or a rare
+    script goes through `tokenizers` itself.
     """
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
 
-    path = path or public_tokenizers.path(FILE)
-    with open(path, encoding="utf-8") as file:
-        model = json.load(file)
-    letters = byte_letters()
-    special = {t["content"] for t in model["added_tokens"]}
-    ranks = {bytes(letters[c] for c in word): i for word, i in model["model"]["vocab"].items() if word not in special}
+    path = path or FILE
+    path = path if "/" in path else public_tokenizers.path(path)
+    ranks, special = merge_ranks(path)
     quick = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    whole = Tokenizer.from_file(path)
+    whole = Tokenizer.from_file(path) if path.endswith(".json") else None
     marked = re.compile("|".join(map(re.escape, sorted(special)))) if special else None
 
     def ids(text: str) -> np.ndarray:
-        if PLAIN.search(text) or marked and marked.search(text):
+        if whole and (PLAIN.search(text) or marked and marked.search(text)):
             return np.array(whole.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(quick.encode_ordinary(text), np.uint32)
 
