@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster the package is installed, or sent with `--py-files`.
+    """
+    root, paths = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = paths.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        paths["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -120,7 +120,7 @@ def canonical_lines(text: Column) -> Column:
     plain = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT, ""), OTHER, " ")
     for other, kept in SPELLINGS.items():
         plain = F.replace(plain, F.lit(other), F.lit(kept))
-    return F.filter(F.transform(F.split(plain, "\n"), F.trim), lambda line: line != "")
+    return F.filter(F.transform(F.split(plain, "\n"), lambda line: F.trim(line)), lambda line: line != "")
 
 
 def digest(canonical: Column) -> Column:
@@ -168,7 +168,7 @@ def license_sql() -> str:
         plain = rf"regexp_replace(regexp_replace(lower(coalesce({text}, '')), '{COPYRIGHT}', '', 'g'), '{OTHER}', ' ', 'g')"
         for other, kept in SPELLINGS.items():
             plain = f"replace({plain}, '{other}', '{kept}')"
-        return f"list_filter(list_transform(string_split({plain}, chr(10)), l -> trim(l)), l -> l <> '')"
+        return f"[trim(l) for l in string_split({plain}, chr(10)) if trim(l) <> '']"
 
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     values = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in KNOWN)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import chat, decontaminate, langid, licenses, merkle, packing, rollup, secrets_scan, simhash
-from .common import table
+from . import bwt, chat, decontaminate, langid, licenses, merkle, packing, rollup, secrets_scan, simhash
+from .common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,7 +18,11 @@ def query(name: str, sql: str | None = None):
     """Register a function of (spark, sf_dir)."""
 
     def register(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -69,3 +73,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_merkle")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edited_neighbours(table(spark, sf_dir, "documents"))
+
+
+@query("op10_repeats")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt.kept_bytes(table(spark, sf_dir, "documents"))
