@@ -46,7 +46,10 @@ def exact_pair(m) -> tuple[DataFrame, DataFrame]:
 
 
 def three_versions(m) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Parent, local and remote customers covering every presence and edit case."""
+    """Parent, local and remote customers covering every presence and edit case.
+
+    Keys above 50,000,000 repeat: they take part in no comparison and are rejects.
+    """
     key = F.col("c_custkey")
     cents = F.col("cents")
     turn = key % 20
@@ -62,6 +65,8 @@ def three_versions(m) -> tuple[DataFrame, DataFrame, DataFrame]:
         .withColumn("cents", F.when(turn.isin(1, 4, 6), cents + 10).otherwise(cents))
         .unionByName(shifted(70, 20000000))
         .unionByName(shifted(90, 40000000))
+        .unionByName(shifted(110, 50000000))
+        .unionByName(shifted(110, 50000000).withColumn("cents", cents + 1))
     )
     remote = (
         parent.filter(key % 50 != 9)
@@ -73,6 +78,9 @@ def three_versions(m) -> tuple[DataFrame, DataFrame, DataFrame]:
         )
         .unionByName(shifted(70, 30000000))
         .unionByName(shifted(90, 40000000).withColumn("cents", cents + 5))
+        .unionByName(shifted(110, 50000000))
+        .unionByName(shifted(130, 60000000))
+        .unionByName(shifted(130, 60000000))
     )
     return parent, local, remote
 
@@ -151,18 +159,18 @@ def d20(m):
 
 @query(
     "d22_same_columns",
-    "select 'customer' as par, true as iguales, (select count(*) from diff_a) as filas_a, (select count(*) from diff_b) as filas_b "
-    "union all select 'part', false, (select count(*) from part), (select count(*) from part_new)",
+    "select 'customer' as par, 'juntas' as version, c_nationkey::varchar as clave, count(*) as filas from (select * from diff_a union all select * from diff_b) group by c_nationkey "
+    "union all select 'part', 'a', p_brand, count(*) from part group by p_brand union all select 'part', 'b', p_brand, count(*) from part_new group by p_brand",
 )
 def d22(m):
+    """Versions with the same columns are stacked and counted together, others each by itself."""
     parts = []
-    for name, (a, b) in (("customer", diff_pair(m)), ("part", part_pair(m))):
-        counts = a.select(F.lit(0).alias("s")).unionByName(b.select(F.lit(1).alias("s"))).agg(
-            F.count_if(F.col("s") == 0).alias("filas_a"), F.count_if(F.col("s") == 1).alias("filas_b")
-        )
-        same = F.lit(cols.same_columns(a, b))
-        parts.append(counts.select(F.lit(name).alias("par"), same.alias("iguales"), "filas_a", "filas_b"))
-    return parts[0].unionByName(parts[1])
+    for name, (a, b), by in (("customer", diff_pair(m), "c_nationkey"), ("part", part_pair(m), "p_brand")):
+        tables = {"juntas": a.unionByName(b)} if cols.same_columns(a, b) else {"a": a, "b": b}
+        for version, df in tables.items():
+            counts = df.groupBy(F.col(by).cast("string").alias("clave")).agg(F.count("*").alias("filas"))
+            parts.append(counts.select(F.lit(name).alias("par"), F.lit(version).alias("version"), "clave", "filas"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---- alignment -------------------------------------------------------------------------
@@ -188,11 +196,55 @@ def d3(m):
     return pairs.select("fecha", "oficina_id", F.col("l.id").alias("izquierda"), F.col("r.id").alias("derecha"))
 
 
-@query("d4_align_infer_keys")
+#: Candidate keys over the columns of the two order versions; the last one needs a sixth column.
+_CANDIDATES = [["custkey", "total"], ["custkey", "day", "priority"], ["clerk"], ["status", "total", "day"], ["custkey", "status", "day", "clerk", "priority", "ship"]]
+
+
+def _order_versions(m) -> tuple[DataFrame, DataFrame]:
+    """Orders as they are, and a version with changed totals, days and clerks."""
+    key = F.col("o_orderkey")
+    a = m.sources.base("orders").select(
+        key.alias("id"),
+        F.col("o_custkey").alias("custkey"),
+        F.col("o_orderstatus").alias("status"),
+        F.round(F.col("o_totalprice") * 100).cast("long").alias("total"),
+        F.col("o_orderdate").cast("date").alias("day"),
+        F.col("o_orderpriority").alias("priority"),
+        (key % 1000).alias("clerk"),
+        (key % 7).alias("ship"),
+    )
+    id = F.col("id")
+    b = a.filter(id % 50 != 0).withColumns(
+        {
+            "total": F.when(id % 3 == 0, F.col("total") + 7).otherwise(F.col("total")),
+            "day": F.when(id % 9 == 0, F.date_add("day", 1)).otherwise(F.col("day")),
+            "custkey": F.when(id % 45 == 0, None).otherwise(F.col("custkey")),
+        }
+    )
+    return a, b.withColumn("id", id + 90000000)
+
+
+def _infer_sql() -> str:
+    """The candidates in turn: pairs alone under their key text, without rows linked before."""
+    text = "case when {c}::varchar in ('', 'NULL') then '' else coalesce({c}::varchar, '') end"
+    parts, linked = [], []
+    for i, candidate in enumerate(_CANDIDATES):
+        key = "concat_ws(' // ', " + ", ".join(text.format(c=c) for c in candidate) + ")"
+        alone = f"select {key} as k, max(id) as id from {{v}} group by 1 having count(*) = 1 and {key} <> ''"
+        seen = " ".join(f"and a.id not in (select id_a from l{j}) and b.id not in (select id_b from l{j})" for j in range(i))
+        parts.append(
+            f"l{i} as (select a.id as id_a, b.id as id_b, '{','.join(candidate)}' as subset from ({alone.format(v='ord_a')}) a join ({alone.format(v='ord_b')}) b using (k) where true {seen})"
+        )
+        linked.append(f"select * from l{i}")
+    a = "select o_orderkey as id, o_custkey as custkey, o_orderstatus as status, cast(round(o_totalprice * 100) as bigint) as total, cast(o_orderdate as date) as day, o_orderpriority as priority, o_orderkey % 1000 as clerk, o_orderkey % 7 as ship from orders"
+    b = "select id + 90000000 as id, if(id % 45 = 0, null, custkey) as custkey, status, if(id % 3 = 0, total + 7, total) as total, if(id % 9 = 0, (day + 1)::date, day) as day, priority, clerk, ship from ord_a where id % 50 <> 0"
+    return f"with ord_a as ({a}), ord_b as ({b}), " + ", ".join(parts) + " " + " union all ".join(linked)
+
+
+@query("d4_align_infer_keys", _infer_sql())
 def d4(m):
-    """No keys given: rows of the two customer versions link through the columns that tell them apart."""
-    a, b = diff_pair(m)
-    return infer.align_infer_keys(a, b, "c_custkey", "c_custkey", list(CELLS))
+    """No single key links all rows: the candidate keys are tried in turn."""
+    return infer.align_infer_keys(*_order_versions(m), "id", "id", _CANDIDATES)
 
 
 _ACTION = "case when a.c_custkey is null then '+++' when b.c_custkey is null then '---' when a.c_name is distinct from b.c_name or a.c_nationkey is distinct from b.c_nationkey or a.c_acctbal is distinct from b.c_acctbal or a.c_mktsegment is distinct from b.c_mktsegment then '->' else '' end"
@@ -234,6 +286,23 @@ def d7(m):
     return rows.flat_cells(rows.row_diff(*diff_pair(m), KEY))
 
 
+@query(
+    "d7_moved_rows",
+    "with v as (select a.c_custkey, row_number() over (order by a.c_custkey) as vieja, row_number() over (order by if(a.c_custkey % 15 = 0, -1, 1) * a.c_custkey) as nueva, "
+    f"{_ACTION} as action from {_PAIRED} where a.c_custkey is not null and b.c_custkey is not null), "
+    "w as (select c_custkey, action, ifnull(max(nueva) over (order by vieja rows between unbounded preceding and 1 preceding) > nueva, false) as movida from v) "
+    "select c_custkey, if(action = '' and movida, ':', action) as action from w where action <> '' or movida "
+    f"union all select ifnull(a.c_custkey, b.c_custkey), {_ACTION} from {_PAIRED} where a.c_custkey is null or b.c_custkey is null",
+)
+def d7_moved(m):
+    """Both versions in an order of their own: some unchanged rows now stand above earlier ones."""
+    a, b = diff_pair(m)
+    key = F.col("c_custkey")
+    place = F.when(key % 15 == 0, -key).otherwise(key)
+    diff = rows.row_diff(a.withColumn("lugar", key), b.withColumn("lugar", place), KEY, unique_keys=True, ordered="lugar")
+    return diff.select("c_custkey", "action")
+
+
 @query(
     "d7_changed_cells",
     f"select c_custkey, action, \"column\", before, after from (select ifnull(a.c_custkey, b.c_custkey) as c_custkey, {_ACTION} as action, unnest(['c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment']) as \"column\", "
@@ -379,7 +448,7 @@ _THREE_ACTION = (
     f"if({_edit('cents')} or (not in_p and not in_l), r_cents, null) as cents_after, if({_edit('nation')} or (not in_p and not in_l), r_nation, null) as nation_after from three where {_THREE_ACTION} <> ''",
 )
 def d14(m):
-    diff = three_way.diff3(*three_versions(m), KEY)
+    diff, _ = three_way.diff3(*three_versions(m), KEY)
     return diff.select(
         *KEY,
         "action",
@@ -398,16 +467,28 @@ _MERGE_ROWS = f"({_ALL}) or not in_p"
 
 @query("d15_merge3", f"select c_custkey, {_merged('name')} as c_name, {_merged('nation')} as c_nationkey, {_merged('cents')} as cents from three where {_MERGE_ROWS}")
 def d15(m):
-    table, _ = three_way.merge3(*three_versions(m), KEY)
+    table, _, _ = three_way.merge3(*three_versions(m), KEY)
     return table
 
 
+@query(
+    "d15_merge_rejects",
+    "select c_custkey + 50000000 as c_custkey, 'l' as side, cents + extra as cents from three_p, (values (0), (1)) e(extra) where c_custkey % 110 = 0 "
+    "union all select c_custkey + 50000000, 'r', cents from three_p where c_custkey % 110 = 0 "
+    "union all select c_custkey + 60000000, 'r', cents from three_p, (values (0), (1)) e(extra) where c_custkey % 130 = 0",
+)
+def d15_rejects(m):
+    """Rows of keys that repeat in a version, of every version that has the key."""
+    _, _, rejects = three_way.merge3(*three_versions(m), KEY)
+    return rejects.select(*KEY, "side", F.coalesce("p.cents", "l.cents", "r.cents").alias("cents"))
+
+
 @query(
     "d15_merge3_text",
     f"select c_custkey, if({_ALL} and {_clash('cents')}, concat('((( ', p_cents, ' ))) ', l_cents, ' /// ', r_cents), ({_merged('cents')})::varchar) as cents from three where {_MERGE_ROWS}",
 )
 def d15_text(m):
-    table, _ = three_way.merge3(*three_versions(m), KEY, conflict_text=True)
+    table, _, _ = three_way.merge3(*three_versions(m), KEY, conflict_text=True)
     return table.select(*KEY, "cents")
 
 
@@ -416,7 +497,7 @@ def d15_text(m):
     f"select c_custkey, 'cents' as \"column\", p_cents::varchar as parent, l_cents::varchar as local, r_cents::varchar as remote from three where {_ALL} and {_clash('cents')}",
 )
 def d15_conflicts(m):
-    _, conflicts = three_way.merge3(*three_versions(m), KEY)
+    _, conflicts, _ = three_way.merge3(*three_versions(m), KEY)
     return conflicts
 
 
@@ -496,7 +577,7 @@ def d21(m):
     f"select c_custkey, 'cents' as \"column\", 'conflict' as category, if(in_l, l_cents::varchar, 'null') as old_value, r_cents::varchar as new_value, p_cents::varchar as parent_value from three where {_THREE_ACTION} = '!->' and {_clash('cents')}",
 )
 def d21_conflicts(m):
-    diff = three_way.diff3(*three_versions(m), KEY)
+    diff, _ = three_way.diff3(*three_versions(m), KEY)
     shown = textform.as_text(diff, KEY)
     cells = textform.parse_change_text(shown, "action", ["cents"], KEY)
     return cells.filter("category = 'conflict'")

@@ -12,6 +12,9 @@ from ..operators.numbering import keep_best, number_rows
 from ..operators.shares import share_of_total
 from ..plans import layered, measures, reports, scripted
 from ..plans.quality import reconcile_counts
+from ..session import scratch_path
+from ..sources.schemas import RAW_SCHEMAS
+from ..sources.sinks import snapshot_copy
 from .changes import diff_pair
 from .oracle import money_pct, month_of, pct, ratio
 from .registry import query
@@ -318,14 +321,17 @@ def u4(m):
     return equality_report(*diff_pair(m))
 
 
-@query("q4_row_reconciliation", "select 'productos' as tabla, count(*) as origen, count(*) as destino, true as cuadra from productos union all select 'ventas', (select count(*) from orders), count(*), (select count(*) from orders) = count(*) from ventas")
+@query(
+    "q4_row_reconciliation",
+    " union all ".join(f"select '{t}' as tabla, count(*) as origen, count(*) as destino, true as cuadra from {t}" for t in RAW_SCHEMAS)
+    + " union all select 'pedidos', (select count(*) from orders), count(*), (select count(*) from orders) = count(*) from ventas",
+)
 def q4(m):
-    return reconcile_counts(
-        {
-            "productos": (m.sources.base("part"), m.raw("productos")),
-            "ventas": (m.sources.base("orders"), m.raw("ventas")),
-        }
-    )
+    """Every raw table against its mirror, and orders against the sales made of them."""
+    m.land()
+    copies = snapshot_copy({n: m.raw(n) for n in RAW_SCHEMAS}, scratch_path(m.spark, "mirror"))
+    pairs = {n: (m.raw(n), copy) for n, copy in copies.items()}
+    return reconcile_counts(pairs | {"pedidos": (m.sources.base("orders"), m.raw("ventas"))})
 
 
 @query("w2_latest_activation", "select venta_id, activacion_id from activaciones qualify row_number() over (partition by venta_id order by fecha_activacion desc, activacion_id) = 1")

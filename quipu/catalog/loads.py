@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import re
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.compare.rows import row_diff
 from ..operators.numbering import first_writer
@@ -10,12 +13,18 @@ from ..operators.upsert import upsert
 from ..plans import layered, scripted
 from ..session import scratch_path
 from ..sources import files, sinks
-from ..sources.schemas import RAW_SCHEMAS
+from ..sources.schemas import MART_SCHEMAS, RAW_SCHEMAS
 from ..streaming import cdc, incremental
 from .changes import diff_pair
 from .registry import query
 
 
+def _row_text(table: str) -> str:
+    """The cells of a raw table as one text in SQL."""
+    names = [c.split()[0] for c in re.split(r",\s*(?![0-9])", RAW_SCHEMAS[table])]
+    return "concat_ws('|', " + ", ".join(f"coalesce({c}::varchar, 'NULL')" for c in names) + ")"
+
+
 @query("s1_source_scan", "select * from recepciones")
 def source_scan(m):
     return m.raw("recepciones")
@@ -28,15 +37,15 @@ def model_reference(m):
 
 @query(
     "s3_snapshot_copy",
-    "select 'activaciones' as tabla, count(*) as filas from activaciones union all select 'metas', count(*) from metas "
-    "union all select 'productos', count(*) from productos union all select 'ventas', count(*) from ventas",
+    " union all ".join(f"select '{t}' as tabla, {_row_text(t)} as fila from {t}" for t in RAW_SCHEMAS),
 )
 def snapshot_copy(m):
+    """All eight raw tables are mirrored; every cell of the copies is compared."""
     m.land()
-    names = ["activaciones", "metas", "productos", "ventas"]
-    copies = sinks.snapshot_copy({n: m.raw(n) for n in names}, scratch_path(m.spark, "mirror"))
-    rows = [copies[n].agg(F.count("*").alias("filas")).select(F.lit(n).alias("tabla"), "filas") for n in names]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+    copies = sinks.snapshot_copy({n: m.raw(n) for n in RAW_SCHEMAS}, scratch_path(m.spark, "mirror"))
+    text = lambda df: F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in df.columns])
+    parts = [df.select(F.lit(n).alias("tabla"), text(df).alias("fila")) for n, df in copies.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("s4_full_refresh", "select * from vendedores")
@@ -48,13 +57,14 @@ def full_refresh(m):
 
 @query("s5_incremental_append", "select * from ventas")
 def incremental_append(m):
-    """Three loads; each brings what the source had by then, only newer sales arrive."""
+    """Loads in the middle of a day: its other sales arrive with the next load, and none twice."""
     m.land()
     path = scratch_path(m.spark, "ventas")
-    source = m.raw("ventas")
-    for until in ("1994-06-30", "1996-12-31", "9999-12-31"):
-        landed = source.filter(F.col("fecha_venta") <= F.lit(until).cast("date"))
-        target = incremental.append_newer(m.spark, landed, path, "fecha_venta")
+    source, day = m.raw("ventas"), F.col("fecha_venta")
+    for load, until in enumerate(("1996-06-28", "1999-02-10", "1999-02-10", "9999-12-31")):
+        last = F.lit(until).cast("date")
+        early = (day == last) & ((F.col("venta_id") % 2 == 0) | F.lit(load == 2))
+        target = incremental.append_newer(m.spark, source.filter((day < last) | early), path, "fecha_venta", ["venta_id"], load)
     return target
 
 
@@ -101,9 +111,13 @@ def cdc_apply(m):
 @query("s6_cdc_stream", CDC_SQL)
 def cdc_stream(m):
     schema = m.sources.base("events").schema
-    root = scratch_path(m.spark, "cdc")
-    src = f"{m.sources.root}/events.parquet*"
-    state = cdc.cdc_stream(m.spark, src, schema, _changes, ["key"], root)
+    """Two runs over two drops of the log with a compaction between them."""
+    root, drops = scratch_path(m.spark, "cdc"), scratch_path(m.spark, "events")
+    events = m.sources.base("events")
+    for drop in (F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0):
+        events.filter(drop).write.mode("append").parquet(drops)
+        cdc.cdc_stream(m.spark, drops, schema, _changes, ["key"], root)
+        state = cdc.compact_changes(m.spark, root, ["key"])
     return cdc.live_rows(state)
 
 
@@ -172,7 +186,9 @@ def upsert_all(m):
         {"nom_oficina": F.lower("nom_oficina"), "zona": F.lit("SIN ZONA")}
     )
     target = layered.dim_oficina(old)
-    return upsert(target, offices, ["oficina_id"], "dofic_id")
+    # the source brings every office twice; the later row counts
+    twice = offices.withColumn("turno", F.lit(2)).unionByName(old.withColumn("turno", F.lit(1)))
+    return upsert(target, twice, ["oficina_id"], "dofic_id", last=[F.desc("turno")])
 
 
 @query(
@@ -189,8 +205,11 @@ def partial_upsert(m):
     old = rows.filter("origen_id % 4 = 0").withColumns(
         {"nom_cliente_pdv": F.lit("?"), "monto_asociado": F.lit("99.00").cast("decimal(5,2)")}
     )
-    target = layered.number_rows(old, [F.col("origen_id")], "dases_id", check_small=True)
-    return upsert(target, rows, ["origen_id", "tipo_canal"], "dases_id", ["nom_cliente_pdv"])
+    target = layered.number_rows(old, [F.col("origen_id")], "dases_id")
+    twice = rows.withColumn("turno", F.lit(2)).unionByName(
+        rows.withColumns({"nom_cliente_pdv": F.lit("antes"), "turno": F.lit(1)})
+    )
+    return upsert(target, twice, ["origen_id", "tipo_canal"], "dases_id", ["nom_cliente_pdv"], [F.desc("turno")])
 
 
 @query(
@@ -213,8 +232,8 @@ def _scripted_sales(m):
 
 @query(
     "s15_conform_defaults",
-    "select date_key_of as dtiem_id, null::integer as dofic_id, null::integer as dest_id, 1 as kits_vendidos, 0 as kits_activos, "
-    "0::decimal(5,2) as tasa_activacion_pct, ifnull(if(venta_id % 2 = 0, monto_venta, null), 0)::decimal(12,2) as ingresos_s, 0::decimal(5,2) as contribucion_pct, "
+    "select date_key_of as dtiem_id, null::bigint as dofic_id, null::bigint as dest_id, 1::bigint as n_estados, 1 as kits_vendidos, 0 as kits_activos, "
+    "0::decimal(5,2) as tasa_activacion_pct, ifnull(if(venta_id % 2 = 0, monto_venta, null), 0)::decimal(38,2) as ingresos_s, 0::decimal(5,2) as contribucion_pct, "
     "venta_id, null::varchar as serie, canal_venta from (select *, cast(strftime(fecha_venta, '%Y%m%d') as integer) as date_key_of from ventas)",
 )
 def conform_defaults(m):
@@ -228,14 +247,44 @@ def conform_defaults(m):
     return sinks.fill_defaults(rows, "hecho_ventas")
 
 
-@query("s16_recreate_targets", "select * from metas")
+@query(
+    "s16_recreate_targets",
+    " union all ".join(
+        f"select '{name}' as tabla, count(*) as filas from {view}"
+        for name, view in (
+            ("dim_tiempo", "a_dim_tiempo"), ("dim_oficina", "a_dim_oficina"), ("dim_estado", "a_dim_estado"), ("dim_asesor_pdv", "a_dim_asesor"),
+            ("hecho_ventas", "hecho_ventas"), ("hecho_inventario", "hecho_inventario"), ("hecho_canal", "hecho_canal"), ("hecho_desempeno", "hecho_desempeno"),
+        )
+    ),
+)
 def recreate_targets(m):
-    """An old table is replaced by an empty one, then loaded once."""
-    path = scratch_path(m.spark, "metas")
-    sinks.as_table(m.raw("metas"), path)
-    sinks.as_table(m.raw("metas").limit(0), path)
-    m.raw("metas").write.mode("append").parquet(path)
-    return m.spark.read.parquet(path)
+    """All eight targets hold old rows, are replaced by empty ones, and are loaded once."""
+    raw = m.land().raw
+    root = scratch_path(m.spark, "targets")
+    for name in MART_SCHEMAS:
+        sinks.as_table(raw("oficinas").select(F.lit(name).alias("vieja")), sinks.model_path(root, "", name))
+    empty = sinks.recreate(m.spark, root, list(MART_SCHEMAS))
+    office = scripted.dim_oficina(empty["dim_oficina"], raw("oficinas"))
+    seller = scripted.dim_asesor_pdv(empty["dim_asesor_pdv"], raw("vendedores"), raw("asesores"))
+    state = scripted.dim_estado(raw("recepciones"), raw("productos"))
+    view = scripted.vw_ventas_enriched(*[raw(t) for t in ("ventas", "recepciones", "activaciones", "productos")])
+    loads = {
+        "dim_tiempo": scripted.dim_tiempo(raw("ventas"), raw("recepciones"), raw("metas")),
+        "dim_oficina": office,
+        "dim_estado": state,
+        "dim_asesor_pdv": seller,
+        "hecho_ventas": scripted.hecho_ventas(view, office, state, raw("productos")),
+        "hecho_inventario": scripted.hecho_inventario(raw("recepciones"), raw("productos"), raw("ventas"), office, state),
+        "hecho_canal": scripted.hecho_canal(raw("ventas"), raw("activaciones"), office),
+        "hecho_desempeno": scripted.hecho_desempeno(raw("ventas"), raw("activaciones"), raw("metas"), office, seller),
+    }
+    parts = []
+    for name, df in loads.items():
+        path = sinks.model_path(root, "", name)
+        df.write.mode("append").parquet(path)
+        rows = m.spark.read.parquet(path).agg(F.count("*").alias("filas"))
+        parts.append(rows.select(F.lit(name).alias("tabla"), "filas"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(
@@ -252,14 +301,26 @@ def collated_text(m):
     return counts.select(plain.cast("string").alias("lote"), "recepciones")
 
 
+#: Cells that a text format has to quote or escape, by product.
+_AWKWARD = {0: "a\nb \"x\" ", 1: "a,b;c\td\U0001f4a9e", 2: "NULL", 3: None, 4: "_NULL", 5: "", 6: " c\rd"}
+_AWKWARD_SQL = "case producto_id % 8 " + " ".join(
+    f"when {k} then " + ("null" if v is None else "'" + v + "'") for k, v in _AWKWARD.items()
+) + " else descripcion end"
+
+
 def _delimited(m, ext):
     path = scratch_path(m.spark, ext)
-    files.write_delimited(m.raw("productos"), path, ext)
+    cell = F.col("descripcion")
+    for k, v in _AWKWARD.items():
+        cell = F.when(F.col("producto_id") % 8 == k, F.lit(v)).otherwise(cell)
+    files.write_delimited(m.raw("productos").withColumn("descripcion", cell), path, ext)
     return files.read_delimited(m.spark, path, ext, RAW_SCHEMAS["productos"])
 
 
 for _ext in ("csv", "tsv", "ssv", "psv"):
-    query(f"s18_delimited_{_ext}", "select * from productos")(lambda m, e=_ext: _delimited(m, e))
+    query(f"s18_delimited_{_ext}", f"select producto_id, serie, {_AWKWARD_SQL} as descripcion, precio_base, activo from productos")(
+        lambda m, e=_ext: _delimited(m, e)
+    )
 
 
 @query("s19_ndjson", "select * from activaciones")
@@ -276,6 +337,28 @@ def json_table(m):
     return files.read_json_table(m.spark, path, "metas", ["oficina_id", "anio", "mes_num", "meta_kits"], False)
 
 
+@query("s20_json_objects", "select producto_id::varchar as producto_id, serie, precio_base::varchar as precio_base from productos")
+def json_objects(m):
+    """Rows as objects, a hundred to a document."""
+    path = scratch_path(m.spark, "json-objects")
+    rows = m.raw("productos").select("producto_id", "serie", "precio_base")
+    files.write_json_table(rows, path, "productos", rows_per_document=100, objects=True)
+    return files.read_json_objects(m.spark, path, "productos", rows.columns, False)
+
+
+@query("s20_json_tables", "select 'metas' as tabla, oficina_id::varchar as clave, count(*) as filas from metas group by all union all select 'oficinas', oficina_id::varchar, count(*) from oficinas group by all")
+def json_tables(m):
+    """Two tables in one set of documents."""
+    path = scratch_path(m.spark, "json-tables")
+    files.write_json_tables({n: m.raw(n) for n in ("metas", "oficinas")}, path)
+    tables = files.read_json_tables(m.spark, path, {n: ["oficina_id"] for n in ("metas", "oficinas")}, False)
+    parts = [
+        df.groupBy(F.col("oficina_id").alias("clave")).agg(F.count("*").alias("filas")).select(F.lit(n).alias("tabla"), "clave", "filas")
+        for n, df in tables.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     "s21_keyed_table_diff",
     "select action, count(*) as filas from (select case when a.c_custkey is null then '+++' when b.c_custkey is null then '---' "

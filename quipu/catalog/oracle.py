@@ -81,16 +81,17 @@ TABLES: dict[str, str] = {
     "vw_received": "select venta_id, v.oficina_id, fecha_venta, fecha_recepcion, cast(if(canal_venta = 'DIRECTO', 220, if(canal_venta = 'PDV', 160, monto_venta)) as decimal(12,2)) as monto_calculado, date_diff('day', fecha_recepcion, fecha_venta)::integer as dias_rotacion, if(date_diff('day', fecha_recepcion, fecha_venta) > 90, 1, 0) as es_riesgo, ifnull(flag_activo, false)::integer as es_activacion, vendedor_id, asesor_pdv_id, canal_venta from ventas v join recepciones r using (recepcion_id) left join activaciones using (venta_id)",
     "a_dim_tiempo": f"select {date_key('fecha')} as dtiem_id, fecha, day(fecha)::integer as dia, weekofyear(fecha)::integer as semana, month(fecha)::integer as mes, monthname(fecha) as nombre_mes, quarter(fecha)::integer as trimestre, year(fecha)::integer as anio, if(not sold and received, fecha, null) as fecha_recepcion, if(sold, fecha, null) as fecha_venta from (select fecha, fecha in (select fecha_venta from ventas) as sold, fecha in (select fecha_recepcion from recepciones) as received from fechas where fecha is not null)",
     "a_states": f"select min(estado_recepcion) as estado, dias_inactivo as dias_desde_recepcion, {RISK}::integer as flag_riesgo_90d, min(serie) as lote_serie from recepciones left join productos using (producto_id) group by {FOLD.format('estado_recepcion')}, dias_inactivo, {RISK}, {FOLD.format('serie')}",
-    "a_dim_estado": "select row_number() over (order by estado, lote_serie nulls last, dias_desde_recepcion nulls last, flag_riesgo_90d)::integer as dest_id, * from a_states",
-    "a_dim_oficina": "select (row_number() over (order by oficina_id))::integer as dofic_id, * from oficinas",
-    "a_dim_asesor": "select (row_number() over (order by tipo_canal, origen_id))::integer as dases_id, origen_id::integer as origen_id, nom_cliente_pdv, tipo_canal, monto_asociado::decimal(10,2) as monto_asociado from sellers",
-    "a_loaded": f"select {date_key('fecha_venta')} as dtiem_id, dofic_id, dest_id, 1 as kits_vendidos, es_activacion as kits_activos, (es_activacion * 100)::decimal(5,2) as tasa_activacion_pct, monto_calculado as ingresos_s, venta_id, serie_producto as serie, canal_venta from vw_enriched v join a_dim_oficina using (oficina_id) left join a_dim_estado e on {FOLD.format('e.lote_serie')} = {FOLD.format('v.serie_producto')}",
-    "a_income": "select dofic_id, sum(ingresos_s) as ing, sum(sum(ingresos_s)) over () as todo from a_loaded group by dofic_id",
+    "a_dim_estado": "select row_number() over (order by estado, lote_serie nulls last, dias_desde_recepcion nulls last, flag_riesgo_90d) as dest_id, * from a_states",
+    "a_dim_oficina": "select row_number() over (order by oficina_id) as dofic_id, * from oficinas",
+    "a_dim_asesor": "select row_number() over (order by tipo_canal, origen_id) as dases_id, origen_id::bigint as origen_id, nom_cliente_pdv, tipo_canal, monto_asociado::decimal(10,2) as monto_asociado from sellers",
+    "a_status": f"select {FOLD.format('lote_serie')} as f, min(dest_id) as dest_id, count(*) as n from a_dim_estado where lote_serie is not null group by 1",
+    "a_loaded": f"select {date_key('fecha_venta')} as dtiem_id, dofic_id, dest_id, ifnull(n, 0) as n_estados, 1 as kits_vendidos, es_activacion as kits_activos, (es_activacion * 100)::decimal(5,2) as tasa_activacion_pct, monto_calculado::decimal(38,2) as ingresos_s, venta_id, serie_producto as serie, canal_venta from vw_enriched v join a_dim_oficina using (oficina_id) left join a_status on f = {FOLD.format('v.serie_producto')}",
+    "a_income": "select dofic_id, sum(ingresos_s * greatest(n_estados, 1)) as ing, sum(sum(ingresos_s * greatest(n_estados, 1))) over () as todo from a_loaded group by dofic_id",
     "hecho_ventas": f"select a_loaded.*, {money_pct('ing', 'todo')}::decimal(5,2) as contribucion_pct from a_loaded join a_income using (dofic_id)",
-    "hecho_inventario": f"select {date_key('fecha_recepcion')} as dtiem_id, dofic_id, dest_id, ifnull(dias_inactivo, 0) as dias_inactivo, {RISK}::integer as kits_riesgo_90d, date_diff('day', fecha_recepcion, fecha_venta)::decimal(8,2) as rotation_lote, p.serie from recepciones r join productos p using (producto_id) join a_dim_oficina using (oficina_id) left join (select recepcion_id, fecha_venta from ventas) v using (recepcion_id) left join a_dim_estado e on {FOLD.format('e.lote_serie')} = {FOLD.format('p.serie')}",
-    "hecho_canal": f"select {date_key('fecha_mes')} as dtiem_id, dofic_id, kits_canal_directo, kits_canal_pdv, ingresos_directo::decimal(12,2) as ingresos_directo, ingresos_pdv::decimal(12,2) as ingresos_pdv, {pct('kits_canal_pdv', 'total_kits')}::decimal(5,2) as mix_canal_pct from canal_mes join a_dim_oficina using (oficina_id)",
+    "hecho_inventario": f"select {date_key('fecha_recepcion')} as dtiem_id, dofic_id, dest_id, ifnull(n, 0) as n_estados, ifnull(dias_inactivo, 0) as dias_inactivo, {RISK}::integer as kits_riesgo_90d, date_diff('day', fecha_recepcion, fecha_venta)::decimal(8,2) as rotation_lote, p.serie from recepciones r join productos p using (producto_id) join a_dim_oficina using (oficina_id) left join (select recepcion_id, fecha_venta from ventas) v using (recepcion_id) left join a_status on f = {FOLD.format('p.serie')}",
+    "hecho_canal": f"select {date_key('fecha_mes')} as dtiem_id, dofic_id, kits_canal_directo, kits_canal_pdv, ingresos_directo::decimal(38,2) as ingresos_directo, ingresos_pdv::decimal(38,2) as ingresos_pdv, {pct('kits_canal_pdv', 'total_kits')}::decimal(5,2) as mix_canal_pct from canal_mes join a_dim_oficina using (oficina_id)",
     "goal_sums": "select oficina_id, anio, mes_num, sum(meta_kits)::bigint as meta from metas group by all",
-    "hecho_desempeno": f"select {date_key('fecha_mes')} as dtiem_id, dofic_id, dases_id::integer as dases_id, {KITS}, ifnull(meta, 0) as meta_kits_mes, {pct('kits_activos_asesor', 'meta')}::decimal(12,2) as cumplimiento_meta_pct, {pct('kits_inactivos_asesor', 'kits_por_asesor')}::decimal(5,2) as kits_inactivos_pct from sold_by join a_dim_oficina using (oficina_id) left join goal_sums using (oficina_id, anio, mes_num)",
+    "hecho_desempeno": f"select {date_key('fecha_mes')} as dtiem_id, dofic_id, dases_id::bigint as dases_id, {KITS}, ifnull(meta, 0) as meta_kits_mes, {pct('kits_activos_asesor', 'meta')}::decimal(12,2) as cumplimiento_meta_pct, {pct('kits_inactivos_asesor', 'kits_por_asesor')}::decimal(5,2) as kits_inactivos_pct from sold_by join a_dim_oficina using (oficina_id) left join goal_sums using (oficina_id, anio, mes_num)",
     # measures
     "sales_cube": "select oficina_id, fecha_venta, canal_venta, count(*) as kits, sum(es_activacion)::bigint as activos, sum(monto_calculado)::decimal(30,2) as ingresos from enriched group by all",
     "sales": f"select c.*, year(fecha_venta)::integer as anio, quarter(fecha_venta)::integer as trimestre, month(fecha_venta)::integer as mes, day(fecha_venta)::integer as dia, {month_of('fecha_venta')} as fecha_mes, nom_oficina, departamento, region, zona from sales_cube c left join oficinas using (oficina_id)",

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import percent
 from ..plans import kpis, layered, measures, quality, reports
-from ..session import written
-from ..sources.sinks import resolve_schema
+from ..session import scratch_path, written
+from ..sources.sinks import as_table, model_path, resolve_schema
 from .oracle import pct, ratio
 from .registry import query
 from .shaping import AS_OF
@@ -85,13 +85,20 @@ _register(
 )
 
 
-@query("e1_schema_override", "select 'marts' as propio, 'staging' as por_defecto, count(*) as ventas from ventas")
+@query(
+    "e1_schema_override",
+    "select 'marts' as esquema, oficina_id, count(*) as filas from ventas group by all union all select 'staging', oficina_id, count(*) from recepciones group by all",
+)
 def e1(m):
-    return m.raw("ventas").agg(F.count("*").alias("ventas")).select(
-        F.lit(resolve_schema(" marts ", "staging")).alias("propio"),
-        F.lit(resolve_schema(None, "staging")).alias("por_defecto"),
-        "ventas",
-    )
+    """Two models stored below their schema, one with a name of its own; rows as read back from there."""
+    root = scratch_path(m.land().spark, "schemas")
+    parts = []
+    for custom, model in ((" marts ", "ventas"), (None, "recepciones")):
+        schema = resolve_schema(custom, "staging")
+        as_table(m.raw(model), model_path(root, schema, model))
+        rows = m.spark.read.parquet(f"{root}/{schema}/{model}").groupBy("oficina_id").agg(F.count("*").alias("filas"))
+        parts.append(rows.select(F.lit(schema).alias("esquema"), "oficina_id", "filas"))
+    return parts[0].unionByName(parts[1])
 
 
 # ---- KPIs -------------------------------------------------------------------------

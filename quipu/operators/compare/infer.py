@@ -3,16 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ...functions.cells import EXACT, CellRules, comparable
 from ...functions.text import key_text
-from ...session import checkpointed
+from ...session import written
 from ..joins import null_safe
 
-KEY_COLUMNS = 5
-CROWDED_SHARE = 0.1
-
 
 def distinct_counts(a: DataFrame, b: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """One row per column: its distinct texts (NULL counts once) in `a` plus in `b`.
@@ -37,7 +33,7 @@ def distinct_counts(a: DataFrame, b: DataFrame, columns: list[str], exact: bool
     return per_side.groupBy("at", "column").agg(F.sum("n").alias("distinct_values"))
 
 
-def top_columns(a: DataFrame, b: DataFrame, columns: list[str], keep: int = KEY_COLUMNS) -> list[str]:
+def top_columns(a: DataFrame, b: DataFrame, columns: list[str], keep: int) -> list[str]:
     """The most distinct columns, earlier columns first among equals."""
     if len(columns) <= keep:
         return columns
@@ -59,59 +55,34 @@ def align_infer_keys(
     b: DataFrame,
     id_a: str,
     id_b: str,
-    columns: list[str],
+    candidates: list[list[str]],
     rules: CellRules = EXACT,
 ) -> DataFrame:
-    """Links (id_a, id_b, subset) between rows of `a` and `b`.
-
-    Up to five of the most distinct columns are tried in every combination, in binary
-    counting order. A combination whose largest group holds a tenth of the taller
-    table (plus 20 rows) is passed over, except the full one when nothing was used
-    before. Rows link when their key text is found once on each side; only rows not
-    yet linked take part in later rounds. Links are written after each round, so a
-    plan only ever reads stored links. `id_a` and `id_b` name row ids.
+    """Links (id_a, id_b, subset) between rows of `a` and `b` by any of the candidate keys.
+
+    A candidate links two rows whose key text is found once on each side and is not
+    empty. All candidates are keyed and grouped together: one exchange. A row linked by
+    several candidates keeps the link of the first one; a link whose other row is taken
+    by an earlier candidate is left out. `id_a` and `id_b` name row ids.
     """
-    chosen = top_columns(a, b, columns)
-    a = checkpointed(a.select(F.col(id_a).alias("id_a"), *chosen))
-    b = checkpointed(b.select(F.col(id_b).alias("id_b"), *chosen))
-    height_a, height_b = a.count(), b.count()
-    taller = max(height_a, height_b) + 1  # the header row counts in the height
-    everything = 2 ** len(chosen) - 1
-    links = a.sparkSession.createDataFrame(
-        [], StructType([a.schema["id_a"], b.schema["id_b"], StructField("subset", StringType())])
+    def keyed(df: DataFrame, id: str, name: str) -> DataFrame:
+        keys = F.array(*[F.struct(F.lit(i).alias("turn"), _key(c, rules).alias("key")) for i, c in enumerate(candidates)])
+        return df.select(F.col(id).alias(name), F.inline(keys))
+
+    rows = keyed(a, id_a, "id_a").unionByName(keyed(b, id_b, "id_b"), allowMissingColumns=True).filter("key <> ''")
+    groups = rows.groupBy("turn", "key").agg(
+        F.count("id_a").alias("n_a"), F.count("id_b").alias("n_b"), F.max("id_a").alias("id_a"), F.max("id_b").alias("id_b")
     )
-    linked = used = 0
-    for code in range(1, everything + 1):
-        if linked >= min(height_a, height_b):
-            break  # every row of one side is linked, so no later round can add a link
-        subset = [c for i, c in enumerate(chosen) if code >> i & 1]
-        key = _key(subset, rules).alias("key")
-        rows = a.select(key, "id_a").unionByName(b.select(key, "id_b"), allowMissingColumns=True)
-        groups = rows.groupBy("key").agg(
-            F.count("id_a").alias("n_a"),
-            F.count("id_b").alias("n_b"),
-            F.max("id_a").alias("id_a"),
-            F.max("id_b").alias("id_b"),
-        )
-        alone = (F.col("n_a") == 1) & (F.col("n_b") == 1) & (F.col("key") != "")
-        # a crowded combination, or one that tells no row apart, costs this pass and writes nothing
-        seen = groups.agg(
-            F.coalesce(F.max(F.greatest("n_a", "n_b")), F.lit(0)).alias("crowd"),
-            F.count_if(alone).alias("pairs"),
-        ).first()
-        if seen.crowd / (taller + 20) >= CROWDED_SHARE and (used > 0 or code < everything):
-            continue
-        used += 1
-        if seen.pairs == 0:
-            continue
-        found = groups.filter(alone).select(
-            "id_a", "id_b", F.lit(",".join(subset)).alias("subset")
-        )
-        found = found.join(links.select("id_a"), "id_a", "left_anti")
-        found = found.join(links.select("id_b"), "id_b", "left_anti")
-        found = checkpointed(found.select("id_a", "id_b", "subset"))
-        linked += found.count()
-        links = links.unionByName(found)
+    found = written(groups.filter("n_a = 1 and n_b = 1").select("turn", "id_a", "id_b"), "candidate-links")
+    links = None
+    for i, candidate in enumerate(candidates):  # as many steps as candidates were given
+        own = found.filter(F.col("turn") == i)
+        if links is not None:
+            own = own.join(links.select("id_a"), "id_a", "left_anti").join(links.select("id_b"), "id_b", "left_anti")
+        own = written(own.select("id_a", "id_b", F.lit(",".join(candidate)).alias("subset")), "links")
+        links = own if links is None else links.unionByName(own)
+    if links is None:
+        raise ValueError("no candidate key was given")
     return links
 
 

@@ -8,50 +8,79 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ...functions.cells import EXACT, CellRules, same_cell
+from ...session import written
 from ..joins import null_safe
 from .columns import column_plan
+from .order import order_changed
 
 INSERT, DELETE, UPDATE, FILL, MOVE, CONFLICT = "+++", "---", "->", "+", ":", "!->"
 
 
-def collate_versions(sides: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+def repeated_keys(sides: list[DataFrame], keys: list[str]) -> DataFrame:
+    """Keys that a side holds more than once, from the keys alone, written once."""
+    tagged = [df.select(*keys, F.lit(i).alias("_side")) for i, df in enumerate(sides)]
+    counts = reduce(DataFrame.unionByName, tagged).groupBy(*keys, "_side").agg(F.count("*").alias("_n"))
+    return written(counts.filter("_n > 1").select(*keys).distinct(), "repeated-keys")
+
+
+def repeated_rows(sides: dict[str, DataFrame], repeated: DataFrame, keys: list[str]) -> DataFrame:
+    """Every row whose key repeats on some side, with `side` and its other cells as a struct."""
+    rows = []
+    for side, df in sides.items():
+        body = F.struct(*[c for c in df.columns if c not in keys])
+        own = null_safe(df, repeated, keys, "left_semi")
+        rows.append(own.select(*keys, F.lit(side).alias("side"), body.alias(side)))
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), rows)
+
+
+def collate_versions(sides: dict[str, DataFrame], keys: list[str], repeated: DataFrame | None = None) -> DataFrame:
     """One row per key with each side's row as a struct and its row count.
 
-    All sides are stacked and grouped by key: one exchange for any number of sides,
-    NULL keys meet like any other, and repeated keys are combined before they move.
-    The struct is only meaningful where the count `n_<side>` is 1.
+    All sides are stacked and grouped by key: one exchange for any number of sides, NULL
+    keys meet like any other. Where a key repeats on a side, that side's struct is NULL
+    and its count tells. With `repeated`, rows of those keys meet no other row: each comes
+    out by itself, as often as it was there, and spreads by its content.
     """
-    bodies = {s: F.struct(*[c for c in df.columns if c not in keys]) for s, df in sides.items()}
-    stacked = [
-        df.select(*keys, F.lit(side).alias("_side"), bodies[side].alias(side))
-        for side, df in sides.items()
-    ]
+    stacked = []
+    for side, df in sides.items():
+        body = F.struct(*[c for c in df.columns if c not in keys])
+        own = F.lit(None).cast("struct<side:string,a:long,b:int>")
+        rows = df
+        if repeated is not None:
+            rows = null_safe(df, repeated.withColumn("_repeats", F.lit(True)), keys, "left")
+            mark = F.struct(F.lit(side).alias("side"), F.xxhash64(*df.columns).alias("a"), F.hash(*df.columns).alias("b"))
+            own = F.when(F.col("_repeats"), mark)
+        stacked.append(rows.select(*keys, own.alias("_own"), F.lit(side).alias("_side"), body.alias(side)))
     rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), stacked)
-    return rows.groupBy(*keys).agg(
+    by = [*keys, "_own"] if repeated is not None else keys
+    grouped = rows.groupBy(*by).agg(
         *[F.count_if(F.col("_side") == s).alias(f"n_{s}") for s in sides],
-        *[F.any_value(F.col(s), F.lit(True)).alias(s) for s in sides],
+        *[F.any_value(F.col(s), F.lit(True)).alias(f"_{s}") for s in sides],
     )
+    if repeated is not None:
+        # equal rows of a repeating key were combined; bring each back
+        times = F.when(F.col("_own").isNotNull(), F.greatest(*[F.col(f"n_{s}") for s in sides], F.lit(1))).otherwise(1)
+        grouped = grouped.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), times.cast("long"))))
+        alone = F.col("_own").isNotNull()
+        grouped = grouped.withColumns({f"n_{s}": F.when(alone, F.least(F.col(f"n_{s}"), F.lit(1))).otherwise(F.col(f"n_{s}")) for s in sides})
+    bodies = [F.when(F.col(f"n_{s}") == 1, F.col(f"_{s}")).alias(s) for s in sides]
+    return grouped.select(*keys, *[f"n_{s}" for s in sides], *bodies)
 
 
 def align_by_key(a: DataFrame, b: DataFrame, keys: list[str], unique_keys: bool = False) -> DataFrame:
     """Keys with struct `l` and `r`; either is NULL where that side has no row.
 
-    A key that repeats on a side links nothing: its rows come out one by one as
-    left-only and right-only rows. `unique_keys=True` declares that no key repeats.
+    A key that repeats on a side links nothing: its rows come out one by one as left-only
+    and right-only rows. `unique_keys=True` declares that no key repeats, and a key that
+    does is an error.
     """
-    pairs = collate_versions({"l": a, "r": b}, keys)
     if unique_keys:
-        return pairs.select(*keys, "l", "r")
-    repeated = (F.col("n_l") > 1) | (F.col("n_r") > 1)
-    linked = pairs.filter(~repeated).select(*keys, "l", "r")
-    clashes = pairs.filter(repeated).select(*keys)
-    left = null_safe(a, clashes, keys, "left_semi")
-    right = null_safe(b, clashes, keys, "left_semi")
-    only_left = left.select(*keys, F.struct(*[c for c in a.columns if c not in keys]).alias("l"))
-    only_right = right.select(*keys, F.struct(*[c for c in b.columns if c not in keys]).alias("r"))
-    return linked.unionByName(only_left, allowMissingColumns=True).unionByName(
-        only_right, allowMissingColumns=True
-    )
+        pairs = collate_versions({"l": a, "r": b}, keys)
+        wrong = (F.col("n_l") > 1) | (F.col("n_r") > 1)
+        checked = lambda c: F.when(wrong, F.raise_error(F.lit("a key declared unique repeats"))).otherwise(F.col(c)).alias(c)
+        return pairs.select(*keys, checked("l"), checked("r"))
+    repeated = repeated_keys([a, b], keys)
+    return collate_versions({"l": a, "r": b}, keys, repeated).select(*keys, "l", "r")
 
 
 def link_unique(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -73,16 +102,19 @@ def row_diff(
     actions: Iterable[str] | None = None,
     unique_keys: bool = False,
     keep_unchanged: bool = False,
+    ordered: str | None = None,
 ) -> DataFrame:
     """One row per changed key: keys, `action`, and `struct<before, after>` per column.
 
     Actions: insert, delete, update, `+` where only a new column is filled, and an
-    empty action for unchanged rows when those are kept.
+    empty action for unchanged rows when those are kept. `ordered` names a column with
+    the row's position (distinct on a side); an otherwise unchanged row that now stands
+    above one it used to follow gets `:` (moved).
     """
     a = a.drop(*rules.ignore_columns).withColumnsRenamed(renames or {})
     b = b.drop(*rules.ignore_columns)
     plan = column_plan(a, b)
-    common = [c for c in plan.common if c not in keys]
+    common = [c for c in plan.common if c not in keys and c != ordered]
     rows = align_by_key(a, b, keys, unique_keys)
     left, right = F.col("l"), F.col("r")
 
@@ -104,7 +136,14 @@ def row_diff(
         before = left[c] if c in a.columns else F.lit(None).cast(b.schema[c].dataType)
         after = right[c] if c in b.columns else F.lit(None).cast(a.schema[c].dataType)
         cells.append(F.struct(before.alias("before"), after.alias("after")).alias(c))
-    out = rows.select(*keys, action.alias("action"), *cells)
+    places = [left[ordered].alias("_old"), right[ordered].alias("_new")] if ordered else []
+    out = rows.select(*keys, action.alias("action"), *cells, *places)
+    if ordered:
+        placed = written(out, "placed")  # read twice: the linked rows in their order, and the others
+        both = F.col("_old").isNotNull() & F.col("_new").isNotNull()
+        moved = order_changed(placed.filter(both), "_old", "_new")
+        moved = moved.withColumn("action", F.when((F.col("action") == "") & F.col("movida"), MOVE).otherwise(F.col("action")))
+        out = moved.drop("movida").unionByName(placed.filter(~both)).drop("_old", "_new")
     if not keep_unchanged:
         out = out.filter(F.col("action") != "")
     return out.filter(F.col("action").isin(list(actions))) if actions is not None else out

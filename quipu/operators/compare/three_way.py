@@ -21,12 +21,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ...functions.cells import EXACT, CellRules, same_cell
-from .rows import CONFLICT, DELETE, FILL, INSERT, UPDATE, collate_versions
+from ..joins import null_safe
+from .rows import CONFLICT, DELETE, FILL, INSERT, UPDATE, collate_versions, repeated_keys, repeated_rows
 
 
-def _sides(p: DataFrame, l: DataFrame, r: DataFrame, keys: list[str]) -> DataFrame:
-    rows = collate_versions({"p": p, "l": l, "r": r}, keys)
-    return rows.withColumns({f"in_{s}": F.col(f"n_{s}") > 0 for s in "plr"})
+def _sides(p: DataFrame, l: DataFrame, r: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Versions by key where every key is unique, and all rows of the other keys."""
+    sides = {"p": p, "l": l, "r": r}
+    repeated = repeated_keys(list(sides.values()), keys)
+    single = {s: null_safe(df, repeated, keys, "left_anti") for s, df in sides.items()}
+    rows = collate_versions(single, keys)
+    return rows.withColumns({f"in_{s}": F.col(f"n_{s}") > 0 for s in "plr"}), repeated_rows(sides, repeated, keys)
 
 
 def _any(conditions: list[Column]) -> Column:
@@ -39,8 +44,11 @@ def diff3(
     remote: DataFrame,
     keys: list[str],
     rules: CellRules = EXACT,
-) -> DataFrame:
-    """What the remote brings to the local table, keys unique per table.
+) -> tuple[DataFrame, DataFrame]:
+    """(what the remote brings to the local table, rejects).
+
+    A key that repeats in a version cannot be compared: all rows with it, of every version,
+    are rejects with their `side` (p, l or r).
 
     Each cell is `struct<before, ours, after>`: the parent (or local) value, the local
     value where both sides edited it, and the remote value where it changed.
@@ -50,7 +58,7 @@ def diff3(
     new = [c for c in remote.columns if c not in parent.columns and c not in local.columns]
     p, l, r = F.col("p"), F.col("l"), F.col("r")
     in_p, in_l, in_r = F.col("in_p"), F.col("in_l"), F.col("in_r")
-    rows = _sides(parent, local, remote, keys)
+    rows, rejects = _sides(parent, local, remote, keys)
 
     def remote_edit(c: str) -> Column:
         by_parent = in_p & in_r & ~same_cell(p[c], r[c], rules)
@@ -84,7 +92,7 @@ def diff3(
     for c in new:
         none = F.lit(None).cast(remote.schema[c].dataType)
         cells.append(F.struct(none.alias("before"), none.alias("ours"), r[c].alias("after")).alias(c))
-    return rows.select(*keys, action.alias("action"), *cells).filter(F.col("action") != "")
+    return rows.select(*keys, action.alias("action"), *cells).filter(F.col("action") != ""), rejects
 
 
 def _merge_columns(parent: DataFrame, local: DataFrame, remote: DataFrame, keys: list[str]):
@@ -107,8 +115,11 @@ def merge3(
     remote: DataFrame,
     keys: list[str],
     conflict_text: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """(merged table, conflicts); keys unique per table.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(merged table, conflicts, rejects).
+
+    A key that repeats in a version cannot be merged: all rows with it, of every version,
+    are rejects with their `side` (p, l or r) and are not in the merged table.
 
     Local wins unless only the remote edited a cell. Rows and columns removed on one
     side are removed even if the other edited them. Conflicting cells keep the local
@@ -118,7 +129,7 @@ def merge3(
     own, merged, added = _merge_columns(parent, local, remote, keys)
     p, l, r = F.col("p"), F.col("l"), F.col("r")
     in_p, in_l, in_r = F.col("in_p"), F.col("in_l"), F.col("in_r")
-    rows = _sides(parent, local, remote, keys)
+    rows, rejects = _sides(parent, local, remote, keys)
     all_three = in_p & in_l & in_r
 
     def clash(c: str) -> Column:
@@ -169,4 +180,4 @@ def merge3(
         ]
     )
     conflicts = rows.filter(all_three).select(*keys, F.inline(notes)).filter("clash").drop("clash")
-    return table, conflicts
+    return table, conflicts, rejects

@@ -8,18 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import checkpointed
 
-BROADCAST_ROWS = 100_000
-SPLITS = 32
-
-
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most `rows + 1` rows; call it on written or checkpointed tables."""
-    return df.limit(rows + 1).count() <= rows
-
 
 def lookup(fact: DataFrame, dim: DataFrame, on: Column, how: str = "left") -> DataFrame:
-    """Star join: broadcast the dimension when its counted rows fit, else shuffle."""
-    return fact.join(F.broadcast(dim) if fits_broadcast(dim) else dim, on, how)
+    """Star join to a written dimension; Catalyst and AQE broadcast it where its bytes allow."""
+    return fact.join(dim, on, how)
 
 
 def left_join_unique(
@@ -40,11 +32,15 @@ def left_join_unique(
     return spread.join(right.withColumn("_spread", zero), [key, "_spread"], "left").drop("_spread")
 
 
-def hot_keys(df: DataFrame, key: str, splits: int = SPLITS) -> DataFrame:
-    """Keys holding more than 1/splits of the non-null keys: fewer than `splits` rows."""
+def hot_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """Keys with more rows than an average one of `parts` partitions, and their share in partitions.
+
+    Fewer than `parts` keys can hold that many rows, which bounds the list.
+    """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter(F.col("_n") * splits > total).select(F.col(key).alias("_hot"))
+    limit = counts.agg(F.greatest(F.ceil(F.sum("_n") / parts), F.lit(1))).scalar()
+    splits = F.ceil(F.col("_n") / limit).cast("int")
+    return counts.select(F.col(key).alias("_hot"), splits.alias("_splits")).filter("_splits > 1")
 
 
 def skew_join(
@@ -52,45 +48,45 @@ def skew_join(
     right: DataFrame,
     key: str,
     how: str = "left",
-    splits: int = SPLITS,
+    parts: int | None = None,
     right_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join on one column where the right side may repeat a key without bound.
 
-    AQE can cut the left side of a left join but never the right, so the right rows of
-    a hot key are split here by a hash of the row, and the few left rows of that key
-    are repeated once per split. The hot list is counted with map-side combining,
-    written once and holds fewer than `splits` rows, which bounds its broadcast.
-    `right_keys` may name a cheaper frame
-    with the same keys.
+    AQE can cut the left side of a left join but never the right. A right key with more
+    rows than a partition should hold (all rows / `parts`, by default the session's
+    shuffle partitions) is split by a hash of the row into as many pieces as it fills, and
+    the left rows of that key are repeated once per piece. The hot list is counted with
+    map-side combining and written once. `right_keys` may name a cheaper frame with the
+    same keys.
     """
     if how not in ("left", "inner"):
         raise ValueError("skew_join does inner and left joins")
-    hot = checkpointed(hot_keys(right_keys if right_keys is not None else right, key, splits))
+    parts = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = checkpointed(hot_keys(right_keys if right_keys is not None else right, key, parts))
     if hot.isEmpty():
         return left.join(right, key, how)
 
     is_hot = F.col("_hot").isNotNull()
-    every = F.sequence(F.lit(0), F.lit(splits - 1))
-    own_left = F.pmod(F.xxhash64(*left.columns), F.lit(splits)).cast("int")
-    own_right = F.pmod(F.xxhash64(*right.columns), F.lit(splits)).cast("int")
+    spread = F.array(F.pmod(F.xxhash64(*left.columns), F.lit(parts)).cast("int"))
+    own_right = F.pmod(F.xxhash64(*right.columns), F.col("_splits")).cast("int")
     split_right = (
         right.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
         .withColumn("_salt", F.when(is_hot, own_right).otherwise(0))
         .withColumn("_found", F.lit(True))
-        .drop("_hot")
+        .drop("_hot", "_splits")
     )
     repeated_left = left.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn(
         "_salt",
         F.explode(
-            F.when(is_hot, every)
-            .when(F.col(key).isNull(), F.array(own_left))
+            F.when(is_hot, F.sequence(F.lit(0), F.col("_splits") - 1))
+            .when(F.col(key).isNull(), spread)
             .otherwise(F.array(F.lit(0)))
         ),
     )
     joined = repeated_left.join(split_right, [key, "_salt"], how)
-    # a repeated left row has a match in some split; drop its empty splits
-    return joined.filter(~is_hot | F.col("_found").isNotNull()).drop("_salt", "_hot", "_found")
+    # a repeated left row has a match in some piece; drop its empty pieces
+    return joined.filter(~is_hot | F.col("_found").isNotNull()).drop("_salt", "_hot", "_splits", "_found")
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:

@@ -9,27 +9,14 @@ from ..session import checkpointed
 ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
-SMALL_ROWS = 10_000
-
-
-def number_rows(
-    df: DataFrame,
-    order: list[Column],
-    name: str,
-    start: Column | None = None,
-    check_small: bool = False,
-) -> DataFrame:
+def number_rows(df: DataFrame, order: list[Column], name: str, start: Column | None = None) -> DataFrame:
     """Add 1..n in `order` without sorting everything in one task.
 
-    With `check_small`, an input counted to at most `SMALL_ROWS` rows takes a plain
-    window; use it where reading the input twice is cheap. Otherwise rows are range-partitioned and sorted, written once to the shared folder, and
+    Rows are range-partitioned and sorted, written once to the shared folder, and
     numbered as (rows in earlier partitions) + (index in the own partition). `order`
     must be total: only equal sort keys are kept in one partition.
     """
     base = start if start is not None else F.lit(0)
-    if check_small and df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
-        rank = F.row_number().over(Window.orderBy(*order))
-        return df.withColumn(name, base + rank.cast("long"))
     placed = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order))
     placed = placed.withColumn("_at", F.monotonically_increasing_id())
     part = F.shiftright("_at", ROW_BITS)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .numbering import number_rows
+from .numbering import keep_best, number_rows
 
 
 def upsert(
@@ -13,13 +13,19 @@ def upsert(
     keys: list[str],
     surrogate: str,
     update_cols: list[str] | None = None,
+    last: list[Column] | None = None,
+    number_by: list[Column] | None = None,
 ) -> DataFrame:
     """Rows of `target` keep their surrogate; new keys of `source` are numbered after it.
 
     Matched rows take `update_cols` (all non-key columns by default) from the source
-    and keep the rest. New rows are numbered in key order.
+    and keep the rest. Of source rows with one key a single one counts: the first in the
+    order `last`, by default the one with the greatest values. New rows are numbered by
+    `number_by`, by default in key order.
     """
     columns = [c for c in target.columns if c != surrogate]
+    rest = [c for c in columns if c not in keys]
+    source = keep_best(source, keys, last or [F.desc_nulls_last(c) for c in [*rest, *keys]])
     changed = set(update_cols if update_cols is not None else [c for c in columns if c not in keys])
     fresh = source.select(*keys, F.struct(*[c for c in columns if c not in keys]).alias("_new"))
     kept = target.join(fresh, keys, "left").select(
@@ -32,6 +38,6 @@ def upsert(
         ],
     )
     unseen = source.select(*columns).join(target.select(*keys), keys, "left_anti")
-    last = target.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
-    added = number_rows(unseen, [F.col(k) for k in keys], surrogate, start=last, check_small=True)
+    top = target.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
+    added = number_rows(unseen, number_by or [F.col(k) for k in keys], surrogate, start=top)
     return kept.unionByName(added.withColumn(surrogate, F.col(surrogate).cast(kept.schema[surrogate].dataType)))

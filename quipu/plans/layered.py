@@ -8,7 +8,7 @@ from ..functions import rules
 from ..functions.dates import calendar_columns, date_key, day_gap, month_start
 from ..functions.numeric import money_percent, percent
 from ..functions.text import clean_serie, has_serie
-from ..operators.joins import fits_broadcast, left_join_unique, lookup, skew_join
+from ..operators.joins import left_join_unique, lookup, skew_join
 from ..operators.numbering import keep_best, number_rows
 from ..session import written
 
@@ -32,7 +32,7 @@ def dim_tiempo(ventas: DataFrame, recepciones: DataFrame, metas: DataFrame) -> D
 
 
 def dim_oficina(oficinas: DataFrame) -> DataFrame:
-    numbered = number_rows(oficinas, [F.asc_nulls_last("oficina_id")], "dofic_id", check_small=True)
+    numbered = number_rows(oficinas, [F.asc_nulls_last("oficina_id")], "dofic_id")
     return numbered.select("dofic_id", "oficina_id", "nom_oficina", "departamento", "region", "zona")
 
 
@@ -45,7 +45,7 @@ def sellers(vendedores: DataFrame, asesores: DataFrame) -> DataFrame:
 
 def dim_asesor_pdv(vendedores: DataFrame, asesores: DataFrame) -> DataFrame:
     order = [F.asc_nulls_last("tipo_canal"), F.asc_nulls_last("origen_id")]
-    numbered = number_rows(sellers(vendedores, asesores), order, "dases_id", check_small=True)
+    numbered = number_rows(sellers(vendedores, asesores), order, "dases_id")
     return numbered.select("dases_id", "origen_id", "nom_cliente_pdv", "tipo_canal", "monto_asociado")
 
 
@@ -299,8 +299,7 @@ def seller_months(ventas: DataFrame, activaciones: DataFrame) -> DataFrame:
 def resolve_seller(rows: DataFrame, asesor: DataFrame) -> DataFrame:
     """Seller key: the direct seller's when there is one, else the retail seller's.
 
-    Each row lacks at least one of the two ids, so beyond the broadcast size the rows
-    without the id are scattered.
+    Each row lacks at least one of the two ids; rows without the id are scattered.
     """
     spread_by = list(rows.columns)
     for channel, source, name in (
@@ -310,10 +309,7 @@ def resolve_seller(rows: DataFrame, asesor: DataFrame) -> DataFrame:
         role = asesor.filter(F.col("tipo_canal") == channel).select(
             F.col("origen_id").cast("long").alias(source), F.col("dases_id").alias(name)
         )
-        if fits_broadcast(role):
-            rows = rows.join(F.broadcast(role), source, "left")
-        else:
-            rows = left_join_unique(rows, role, source, spread_by)
+        rows = left_join_unique(rows, role, source, spread_by)
     return rows.withColumn("dases_id", F.coalesce("_direct", "_retail"))
 
 

@@ -1,7 +1,7 @@
 """The scripted mart: views, upserted dimensions and typed facts.
 
 Text meets under a collation that ignores case, accents and trailing blanks, offices
-join strictly, and a sale repeats for every status row of its series.
+join strictly, and a sale carries the number of status rows of its series as a weight.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from ..operators.folding import canonical_texts, equal_texts
 from ..operators.joins import left_join_unique, lookup, skew_join
 from ..operators.numbering import first_writer, number_rows
 from ..operators.upsert import upsert
-from ..session import checkpointed, written
+from ..session import written
 from ..sources.schemas import MART_SCHEMAS
 from ..sources.sinks import conform
 from .layered import resolve_seller, weighted_sales
@@ -129,48 +129,65 @@ def dim_oficina(target: DataFrame, oficinas: DataFrame) -> DataFrame:
 
 
 def dim_asesor_pdv(target: DataFrame, vendedores: DataFrame, asesores: DataFrame) -> DataFrame:
-    """Two loads in turn; a known seller gets the new name and keeps the recorded tariff."""
+    """Both loads at once; a known seller gets the new name and keeps the recorded tariff.
+
+    New sellers are numbered load by load. The channel is part of the key, so the loads
+    never meet in one key.
+    """
     loads = (
         (vendedores, "vendedor_id", "nom_vendedor", rules.DIRECT, rules.DIRECT_TARIFF),
         (asesores, "asesor_pdv_id", "nom_asesor_pdv", rules.RETAIL, rules.RETAIL_TARIFF),
     )
-    for raw, key, name, channel, amount in loads:
-        rows = raw.select(
-            F.col(key).cast("int").alias("origen_id"),
+    rows = [
+        raw.select(
+            F.col(key).alias("origen_id"),
             F.col(name).alias("nom_cliente_pdv"),
             F.lit(channel).alias("tipo_canal"),
             F.lit(amount).cast("decimal(10,2)").alias("monto_asociado"),
         )
-        target = upsert(target, rows, ["origen_id", "tipo_canal"], "dases_id", ["nom_cliente_pdv"])
-        target = checkpointed(conform(target, "dim_asesor_pdv"))
-    return target
+        for raw, key, name, channel, amount in loads
+    ]
+    turn = F.when(F.col("tipo_canal") == rules.DIRECT, 0).otherwise(1)
+    loaded = upsert(
+        target, rows[0].unionByName(rows[1]), ["origen_id", "tipo_canal"], "dases_id", ["nom_cliente_pdv"],
+        number_by=[turn, F.col("origen_id")],
+    )
+    return written(conform(loaded, "dim_asesor_pdv"), "dim_asesor_pdv")
 
 
 def join_status(
-    rows: DataFrame, estado: DataFrame, serie: str, texts: DataFrame | None = None
+    rows: DataFrame, estado: DataFrame, serie: str, spread_by: list[str], texts: DataFrame | None = None
 ) -> DataFrame:
-    """Left join to the status rows of a series under the collation.
+    """Each row with the least status key of its series and `n_estados`, how many it has.
 
-    Equal texts are found among the distinct series, then rows and status rows meet on
-    plain text. One series may own any share of the status rows, so its rows are split.
+    The series and the status rows meet under the collation. A series may own any share
+    of the status rows, and rows are not repeated for them: sums take the number as a weight.
     `texts` may name a shorter table that holds every series of `rows`.
     """
     known = equal_texts(rows if texts is None else texts, serie, estado, "lote_serie")
-    states = known.join(estado.select("dest_id", "lote_serie"), "lote_serie").drop("lote_serie")
-    return skew_join(rows, written(states, "status"), serie)
+    states = known.join(estado.select("dest_id", "lote_serie"), "lote_serie").groupBy(serie).agg(
+        F.min("dest_id").alias("dest_id"), F.count("*").alias("n_estados")
+    )
+    joined = left_join_unique(rows, written(states, "status"), serie, spread_by)
+    return joined.withColumn("n_estados", F.coalesce("n_estados", F.lit(0)))
 
 
 def hecho_ventas(
     view: DataFrame, oficina: DataFrame, estado: DataFrame, productos: DataFrame
 ) -> DataFrame:
-    """Typed sales fact; the office share is filled in from the loaded rows."""
+    """Typed sales fact, a row for each sale and activation; the office share is filled in from the loaded rows.
+
+    `n_estados` is the number of status rows of the sale's series, and the weight of its
+    income in the office share (1 where there is none).
+    """
     texts = productos.select(F.col("serie").alias("serie_producto"))
     offices = oficina.select("dofic_id", F.col("oficina_id").alias("_of"))
     rows = lookup(view, offices, F.col("oficina_id") == F.col("_of"), "inner")
-    rows = join_status(rows, estado, "serie_producto", texts).select(
+    rows = join_status(rows, estado, "serie_producto", ["venta_id"], texts).select(
         date_key(F.col("fecha_venta")).alias("dtiem_id"),
         "dofic_id",
         "dest_id",
+        "n_estados",
         F.lit(1).alias("kits_vendidos"),
         F.col("es_activacion").alias("kits_activos"),
         rules.activation_pct(F.col("es_activacion")).alias("tasa_activacion_pct"),
@@ -184,7 +201,8 @@ def hecho_ventas(
 
 def fill_contribution(loaded: DataFrame) -> DataFrame:
     """Post-load update: each row takes its office's share of all loaded income."""
-    offices = loaded.groupBy(F.col("dofic_id").alias("_of")).agg(F.sum("ingresos_s").alias("_income"))
+    weighted = F.col("ingresos_s") * F.greatest("n_estados", F.lit(1))
+    offices = loaded.groupBy(F.col("dofic_id").alias("_of")).agg(F.sum(weighted).alias("_income"))
     total = offices.agg(F.sum("_income")).scalar()
     share = money_percent(F.col("_income"), total).cast("decimal(5,2)")
     shares = written(offices.select("_of", share.alias("_share")), "shares")
@@ -196,18 +214,19 @@ def fill_contribution(loaded: DataFrame) -> DataFrame:
 def hecho_inventario(
     recepciones: DataFrame, productos: DataFrame, ventas: DataFrame, oficina: DataFrame, estado: DataFrame
 ) -> DataFrame:
-    """Receipts of known products and offices, repeated per sale and status row."""
+    """Receipts of known products and offices, repeated per sale, with the number of status rows."""
     offices = oficina.select("dofic_id", F.col("oficina_id").alias("_of"))
     rows = recepciones.join(productos.select("producto_id", "serie"), "producto_id")
     rows = lookup(rows, offices, F.col("oficina_id") == F.col("_of"), "inner")
     sold = ventas.filter(F.col("recepcion_id").isNotNull()).select("recepcion_id", "fecha_venta")
-    rows = join_status(skew_join(rows, sold, "recepcion_id"), estado, "serie", productos)
+    rows = join_status(skew_join(rows, sold, "recepcion_id"), estado, "serie", ["recepcion_id"], productos)
     at_risk = rules.stock_at_risk(F.col("dias_inactivo"), F.col("estado_recepcion"))
     return conform(
         rows.select(
             date_key(F.col("fecha_recepcion")).alias("dtiem_id"),
             "dofic_id",
             "dest_id",
+            "n_estados",
             F.coalesce("dias_inactivo", F.lit(0)).alias("dias_inactivo"),
             flag(at_risk).alias("kits_riesgo_90d"),
             day_gap(F.col("fecha_venta"), F.col("fecha_recepcion")).alias("rotation_lote"),

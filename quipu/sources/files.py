@@ -7,45 +7,54 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
+from ..functions.text import null_as_text, text_as_null
+
 # fixed values: field separators by extension; psv uses one emoji
 SEPARATORS = {"csv": ",", "tsv": "\t", "ssv": ";", "psv": "\U0001f4a9"}
 
 
 def read_delimited(spark: SparkSession, path: str, ext: str, schema: str) -> DataFrame:
-    """Header row first; an unquoted `NULL` is a missing cell."""
-    if ext == "psv":
-        return _read_wide_separator(spark, path, SEPARATORS[ext], schema)
-    reader = spark.read.option("header", True).option("sep", SEPARATORS[ext])
-    reader = reader.option("nullValue", "NULL").option("emptyValue", "").option("escape", '"')
+    """Header row first; `NULL` is a missing cell and `_NULL` the text `NULL`.
+
+    Quoted cells may hold separators, quotes and line breaks.
+    """
+    fields = StructType.fromDDL(schema).fields
+    reader = spark.read.option("header", True).option("sep", SEPARATORS[ext]).option("multiLine", True)
+    reader = reader.option("nullValue", "\0").option("emptyValue", "").option("escape", '"')
     for side in ("Leading", "Trailing"):
         reader = reader.option(f"ignore{side}WhiteSpace", False)
-    return reader.option("multiLine", False).schema(schema).csv(path)
+    texts = reader.schema(StructType([StructField(f.name, StringType()) for f in fields])).csv(path)
+    return texts.select(*[text_as_null(F.col(f"`{f.name}`")).try_cast(f.dataType).alias(f.name) for f in fields])
 
 
 def write_delimited(df: DataFrame, path: str, ext: str) -> None:
+    texts = df.select(*[null_as_text(F.col(f"`{c}`")).alias(c) for c in df.columns])
     if ext == "psv":
-        _write_wide_separator(df, path, SEPARATORS[ext])
+        _write_wide_separator(texts, path, SEPARATORS[ext])
         return
-    writer = df.write.mode("overwrite").option("header", True).option("sep", SEPARATORS[ext])
+    writer = texts.write.mode("overwrite").option("header", True).option("sep", SEPARATORS[ext])
     for side in ("Leading", "Trailing"):
         writer = writer.option(f"ignore{side}WhiteSpace", False)
-    writer.option("nullValue", "NULL").option("emptyValue", '""').option("escape", '"').csv(path)
+    writer.option("emptyValue", '""').option("escape", '"').csv(path)
 
 
-def _write_wide_separator(df: DataFrame, path: str, sep: str) -> None:
+def _write_wide_separator(texts: DataFrame, path: str, sep: str) -> None:
     """The CSV writer takes one UTF-16 unit as separator, so wide ones go through text."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in df.columns]
-    df.select(F.concat_ws(sep, *cells).alias("value")).write.mode("overwrite").text(path)
 
+    def quoted(cell: Column) -> Column:
+        special = F.lit(False)
+        for mark in (sep, '"', "\n", "\r"):
+            special = special | F.contains(cell, F.lit(mark))
+        whole = F.concat(F.lit('"'), F.replace(cell, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.when(special | (cell == "") | (F.trim(cell) != cell), whole).otherwise(cell)
 
-def _read_wide_separator(spark: SparkSession, path: str, sep: str, schema: str) -> DataFrame:
-    fields = StructType.fromDDL(schema).fields
-    parts = F.split("value", sep)
-    cells = [
-        F.when(F.get(parts, F.lit(i)) != "NULL", F.get(parts, F.lit(i))).cast(f.dataType).alias(f.name)
-        for i, f in enumerate(fields)
-    ]
-    return spark.read.text(path).select(*cells)
+    row = F.concat_ws(sep, *[quoted(F.col(f"`{c}`")) for c in texts.columns])
+    header = F.concat_ws(sep, *[quoted(F.lit(c)) for c in texts.columns])
+    # the first row of each partition, and so of each file, brings the header
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    lines = texts.select(row.alias("row"), first.alias("first"))
+    value = F.when(F.col("first"), F.concat(header, F.lit("\n"), F.col("row"))).otherwise(F.col("row"))
+    lines.select(value.alias("value")).write.mode("overwrite").text(path)
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -75,7 +84,9 @@ def read_json_table(
     return rows.select(*[F.get("row", at[c] - 1).alias(c) for c in columns])
 
 
-def read_json_objects(spark: SparkSession, path: str, name: str, columns: list[str]) -> DataFrame:
+def read_json_objects(
+    spark: SparkSession, path: str, name: str, columns: list[str], multi_line: bool = True
+) -> DataFrame:
     """`{name: {columns, rows}}` with rows as objects."""
     table = StructType(
         [
@@ -83,17 +94,19 @@ def read_json_objects(spark: SparkSession, path: str, name: str, columns: list[s
             StructField("rows", ArrayType(MapType(StringType(), StringType()))),
         ]
     )
-    doc = spark.read.schema(StructType([StructField(name, table)])).option("multiLine", True).json(path)
+    doc = spark.read.schema(StructType([StructField(name, table)])).option("multiLine", multi_line).json(path)
     rows = doc.select(F.explode(F.col(name)["rows"]).alias("row"))
     return rows.select(*[F.col("row")[c].alias(c) for c in columns])
 
 
-def read_json_tables(spark: SparkSession, path: str, tables: dict[str, list[str]]) -> dict[str, DataFrame]:
+def read_json_tables(
+    spark: SparkSession, path: str, tables: dict[str, list[str]], multi_line: bool = True
+) -> dict[str, DataFrame]:
     """`{names: [...], tables: {name: {columns, rows}}}`: each named table."""
     row = ArrayType(MapType(StringType(), StringType()))
     body = StructType([StructField("columns", ArrayType(StringType())), StructField("rows", row)])
     inner = StructType([StructField(n, body) for n in tables])
-    doc = spark.read.schema(StructType([StructField("tables", inner)])).option("multiLine", True).json(path)
+    doc = spark.read.schema(StructType([StructField("tables", inner)])).option("multiLine", multi_line).json(path)
     return {
         n: doc.select(F.explode(F.col("tables")[n]["rows"]).alias("row")).select(
             *[F.col("row")[c].alias(c) for c in columns]
@@ -102,22 +115,42 @@ def read_json_tables(spark: SparkSession, path: str, tables: dict[str, list[str]
     }
 
 
-def write_json_table(df: DataFrame, path: str, name: str) -> None:
-    """One `{name: {columns, rows}}` document per line, each of at most 1024 rows.
+def write_json_table(df: DataFrame, path: str, name: str, rows_per_document: int = 1024, objects: bool = False) -> None:
+    """One `{name: {columns, rows}}` document per line, each of at most `rows_per_document` rows.
 
-    A large table becomes many bounded documents; `read_json_table(multi_line=False)`
-    reads the folder back.
+    A large table becomes many bounded documents, a partition's rows together;
+    `read_json_table(multi_line=False)` reads the folder back.
     """
-    cells = F.array(*[F.col(c).cast("string") for c in df.columns])
-    chunk = F.shiftright(F.monotonically_increasing_id(), 10)
+    docs = _documents(df, rows_per_document, objects).withColumnRenamed("document", name)
+    docs.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def write_json_tables(tables: dict[str, DataFrame], path: str, rows_per_document: int = 1024) -> None:
+    """`{names, tables: {name: {columns, rows}}}` documents, each with rows of one table."""
+    names = F.array(*[F.lit(n) for n in tables]).alias("names")
+    parts = [
+        _documents(df, rows_per_document, objects=True).select(
+            F.to_json(F.struct(names, F.struct(F.col("document").alias(n)).alias("tables")), {"ignoreNullFields": "false"}).alias("value")
+        )
+        for n, df in tables.items()
+    ]
+    reduce(DataFrame.unionByName, parts).write.mode("overwrite").text(path)
+
+
+def _documents(df: DataFrame, rows_per_document: int, objects: bool) -> DataFrame:
+    """`document`: columns and rows of some neighbouring rows of a partition."""
+    texts = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]
+    cells = F.struct(*texts) if objects else F.array(*texts)
+    at = F.monotonically_increasing_id()
+    inside = F.floor(at.bitwiseAND((1 << 33) - 1) / rows_per_document)
+    chunk = F.struct(F.shiftright(at, 33).alias("part"), inside.alias("inside"))
     columns = F.array(*[F.lit(c) for c in df.columns]).alias("columns")
-    docs = (
+    return (
         df.select(chunk.alias("_chunk"), cells.alias("row"))
         .groupBy("_chunk")
         .agg(F.collect_list("row").alias("rows"))
-        .select(F.struct(columns, "rows").alias(name))
+        .select(F.struct(columns, "rows").alias("document"))
     )
-    docs.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def convert(spark: SparkSession, src: str, src_ext: str, dst: str, dst_ext: str, schema: str) -> None:

@@ -29,26 +29,26 @@ RAW_KEYS = {
     "activaciones": "activacion_id",
 }
 
-# column types of the scripted mart and the value a missing cell takes
+# fixed values: column names of the scripted mart, with types wide enough for any sum or key, and the value a missing cell takes
 MART_SCHEMAS: dict[str, str] = {
     "dim_tiempo": "dtiem_id int, fecha date, dia int, semana int, mes int, "
     "nombre_mes string, trimestre int, anio int, fecha_recepcion date, fecha_venta date",
-    "dim_oficina": "dofic_id int, oficina_id int, nom_oficina string, "
+    "dim_oficina": "dofic_id long, oficina_id int, nom_oficina string, "
     "departamento string, region string, zona string",
-    "dim_estado": "dest_id int, estado string, dias_desde_recepcion int, "
+    "dim_estado": "dest_id long, estado string, dias_desde_recepcion int, "
     "flag_riesgo_90d int, lote_serie string",
-    "dim_asesor_pdv": "dases_id int, origen_id int, nom_cliente_pdv string, "
+    "dim_asesor_pdv": "dases_id long, origen_id long, nom_cliente_pdv string, "
     "tipo_canal string, monto_asociado decimal(10,2)",
-    "hecho_ventas": "hventas_key long, dtiem_id int, dofic_id int, dest_id int, "
+    "hecho_ventas": "hventas_key long, dtiem_id int, dofic_id long, dest_id long, n_estados long, "
     "kits_vendidos int, kits_activos int, tasa_activacion_pct decimal(5,2), "
-    "ingresos_s decimal(12,2), contribucion_pct decimal(5,2), venta_id long, "
+    "ingresos_s decimal(38,2), contribucion_pct decimal(5,2), venta_id long, "
     "serie string, canal_venta string",
-    "hecho_inventario": "hinventario_key long, dtiem_id int, dofic_id int, dest_id int, "
+    "hecho_inventario": "hinventario_key long, dtiem_id int, dofic_id long, dest_id long, n_estados long, "
     "dias_inactivo int, kits_riesgo_90d int, rotation_lote decimal(8,2), serie string",
-    "hecho_canal": "hcanal_key long, dtiem_id int, dofic_id int, kits_canal_directo long, "
-    "kits_canal_pdv long, ingresos_directo decimal(12,2), ingresos_pdv decimal(12,2), "
+    "hecho_canal": "hcanal_key long, dtiem_id int, dofic_id long, kits_canal_directo long, "
+    "kits_canal_pdv long, ingresos_directo decimal(38,2), ingresos_pdv decimal(38,2), "
     "mix_canal_pct decimal(5,2)",
-    "hecho_desempeno": "hdesempeno_key long, dtiem_id int, dofic_id int, dases_id int, "
+    "hecho_desempeno": "hdesempeno_key long, dtiem_id int, dofic_id long, dases_id long, "
     "kits_por_asesor long, kits_activos_asesor long, kits_inactivos_asesor long, "
     "meta_kits_mes long, cumplimiento_meta_pct decimal(12,2), kits_inactivos_pct decimal(5,2)",
 }
@@ -56,6 +56,7 @@ MART_SCHEMAS: dict[str, str] = {
 MART_DEFAULTS: dict[str, dict[str, object]] = {
     "dim_estado": {"flag_riesgo_90d": 0},
     "hecho_ventas": {
+        "n_estados": 1,
         "kits_vendidos": 1,
         "kits_activos": 0,
         "tasa_activacion_pct": 0,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.text import FOLDED
 from .schemas import MART_DEFAULTS, MART_SCHEMAS
@@ -46,7 +46,8 @@ def append_load(df: DataFrame, path: str, load_id: int) -> DataFrame:
         .partitionBy("load_id")
         .parquet(path)
     )
-    return df.sparkSession.read.parquet(path)
+    held = StructType([*df.schema.fields, StructField("load_id", IntegerType())])
+    return df.sparkSession.read.schema(held).parquet(path)
 
 
 def snapshot_copy(tables: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.numbering import keep_best
 
+TURN = "_turn_of_batch"
+
 
 def latest_changes(log: DataFrame, keys: list[str]) -> DataFrame:
     """The change with the highest position of each key."""
@@ -38,16 +40,45 @@ def live_rows(state: DataFrame) -> DataFrame:
     return state.filter(~F.col("_deleted")).drop("_deleted", "_seq")
 
 
-def changes_state(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
-    """Current state from the written changes: the highest position per key."""
-    rows = spark.read.parquet(f"{root}/changes").drop("batch")
-    return keep_best(rows, keys, [F.desc("_seq")])
+def numbered_folders(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Numbers n of the complete folders `root/name=n`, in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    found = [s.getPath() for s in files.listStatus(path) if s.getPath().getName().startswith(f"{name}=")]
+    done = [p for p in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(int(p.getName().split("=")[1]) for p in done)
+
 
+def changes_state(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
+    """Current state: the last compacted table and the batches after it, highest position per key.
 
-def compact_changes(spark: SparkSession, root: str, keys: list[str], target: str) -> DataFrame:
-    """Write the current state as one table, so reads need not merge old batches."""
-    changes_state(spark, root, keys).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    Batches that a compaction covers are not read. Of equal positions the earlier batch stays.
+    """
+    compacted = numbered_folders(spark, f"{root}/compacted", "upto")
+    covered = compacted[-1] if compacted else -1
+    batches = [b for b in numbered_folders(spark, f"{root}/changes", "batch") if b > covered]
+    parts = []
+    if compacted:
+        parts.append(spark.read.parquet(f"{root}/compacted/upto={covered}").withColumn(TURN, F.lit(-1).cast("long")))
+    if batches:
+        turn = F.regexp_extract(F.col("_metadata.file_path"), r"/batch=(\d+)/", 1).cast("long")
+        rows = spark.read.parquet(*[f"{root}/changes/batch={b}" for b in batches])
+        parts.append(rows.withColumn(TURN, turn))
+    if not parts:
+        raise ValueError(f"no changes below {root}")
+    stacked = parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
+    return keep_best(stacked, keys, [F.desc("_seq"), F.col(TURN)]).drop(TURN)
+
+
+def compact_changes(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
+    """Write the current state as one table; later reads take it and the batches after it."""
+    batches = numbered_folders(spark, f"{root}/changes", "batch")
+    done = numbered_folders(spark, f"{root}/compacted", "upto")
+    if batches and (not done or batches[-1] > done[-1]):
+        changes_state(spark, root, keys).write.mode("overwrite").parquet(f"{root}/compacted/upto={batches[-1]}")
+    return changes_state(spark, root, keys)
 
 
 def cdc_stream(

@@ -4,23 +4,42 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from ..operators.joins import null_safe
+from ..sources.sinks import append_load
 
 
 def newer_than(source: DataFrame, cursor: str, last: object | None) -> DataFrame:
-    """Rows past the last cursor value; the filter reaches the file scan."""
-    return source if last is None else source.filter(F.col(cursor) > F.lit(last))
+    """Rows at or past the last cursor value, or without one; the filter reaches the file scan."""
+    if last is None:
+        return source
+    return source.filter((F.col(cursor) >= F.lit(last)) | F.col(cursor).isNull())
+
 
+def append_newer(
+    spark: SparkSession, source: DataFrame, path: str, cursor: str, keys: list[str], load_id: int
+) -> DataFrame:
+    """Append to `path`, under `load_id`, the source rows it does not hold; returns the target.
 
-def append_newer(spark: SparkSession, source: DataFrame, path: str, cursor: str) -> DataFrame:
-    """Append to `path` the source rows newer than what it holds; returns the target."""
-    last = None
+    Rows past the last cursor value are new. Rows that share it, or have none, are new if
+    their key is not among the loaded rows of that value. A load that runs again replaces
+    its own partition. Loads must come in the order of their ids.
+    """
+    held = StructType([*source.schema.fields, StructField("load_id", IntegerType())])
     try:
-        last = spark.read.parquet(path).agg(F.max(cursor)).first()[0]
+        loaded = spark.read.schema(held).parquet(path).filter(F.col("load_id") < load_id)
+        last = loaded.agg(F.max(cursor)).first()[0]
     except AnalysisException as error:  # the first load finds no table
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    newer_than(source, cursor, last).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+        loaded, last = None, None
+    rows = newer_than(source, cursor, last)
+    if loaded is not None:
+        tied = loaded.filter((F.col(cursor) == F.lit(last)) | F.col(cursor).isNull() if last is not None else F.lit(True))
+        rows = null_safe(rows, tied.select(*keys, cursor), [*keys, cursor], "left_anti")
+    append_load(rows, path, load_id)
+    return spark.read.schema(held).parquet(path).drop("load_id")
 
 
 def append_stream(

@@ -129,16 +129,58 @@ def versions(spark):
 
 def test_merge_truth_table(versions):
     cases, p, l, r = versions
-    table_, conflicts = three_way.merge3(p, l, r, ["k"])
+    table_, conflicts, rejects = three_way.merge3(p, l, r, ["k"])
     want = {n: merged(*c)[0] for n, c in enumerate(cases) if merged(*c)[0] is not None}
     assert {row.k: row.y for row in table_.collect()} == want
     clashes = {(n, col) for n, c in enumerate(cases) if merged(*c)[1] for col in ("x", "y")}
     assert {(row.k, row["column"]) for row in conflicts.collect()} == clashes
+    assert rejects.count() == 0
+
+
+def test_repeated_keys_are_rejects(spark):
+    """Rows of a repeated key are neither merged nor lost."""
+    p = spark.createDataFrame([(1, "a", 1), (3, "c", 1), (None, "n", 1)], SCHEMA)
+    l = spark.createDataFrame([(1, "a", 2), (2, "b", 20), (2, "b", 21), (3, "c", 5), (3, "c", 6), (None, "n", 1), (None, "n", 1)], SCHEMA)
+    r = spark.createDataFrame([(1, "a", 1), (4, "d", 1), (4, "d", 2), (5, "e", 1)], SCHEMA)
+    table_, _, rejects = three_way.merge3(p, l, r, ["k"])
+    assert {(row.k, row.y) for row in table_.collect()} == {(1, 2), (5, 1)}
+    got = sorted((row.k or 0, row.side, row[row.side].y) for row in rejects.collect())
+    assert got == [(0, "l", 1), (0, "l", 1), (0, "p", 1), (2, "l", 20), (2, "l", 21), (3, "l", 5), (3, "l", 6), (3, "p", 1), (4, "r", 1), (4, "r", 2)]
+    diff, rejects = three_way.diff3(p, l, r, ["k"])
+    assert {(row.k, row.action) for row in diff.collect()} == {(5, "+++")} and rejects.count() == len(got)
+
+
+def test_repeated_keys_link_nothing(spark, rows):
+    a = spark.createDataFrame([(1, "a", 1), (1, "a", 1), (1, "x", 2), (2, "b", 1), (None, "n", 1), (3, "c", 1)], SCHEMA)
+    b = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (None, "n", 1), (None, "m", 1), (4, "d", 1)], SCHEMA)
+    got = rowdiff.align_by_key(a, b, ["k"]).select("k", "l.y", "r.y", "l.x", "r.x")
+    want = [(1, 1, None, "a", None)] * 2 + [(1, 2, None, "x", None), (1, None, 1, None, "a"), (2, 1, 2, "b", "b"), (None, 1, None, "n", None)]
+    want += [(None, None, 1, None, "n"), (None, None, 1, None, "m"), (3, 1, None, "c", None), (4, None, 1, None, "d")]
+    assert rows(got) == want
+    with pytest.raises(Exception, match="declared unique"):
+        rowdiff.row_diff(a, b, ["k"], unique_keys=True).collect()
+    plan = rowdiff.align_by_key(a, b, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ObjectHashAggregate") + plan.count("SortAggregate") <= 2, "full rows are grouped once"
+
+
+def test_moved_rows(spark):
+    a = spark.createDataFrame([(k, str(k), k) for k in range(8)], "k int, x string, place int")
+    b = spark.createDataFrame([(k, "edited" if k == 6 else str(k), p) for p, k in enumerate([0, 2, 3, 1, 6, 5, 9, 7])], "k int, x string, place int")
+    got = {r.k: r.action for r in rowdiff.row_diff(a, b, ["k"], unique_keys=True, ordered="place").collect()}
+    assert got == moved_by_brute_force()
+
+
+def moved_by_brute_force():
+    """Rows whose new place lies above that of a row that came earlier."""
+    new = {k: p for p, k in enumerate([0, 2, 3, 1, 6, 5, 9, 7])}
+    both = [k for k in range(8) if k in new]
+    moved = {k for i, k in enumerate(both) if any(new[j] > new[k] for j in both[:i])}
+    return {k: ":" for k in moved - {6}} | {4: "---", 6: "->", 9: "+++"}
 
 
 def test_merge_conflict_text(versions):
     cases, p, l, r = versions
-    table_, _ = three_way.merge3(p, l, r, ["k"], conflict_text=True)
+    table_, _, _ = three_way.merge3(p, l, r, ["k"], conflict_text=True)
     n = cases.index((1, 2, 3))
     assert table_.filter(F.col("k") == n).first().y == "((( 1 ))) 2 /// 3"
 
@@ -160,7 +202,7 @@ def test_diff3_truth_table(versions):
         return "->" if lv in (pv, rv) else "!->"
 
     want = {n: action(*c) for n, c in enumerate(cases) if action(*c)}
-    assert {row.k: row.action for row in three_way.diff3(p, l, r, ["k"]).collect()} == want
+    assert {row.k: row.action for row in three_way.diff3(p, l, r, ["k"])[0].collect()} == want
 
 
 def test_merge_identities(pair, rows):
@@ -174,14 +216,14 @@ def test_merge_columns(spark, rows):
     p = spark.createDataFrame([(1, "a", 1)], "k int, x string, y int")
     l = spark.createDataFrame([(1, "a", 5), (2, "l", 2)], "k int, x string, mine int")
     r = spark.createDataFrame([(1, "b", 1, 9), (3, "r", 3, 8)], "k int, x string, y int, theirs int")
-    table_, _ = three_way.merge3(p, l, r, ["k"])
+    table_, _, _ = three_way.merge3(p, l, r, ["k"])
     assert table_.columns == ["k", "x", "mine", "theirs"]
     assert rows(table_) == [(1, "b", 5, 9), (2, "l", 2, None), (3, "r", None, 8)]
 
 
 def test_patch_leaves_conflicting_cells(versions):
     cases, p, l, r = versions
-    diff = three_way.diff3(p, l, r, ["k"])
+    diff, _ = three_way.diff3(p, l, r, ["k"])
     diff = diff.withColumn("action", F.when(F.col("action") == "!->", "->").otherwise(F.col("action")))
     table_, _ = patch.apply_patch(l, diff, ["k"])
     assert table_.filter(F.col("k") == cases.index((1, 2, 3))).first().y == 2
@@ -264,46 +306,26 @@ def test_context_against_brute_force(spark, around):
     assert got == want
 
 
-def brute_links(a, b, columns):
-    """Rows as dicts with an id; the same rules as the distributed version, row by row."""
+def brute_links(a, b, candidates):
+    """Rows as dicts with an id; the candidates in turn, row by row."""
     def key(row, subset):
         return " // ".join("" if row[c] in (None, "", "null", "undefined") else str(row[c]) for c in subset)
 
-    if len(columns) > 5:
-        score = lambda c: len({r[c] for r in a}) + len({r[c] for r in b})
-        columns = sorted(columns, key=lambda c: (-score(c), columns.index(c)))[:5]
-    links, used_b, used = {}, set(), 0
-    top = 2 ** len(columns)
-    height = max(len(a), len(b)) + 1
-    for code in range(1, top):
-        subset = [c for i, c in enumerate(columns) if code >> i & 1]
+    links, used_b = {}, set()
+    for subset in candidates:
         at_a, at_b = {}, {}
         for rows_, at in ((a, at_a), (b, at_b)):
             for r in rows_:
                 at.setdefault(key(r, subset), []).append(r["id"])
-        crowd = max((len(v) for v in [*at_a.values(), *at_b.values()]), default=0)
-        if crowd / (height + 20) >= 0.1 and (used or code < top - 1):
-            continue
-        used += 1
-        for text, ids in at_a.items():
-            if text and len(ids) == 1 and len(at_b.get(text, [])) == 1 and ids[0] not in links:
-                right = at_b[text][0]
-                if right not in used_b:
-                    links[ids[0]] = right
-                    used_b.add(right)
+        pairs = [(ids[0], at_b[text][0]) for text, ids in at_a.items() if text and len(ids) == 1 and len(at_b.get(text, [])) == 1]
+        pairs = [(x, y) for x, y in pairs if x not in links and y not in used_b]
+        links |= dict(pairs)
+        used_b |= {y for _, y in pairs}
     return links
 
 
-@pytest.fixture
-def one_partition(spark):
-    keep = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "1")
-    yield
-    spark.conf.set("spark.sql.shuffle.partitions", keep)
-
-
-@pytest.mark.parametrize("seed, width", [(1, 2), (2, 3), (3, 6)])
-def test_inferred_keys_against_brute_force(spark, one_partition, seed, width):
+@pytest.mark.parametrize("seed, width", [(1, 2), (2, 3), (3, 7)])
+def test_inferred_keys_against_brute_force(spark, seed, width):
     draw = random.Random(seed)
     names = [f"c{i}" for i in range(width)]
     make = lambda n: [
@@ -316,5 +338,6 @@ def test_inferred_keys_against_brute_force(spark, one_partition, seed, width):
             r[draw.choice(names)] = "edited"
     schema = "id int, " + ", ".join(f"{c} string" for c in names)
     frame = lambda data: spark.createDataFrame([tuple(r.values()) for r in data], schema)
-    got = infer.align_infer_keys(frame(a), frame(b), "id", "id", names)
-    assert {r.id_a: r.id_b for r in got.collect()} == brute_links(a, b, names)
+    candidates = [[names[-1]], names[:2], names, names[1:]]
+    got = infer.align_infer_keys(frame(a), frame(b), "id", "id", candidates)
+    assert {r.id_a: r.id_b for r in got.collect()} == brute_links(a, b, candidates)

@@ -24,6 +24,10 @@ def odd(spark):
             (3, None, dt.date(1999, 12, 31), Decimal("-2.00")),
             (4, "", dt.date(1999, 12, 31), Decimal("0.00")),
             (5, "a;b\tc", None, Decimal("7.00")),
+            (6, "two\nlines", None, None),
+            (7, "NULL", None, None),
+            (8, "__NULL", None, None),
+            (9, "x\U0001f4a9\"y\"\r\nz", None, None),
         ],
         SCHEMA,
     )
@@ -90,7 +94,7 @@ def test_schema_routing():
 def test_append_load_is_idempotent(spark, odd, tmp_path):
     for load in (1, 2, 1):
         got = sinks.append_load(odd, str(tmp_path / "t"), load)
-    assert got.groupBy("load_id").count().collect() and got.count() == 10
+    assert got.groupBy("load_id").count().collect() and got.count() == 2 * odd.count()
 
 
 def test_conform_and_defaults(spark):
@@ -98,7 +102,13 @@ def test_conform_and_defaults(spark):
     typed = sinks.conform(df, "hecho_ventas").first()
     assert (typed.kits_vendidos, typed.ingresos_s, typed.dofic_id) == (1, None, None)
     assert sinks.fill_defaults(df, "hecho_ventas").first().ingresos_s == Decimal("0.00")
-    assert dict(sinks.conform(df, "hecho_ventas").dtypes)["ingresos_s"] == "decimal(12,2)"
+    assert dict(sinks.conform(df, "hecho_ventas").dtypes)["ingresos_s"] == "decimal(38,2)"
+
+
+def test_wide_sums_and_keys_fit(spark):
+    df = spark.createDataFrame([(3_000_000_000, Decimal("12345678901234.00"))], "dest_id long, ingresos_s decimal(20,2)")
+    row = sinks.conform(df, "hecho_ventas").first()
+    assert (row.dest_id, row.ingresos_s) == (3_000_000_000, Decimal("12345678901234.00"))
 
 
 def test_recreate_leaves_empty_typed_tables(spark, tmp_path):
@@ -116,9 +126,28 @@ def test_incremental_append_takes_only_newer_rows(spark, rows, tmp_path):
     day = lambda n: dt.date(2024, 1, n)
     first = spark.createDataFrame([(1, day(1)), (2, day(2))], "k int, d date")
     later = spark.createDataFrame([(1, day(1)), (2, day(2)), (3, day(3))], "k int, d date")
-    incremental.append_newer(spark, first, path, "d")
-    incremental.append_newer(spark, later, path, "d")
-    assert rows(incremental.append_newer(spark, later, path, "d")) == rows(later)
+    incremental.append_newer(spark, first, path, "d", ["k"], 0)
+    incremental.append_newer(spark, later, path, "d", ["k"], 1)
+    assert rows(incremental.append_newer(spark, later, path, "d", ["k"], 2)) == rows(later)
+
+
+def test_incremental_append_takes_rows_that_share_the_cursor(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "t"), "k int, d date"
+    day = lambda n: dt.date(2024, 1, n)
+    load = lambda data, n: incremental.append_newer(spark, spark.createDataFrame(data, schema), path, "d", ["k"], n)
+    load([(1, day(1)), (9, None)], 0)
+    load([(1, day(1)), (2, day(1)), (9, None), (8, None)], 1)
+    full = [(1, day(1)), (2, day(1)), (3, day(2)), (8, None), (9, None)]
+    assert rows(load(full, 2)) == full
+    # the last load again, as after a failure: nothing doubles
+    assert rows(load(full, 2)) == full
+
+
+def test_incremental_append_of_nothing(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    empty = spark.createDataFrame([], "k int, d date")
+    assert rows(incremental.append_newer(spark, empty, path, "d", ["k"], 0)) == []
+    assert rows(incremental.append_newer(spark, spark.createDataFrame([(1, dt.date(2024, 1, 1))], "k int, d date"), path, "d", ["k"], 1)) == [(1, dt.date(2024, 1, 1))]
 
 
 def test_append_stream_loads_each_file_once(spark, rows, tmp_path):
@@ -158,8 +187,21 @@ def test_cdc_stream_over_arriving_files(spark, rows, tmp_path):
             cdc.cdc_stream(spark, src, LOG, lambda df: df, ["key"], root, max_files=1)
     state = cdc.cdc_stream(spark, src, LOG, lambda df: df, ["key"], root, max_files=1)
     assert rows(cdc.live_rows(state)) == [(1, "b"), (3, "n")]
-    small = cdc.compact_changes(spark, root, ["key"], str(tmp_path / "compact"))
+    small = cdc.compact_changes(spark, root, ["key"])
     assert rows(cdc.live_rows(small)) == [(1, "b"), (3, "n")]
+    # what a compaction covers is not read again, and later batches are added to it
+    spark.createDataFrame([("U", 3, 9, "m"), ("U", 1, 4, "late")], LOG).coalesce(1).write.mode("append").parquet(src)
+    state = cdc.cdc_stream(spark, src, LOG, lambda df: df, ["key"], root)
+    files_read = state.inputFiles()
+    assert rows(cdc.live_rows(state)) == [(1, "b"), (3, "m")]
+    assert {f.split("/changes/")[1].split("/")[0] for f in files_read if "/changes/" in f} == {"batch=3"}
+
+
+def test_an_image_may_have_a_column_named_batch(spark, rows, tmp_path):
+    log = "op string, key int, seq long, batch string"
+    src, root = str(tmp_path / "src"), str(tmp_path / "root")
+    spark.createDataFrame([("I", 1, 1, "kept")], log).write.parquet(src)
+    assert rows(cdc.live_rows(cdc.cdc_stream(spark, src, log, lambda df: df, ["key"], root))) == [(1, "kept")]
 
 
 def test_shared_folder_is_asked_for_on_a_cluster(monkeypatch):

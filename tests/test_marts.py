@@ -138,8 +138,8 @@ def test_scripted_sales_repeat_per_status_row(mart, rows):
 def test_blank_series_meet_under_the_collation(spark, rows):
     states = spark.createDataFrame([(1, "ab1"), (2, "  "), (3, " "), (4, None)], "dest_id int, lote_serie string")
     sales = spark.createDataFrame([(1, "AB1  "), (2, ""), (3, None)], "v int, s string")
-    got = rows(scripted.join_status(sales, states, "s").select("v", "dest_id"))
-    assert got == [(1, 1), (2, 2), (2, 3), (3, None)]
+    got = rows(scripted.join_status(sales, states, "s", ["v"]).select("v", "dest_id", "n_estados"))
+    assert got == [(1, 1, 1), (2, 2, 2), (3, None, 0)]
 
 
 def test_view_forms(mart, rows):

@@ -3,18 +3,17 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quipu.operators import joins, numbering
+from quipu.operators import joins
 from quipu.operators.numbering import first_writer, keep_best, number_rows
 from quipu.operators.upsert import upsert
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_numbering_is_dense_and_ordered(spark, small):
+def test_numbering_is_dense_and_ordered(spark):
     df = spark.range(0, 5000, numPartitions=7).select(
         F.pmod(F.xxhash64("id"), F.lit(50)).alias("g"), F.col("id").alias("v")
     )
     order = [F.desc("g"), F.asc("v")]
-    got = number_rows(df, order, "n", check_small=small).orderBy("n").collect()
+    got = number_rows(df, order, "n").orderBy("n").collect()
     assert [r.n for r in got] == list(range(1, 5001))
     assert [(r.g, r.v) for r in got] == sorted(((r.g, r.v) for r in got), key=lambda t: (-t[0], t[1]))
 
@@ -60,18 +59,19 @@ def hot_sides(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("splits", [2, 8])
-def test_skew_join_equals_plain_join(spark, rows, how, splits):
+@pytest.mark.parametrize("parts", [2, 8, 40])
+def test_skew_join_equals_plain_join(spark, rows, how, parts):
     left, right = hot_sides(spark)
-    assert [r["_hot"] for r in joins.hot_keys(right, "k", splits).collect()] == [5]
-    got = joins.skew_join(left, right, "k", how, splits)
+    hot = {r["_hot"]: r["_splits"] for r in joins.hot_keys(right, "k", parts).collect()}
+    assert hot[5] == {2: 2, 8: 6, 40: 27}[parts] and (parts < 40) == (len(hot) == 1)
+    got = joins.skew_join(left, right, "k", how, parts)
     assert rows(got) == rows(left.join(right, "k", how))
 
 
 def test_skew_join_without_hot_keys(spark, rows):
     left, _ = hot_sides(spark)
     right = spark.range(15).select(F.col("id").alias("k"), (F.col("id") * 2).alias("r"))
-    assert rows(joins.skew_join(left, right, "k", "left", splits=4)) == rows(left.join(right, "k", "left"))
+    assert rows(joins.skew_join(left, right, "k", "left", parts=4)) == rows(left.join(right, "k", "left"))
 
 
 def test_hot_key_list_is_bounded(spark):
@@ -81,6 +81,14 @@ def test_hot_key_list_is_bounded(spark):
     assert joins.hot_keys(few, "k", 32).count() == 20
 
 
+def test_keys_with_a_few_hundredths_of_the_rows_are_split(spark, rows):
+    key = F.when(F.col("id") % 50 == 0, -1).when(F.col("id") % 100 == 1, -2).otherwise(F.col("id"))
+    right = spark.range(10_000).select(key.alias("k"), F.col("id").alias("r"))
+    assert {(r["_hot"], r["_splits"]) for r in joins.hot_keys(right, "k", 400).collect()} == {(-1, 8), (-2, 4)}
+    left = spark.createDataFrame([(-1, 1), (-2, 2), (5, 3), (50, 4), (None, 5)], "k long, l int")
+    assert rows(joins.skew_join(left, right, "k", "left", 400)) == rows(left.join(right, "k", "left"))
+
+
 def test_null_keys_are_scattered(spark, rows):
     left, _ = hot_sides(spark)
     right = spark.range(20).select(F.col("id").alias("k"), (F.col("id") * 2).alias("r"))
@@ -103,13 +111,19 @@ def test_null_safe_join_meets_nulls(spark, rows):
     assert rows(joins.null_safe(a, a.filter("k = 1"), ["k"], "left_semi")) == [(1, 2)]
 
 
-def test_lookup_broadcasts_only_what_fits(spark, monkeypatch):
+def test_lookup_leaves_the_broadcast_to_the_bytes(spark):
+    from quipu.session import written
+
     fact = spark.range(100).withColumnRenamed("id", "f")
-    dim = spark.range(50).withColumnRenamed("id", "d")
-    plan = lambda: joins.lookup(fact, dim, F.col("f") == F.col("d"))._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" in plan()
-    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
-    assert "ResolvedHint" not in plan()
+    dim = written(spark.range(50).withColumnRenamed("id", "d"), "dim")
+    plan = lambda: joins.lookup(fact, dim, F.col("f") == F.col("d"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan()
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        assert "BroadcastHashJoin" not in plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
 
 
 def test_upsert_keeps_surrogates(spark, rows):
@@ -125,8 +139,17 @@ def test_upsert_keeps_surrogates(spark, rows):
     assert rows(again) == rows(upsert(target, source, ["k"], "sk"))
 
 
-def test_distributed_numbering_after_upsert_start(spark, monkeypatch):
-    monkeypatch.setattr(numbering, "SMALL_ROWS", 1)
+def test_upsert_takes_one_row_of_a_repeated_source_key(spark, rows):
+    target = spark.createDataFrame([(1, 10, "a")], "sk long, k int, x string")
+    source = spark.createDataFrame([(10, "old", 1), (10, "new", 2), (20, "z", 1), (20, "b", 2), (20, "b", 2)], "k int, x string, at int")
+    assert rows(upsert(target, source, ["k"], "sk", last=[F.desc("at")])) == [(1, 10, "new"), (2, 20, "b")]
+    assert rows(upsert(target, source, ["k"], "sk")) == [(1, 10, "old"), (2, 20, "z")]
+    empty = target.limit(0)
+    by = [F.col("x")]
+    assert rows(upsert(empty, source, ["k"], "sk", last=[F.desc("at")], number_by=by)) == [(1, 20, "b"), (2, 10, "new")]
+
+
+def test_distributed_numbering_after_upsert_start(spark):
     target = spark.createDataFrame([(7, 1)], "sk long, k long")
     source = spark.range(1, 50).withColumnRenamed("id", "k")
     got = {(r.k, r.sk) for r in upsert(target, source, ["k"], "sk").collect()}
