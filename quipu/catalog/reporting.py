@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import percent
 from ..plans import kpis, layered, measures, quality, reports
-from ..session import scratch_path, written
+from ..session import scratch_path
 from ..sources.sinks import as_table, model_path, resolve_schema
 from .oracle import pct, ratio
 from .registry import query
@@ -249,11 +249,12 @@ def _checks_sql() -> str:
 
 @query("q6_run_all_checks", _checks_sql())
 def q6(m):
-    """Staging is checked as it is read; marts are stored first, then checked."""
-    models = {
-        name: m.land().stg(name.removeprefix("stg_")) if name.startswith("stg_") else written(getattr(m, name), name)
-        for name in quality.CHECKS
-    }
+    """One pass over each model, reading the checked columns only."""
+    m.land()
+    models = {}
+    for name in quality.CHECKS:
+        df = m.stg(name.removeprefix("stg_")) if name.startswith("stg_") else getattr(m, name)
+        models[name] = df.select(*quality.checked_columns(name))
     return quality.run_checks(models)
 
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-# model -> (columns that must be unique, columns that must be present)
+# fixed values: model -> (columns that must be unique, columns that must be present)
 CHECKS: dict[str, tuple[list[str], list[str]]] = {
     "fact_ventas": (["venta_id"], ["venta_id", "dtiem_id", "dofic_id", "dest_id"]),
     "dim_oficina": (["dofic_id"], ["dofic_id", "oficina_id"]),
@@ -41,32 +41,38 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataF
     return child.filter(F.col(column).isNotNull()).join(known, column, "left_anti")
 
 
-def missing_counts(model: str, df: DataFrame, columns: list[str]) -> DataFrame:
-    """Failures of every not-null check of a table from one aggregate."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).alias("failures")) for c in columns]
-    )
-    return counts.select(
-        F.lit(model).alias("model"), F.lit("not_null").alias("test"), F.inline(cells)
-    )
+def table_checks(model: str, df: DataFrame, unique: list[str], present: list[str]) -> DataFrame:
+    """Failures of all checks of a table: one row per check.
 
+    The rows are grouped by the first unique column; its groups also carry the missing
+    cells, so one grouping answers all checks. A further unique column is grouped by itself.
+    """
+    misses = {f"m{i}": F.col(c).isNull() for i, c in enumerate(present)}
+    if unique:
+        groups = df.groupBy(unique[0]).agg(F.count("*").alias("n"), *[F.count_if(c).alias(k) for k, c in misses.items()])
+        repeats = F.count_if((F.col("n") > 1) & F.col(unique[0]).isNotNull())
+        counts = groups.agg(repeats.alias("u"), *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in misses])
+    else:
+        counts = df.agg(*[F.count_if(c).alias(k) for k, c in misses.items()])
+    found = [("unique", unique[0], "u")] if unique else []
+    found += [("not_null", c, k) for c, k in zip(present, misses)]
+    cells = F.array(*[F.struct(F.lit(test).alias("test"), F.lit(c).alias("column"), F.col(k).alias("failures")) for test, c, k in found])
+    rows = counts.select(F.lit(model).alias("model"), F.inline(cells))
+    for c in unique[1:]:
+        more = duplicates(df, c).agg(F.count("*").alias("failures"))
+        rows = rows.unionByName(more.select(F.lit(model).alias("model"), F.lit("unique").alias("test"), F.lit(c).alias("column"), "failures"))
+    return rows
 
-def duplicate_count(model: str, df: DataFrame, column: str) -> DataFrame:
-    return duplicates(df, column).agg(F.count("*").alias("failures")).select(
-        F.lit(model).alias("model"), F.lit("unique").alias("test"), F.lit(column).alias("column"), "failures"
-    )
+
+def checked_columns(model: str, checks: dict[str, tuple[list[str], list[str]]] | None = None) -> list[str]:
+    """The columns that the checks of a model read."""
+    unique, present = (checks or CHECKS)[model]
+    return list(dict.fromkeys([*unique, *present]))
 
 
 def run_checks(models: dict[str, DataFrame], checks: dict[str, tuple[list[str], list[str]]] = CHECKS) -> DataFrame:
-    """One row per check: model, test, column and number of failures."""
-    parts = []
-    for model, (unique, present) in checks.items():
-        if model not in models:
-            continue
-        parts += [duplicate_count(model, models[model], c) for c in unique]
-        if present:
-            parts.append(missing_counts(model, models[model], present))
+    """One row per check: model, test, column and number of failures; one pass over each table."""
+    parts = [table_checks(name, models[name], *checks[name]) for name in checks if name in models]
     return reduce(DataFrame.unionByName, parts)
 
 
