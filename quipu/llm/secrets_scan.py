@@ -62,24 +62,26 @@ def lengths_of(text: Column, kind: Kind) -> Column:
 
 def matches(texts: DataFrame) -> DataFrame:
     """(key, kind, part, strong, start, end) of every match; `texts` has key and one array per kind."""
-    rows = []
-    for kind in KINDS:
-        own = texts.select("key", F.posexplode(kind.name).alias("at", "m")).select(
-            "key",
-            "at",
-            "m.*",
-            F.lit(kind.name).alias("kind"),
-            F.lit(kind.part).alias("kind_part"),
-            F.lit(kind.strong).alias("strong"),
-            (F.col("m.part") >= kind.least).alias("good"),
+
+    def of_kind(kind: Kind) -> Column:
+        return F.transform(
+            kind.name,
+            lambda m, i: F.struct(
+                F.lit(kind.name).alias("kind"),
+                F.lit(kind.part).alias("part"),
+                F.lit(kind.strong).alias("strong"),
+                (m["part"] >= kind.least).alias("good"),
+                i.alias("at"),
+                m["gap"].cast("long").alias("gap"),
+                m["own"].cast("long").alias("own"),
+            ),
         )
-        rows.append(own)
-    all_rows = reduce(DataFrame.unionByName, rows)
+
+    rows = texts.select("key", F.inline(F.concat(*[of_kind(k) for k in KINDS])))
     until = Window.partitionBy("key", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.sum(F.col("gap").cast("long") + F.col("own")).over(until)
-    placed = all_rows.select("key", "kind", "kind_part", "strong", "good", (end - F.col("own")).alias("start"), end.alias("end"))
+    placed = rows.withColumn("end", F.sum(F.col("gap") + F.col("own")).over(until))
     # failing matches use up their text and go only now
-    return placed.filter("good").select("key", "kind", F.col("kind_part").alias("part"), "strong", "start", "end")
+    return placed.filter("good").select("key", "kind", "part", "strong", (F.col("end") - F.col("own")).alias("start"), "end")
 
 
 def linked_parts(found: DataFrame, scope: int) -> DataFrame:
