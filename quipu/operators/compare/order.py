@@ -7,28 +7,35 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..numbering import number_rows
 
 
-def with_context(df: DataFrame, order: list[Column], changed: Column, around: int) -> DataFrame:
+def with_context(
+    df: DataFrame, order: list[Column], changed: Column, around: int, bucket_rows: int = 1_000_000
+) -> DataFrame:
     """Changed rows plus `around` rows on each side, by position in `order`.
 
     Adds `posicion` and `papel`: `cambio`, `contexto`, or `...` for the one marker row
     that stands for a run of hidden rows (placed at the run's last position). Positions
-    come from distributed numbering; the neighbourhood is an equi-join on position.
+    come from distributed numbering. A window sees one range of positions; the rows beside
+    a border are copied to the next range, so every row meets its neighbours.
     """
-    placed = number_rows(df, order, "posicion").withColumn("_chg", changed)
-    near = (
-        placed.filter("_chg")
-        .select(F.explode(F.sequence(F.col("posicion") - around, F.col("posicion") + around)).alias("posicion"))
-        .distinct()
-    )
-    kept = placed.join(near, "posicion", "left_semi").withColumn(
-        "papel", F.when(F.col("_chg"), "cambio").otherwise("contexto")
-    )
-    total = placed.agg(F.max("posicion")).scalar()
-    ends = kept.select((F.col("posicion") - 1).alias("posicion")).filter("posicion >= 1")
-    inner = ends.join(near, "posicion", "left_anti")
-    tail = kept.agg(F.max("posicion").alias("last")).filter(F.col("last") < total)
-    gaps = inner.unionByName(tail.select(total.alias("posicion"))).withColumn("papel", F.lit("..."))
-    return kept.drop("_chg").unionByName(gaps, allowMissingColumns=True)
+    placed = number_rows(df, order, "posicion").withColumn("_chg", F.coalesce(changed, F.lit(False)))
+    ends = placed.agg(F.max("posicion").alias("last"), F.max("_chg").alias("any"))
+    last, some = ends.select("last").scalar(), ends.select("any").scalar()
+    reach, at = around + 1, F.col("posicion") - 1
+    slots = [F.floor((at + shift) / F.lit(bucket_rows)) for shift in range(-reach, reach + 1, max(1, min(reach, bucket_rows)))]
+    slots += [F.floor((at + reach) / F.lit(bucket_rows)), F.floor(at / F.lit(bucket_rows))]
+    homes = placed.withColumn("_home", F.explode(F.array_distinct(F.array(*slots))))
+    beside = Window.partitionBy("_home").orderBy("posicion")
+    seen = homes.withColumns(
+        {
+            "_near": F.max("_chg").over(beside.rangeBetween(-around, around)),
+            "_next": F.coalesce(F.max("_chg").over(beside.rangeBetween(1 - around, 1 + around)), F.lit(False)),
+        }
+    ).filter(F.col("_home") == F.floor(at / F.lit(bucket_rows)))
+    ends_run = F.col("_next") | ((F.col("posicion") == last) & some)
+    shown = seen.filter(F.col("_near") | ends_run)
+    papel = F.when(F.col("_chg"), "cambio").when(F.col("_near"), "contexto").otherwise("...")
+    cells = [F.when(F.col("_near"), F.col(c)).alias(c) for c in df.columns]
+    return shown.select(*cells, "posicion", papel.alias("papel"))
 
 
 def order_changed(pairs: DataFrame, old: str, new: str, bucket_rows: int = 1_000_000) -> DataFrame:

@@ -300,6 +300,7 @@ def test_context_against_brute_force(spark, around):
     changed = {3, 4, 11, 19}
     df = spark.range(1, 26).select((F.col("id") * 10).alias("o"), F.col("id").isin(*changed).alias("c"))
     got = {r.posicion: r.papel for r in with_context(df, [F.col("o")], F.col("c"), around).collect()}
+    assert got == {r.posicion: r.papel for r in with_context(df, [F.col("o")], F.col("c"), around, bucket_rows=3).collect()}
     near = {p for p in range(1, 26) if any(abs(p - c) <= around for c in changed)}
     want = {p: "cambio" if p in changed else "contexto" for p in near}
     want |= {p: "..." for p in range(1, 26) if p not in near and (p + 1 in near or p == 25)}
