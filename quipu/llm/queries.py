@@ -40,7 +40,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query("op4_secrets")
+@query("op4_secrets", secrets_scan.secrets_sql())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.found_secrets(table(spark, sf_dir, "documents"))
 

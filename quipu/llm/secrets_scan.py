@@ -184,3 +184,40 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", length:
     if length and length in docs.columns:
         out = out.withColumn(length, F.when(F.col(own).isNotNull(), F.length(text).cast(docs.schema[length].dataType)).otherwise(F.col(length)))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def secrets_sql(scope: int = SCOPE) -> str:
+    """The same rows as `found_secrets` in SQL."""
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    kinds = " union all ".join(
+        f"select doc_id, '{k.name}' as kind, {i} as kind_order, '{k.part}' as part, {str(k.strong).lower()} as strong, {k.least} as least, "
+        f"string_split_regex(t, {quoted(k.pattern)}) as between, regexp_extract_all(t, {quoted(k.pattern)}, 0) as whole, "
+        f"regexp_extract_all(t, {quoted(k.pattern)}, {k.group}) as parts from texts"
+        for i, k in enumerate(KINDS)
+    )
+    near = lambda p: f"exists (select 1 from found f where f.doc_id = w.doc_id and f.part = '{p}' and abs(f.start - w.start) <= {scope})"
+    count = lambda k: f"cast(count(*) filter (kind = '{k}') as bigint) as n_{k}"
+    listing = "string_agg(concat_ws(':', kind, start, stop), ',' order by start, kind_order, stop)"
+    base = "kind in (" + ", ".join(f"'{k.name}'" for k in KINDS if k.strong) + ")"
+    return f"""
+with texts as (select doc_id, coalesce(text, '') as t from documents),
+each as (select *, unnest(range(1, len(whole) + 1)) as i from ({kinds})),
+placed as (
+    select doc_id, kind, kind_order, part, strong, length(whole[i]) as own, length(parts[i]) >= least as good,
+        sum(length(between[i]) + length(whole[i])) over (partition by doc_id, kind order by i) as stop
+    from each
+),
+found as (select doc_id, kind, kind_order, part, strong, cast(stop - own as bigint) as start, cast(stop as bigint) as stop from placed where good),
+spans as (
+    select * from found w where strong
+        or part = 'secret' and ({near("identifier")} or {near("endpoint")})
+        or part = 'identifier' and {near("secret")}
+        or part = 'endpoint' and {near("identifier")} and {near("secret")}
+),
+listed as (
+    select doc_id, {", ".join(count(k.name) for k in KINDS if k.strong)}, {listing} filter ({base}) as base, {listing} as spans from spans group by doc_id
+)
+select doc_id, {", ".join(f"coalesce(n_{k.name}, 0) as n_{k.name}" for k in KINDS if k.strong)},
+    sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from texts left join listed using (doc_id)
+"""
