@@ -287,18 +287,38 @@ def recreate_targets(m):
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Text columns of the raw tables that the targets take over, by table and its key.
+_TEXTS = {
+    "ventas": ("venta_id", ["canal_venta"]),
+    "recepciones": ("recepcion_id", ["estado_recepcion"]),
+    "productos": ("producto_id", ["serie", "descripcion"]),
+    "oficinas": ("oficina_id", ["nom_oficina", "departamento", "region", "zona"]),
+    "vendedores": ("vendedor_id", ["nom_vendedor"]),
+    "asesores": ("asesor_pdv_id", ["nom_asesor_pdv"]),
+}
+
+
 @query(
     "s17_collated_text",
-    "select lower(rtrim(trim(lote))) as lote, count(*) as recepciones from (select if(producto_id % 2 = 0, upper(serie), lower(serie)) as lote from recepciones join productos using (producto_id) where trim(serie) <> '') group by 1",
+    " union all ".join(
+        f"select '{t}' as tabla, '{c}' as columna, lower(rtrim({c})) as valor, count(*) as filas from {t} group by lower(rtrim({c}))"
+        for t, (_, names) in _TEXTS.items()
+        for c in names
+    ),
 )
 def collated_text(m):
-    """Series in mixed case and with trailing blanks meet in one group."""
-    serie = F.when(F.col("producto_id") % 2 == 0, F.upper("serie")).otherwise(F.lower("serie"))
-    rows = m.raw("recepciones").join(m.raw("productos"), "producto_id").filter(F.trim("serie") != "")
-    texts = sinks.collate_text(rows.select(F.ltrim(serie).alias("lote")))
-    counts = texts.groupBy("lote").agg(F.count("*").alias("recepciones"))
-    plain = F.lower(F.rtrim(F.col("lote").cast("string")))
-    return counts.select(plain.cast("string").alias("lote"), "recepciones")
+    """Texts in mixed case and with trailing blanks meet in one group, column by column."""
+    m.land()
+    parts = []
+    for table, (key, names) in _TEXTS.items():
+        odd = F.col(key) % 2 == 1
+        mixed = [F.when(odd, F.concat(F.upper(c), F.lit(" "))).otherwise(F.lower(c)).alias(c) for c in names]
+        texts = sinks.collate_text(m.raw(table).select(*mixed))
+        cells = F.array(*[F.struct(F.lit(c).alias("columna"), F.col(c).alias("valor")) for c in names])
+        counts = texts.select(F.inline(cells)).groupBy("columna", "valor").agg(F.count("*").alias("filas"))
+        plain = F.lower(F.rtrim(F.col("valor").cast("string"))).cast("string").alias("valor")
+        parts.append(counts.select(F.lit(table).alias("tabla"), "columna", plain, "filas"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 #: Cells that a text format has to quote or escape, by product.
