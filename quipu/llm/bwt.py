@@ -9,7 +9,7 @@ another in a text and share an anchor are sent as one stretch; stretches that ar
 throughout settle each other by their digests, and one of each different kind goes on.
 
 Different stretches with the same anchor are sharded. Each shard is sorted on its own into
-its Burrows-Wheeler transform, whose symbols are the `width` bytes before a suffix. The
+its Burrows-Wheeler transform, whose symbols are the `width` bytes before a suffix (50). The
 shards' transforms are merged by refining their interleave: starting with no order, a pass
 deals the rows to the places of their symbols, which orders the suffixes by `width` bytes
 more, and marks where the common prefix ends. Rows alone in their block drop out, since
@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored, text_or_empty
+from .common import by_bytes, stored, text_or_empty
 
 LEAST = 200
 GRAM = 48
@@ -99,34 +99,71 @@ def stretches(text: bytes, least: int, gram: int) -> Iterator[Stretches]:
 
 
 class Shard(NamedTuple):
-    """Suffixes in order, the bytes before each, and the row of the suffix that these begin."""
+    """Suffixes in order, the bytes before each by number, and the row of the suffix that these begin."""
 
     position: np.ndarray
     symbol: np.ndarray
     earlier: np.ndarray  # -1 where the string begins too soon
 
 
-def transform(strings: list[bytes], least: int, width: int, begin: int) -> Shard:
-    """Burrows-Wheeler transform of the strings, which lie one after another from `begin` on.
+class Text(NamedTuple):
+    """Strings one after another, each followed by one end position, the suffix without bytes."""
 
-    Each string is followed by one end position, the suffix without bytes.
-    """
-    text = b"".join(s + b"\0" for s in strings)
+    words: np.ndarray  # number of the 8 bytes from each position on, ends and what follows as 0
+    ends: np.ndarray  # first position after each position's string
+    offset: np.ndarray  # place of each position in its string
+
+
+def numbered(*parts: np.ndarray) -> np.ndarray:
+    """Numbers in the order of the given columns, equal ones alike."""
+    key = parts[0] if len(parts) == 1 else parts[0].astype(np.int64) << 32 | parts[1]
+    return np.unique(key, return_inverse=True)[1].astype(np.int64)
+
+
+def laid_out(strings: list[bytes]) -> Text:
     lengths = np.fromiter((len(s) + 1 for s in strings), np.int64, len(strings))
     ends = np.repeat(np.cumsum(lengths), lengths)
-    offset = np.arange(len(text)) - (ends - np.repeat(lengths, lengths))
-    stop = np.minimum(ends, np.arange(len(text)) + least).tolist()
-    suffixes = [text[i:j] for i, j in enumerate(stop)]
-    order = np.array(sorted(range(len(text)), key=suffixes.__getitem__), np.int64)
-    row = np.empty(len(text), np.int64)
-    row[order] = np.arange(len(text))
-    bytes_ = np.frombuffer(text, np.uint8).astype(np.uint64)
-    words = np.zeros(len(text), np.uint64)  # the `width` bytes before each position
-    for i in range(1, width + 1):
-        words[i:] |= bytes_[:-i] << np.uint64(8 * (i - 1))
-    has = offset[order] >= width
-    earlier = np.where(has, row[np.maximum(order - width, 0)], -1)
-    return Shard(order + begin, words[order], earlier)
+    at = np.arange(len(ends))
+    offset = at - (ends - np.repeat(lengths, lengths))
+    data = np.frombuffer(b"".join(s + b"\0" for s in strings), np.uint8).astype(np.uint64)
+    words = np.zeros(len(data), np.uint64)
+    for i in range(8):  # bytes behind the end do not count
+        inside = at + i < ends - 1
+        words |= np.where(inside, np.append(data[i:], np.zeros(i, np.uint64)), np.uint64(0)) << np.uint64(56 - 8 * i)
+    return Text(words, ends, offset)
+
+
+def later(values: np.ndarray, ends: np.ndarray, step: int) -> np.ndarray:
+    """One more than the value `step` positions on in the same string, 0 behind its end."""
+    at = np.arange(len(values)) + step
+    return np.where(at < ends, values[np.minimum(at, len(values) - 1)] + 1, 0)
+
+
+def suffix_order(text: Text, least: int) -> np.ndarray:
+    """Positions by at least the `least` bytes that follow in their string."""
+    rank, covered = numbered(text.words), 8
+    while covered < least and rank.max(initial=0) + 1 < len(rank):
+        rank, covered = numbered(rank, later(rank, text.ends, covered)), 2 * covered
+    return np.argsort(rank, kind="stable")
+
+
+def before(text: Text, width: int) -> np.ndarray:
+    """Number of the `width` bytes before each position; right where the string has as many."""
+    have = min(8, width)
+    names = numbered(text.words >> np.uint64(8 * (8 - have)))
+    while have < width:
+        step = min(have, width - have)
+        names, have = numbered(names, later(names, text.ends, step)), have + step
+    return np.concatenate([np.zeros(width, np.int64), names])[: len(names)]
+
+
+def transform(text: Text, names: np.ndarray, least: int, width: int, begin: int) -> Shard:
+    """Burrows-Wheeler transform of a shard's text, whose first position is `begin` of the merge."""
+    order = suffix_order(text, least)
+    row = np.empty(len(order), np.int64)
+    row[order] = np.arange(len(order))
+    earlier = np.where(text.offset[order] >= width, row[np.maximum(order - width, 0)], -1)
+    return Shard(order + begin, names[order], earlier)
 
 
 def dealt(symbols: np.ndarray) -> np.ndarray:
@@ -140,13 +177,13 @@ def merge(shards: list[Shard], least: int, width: int) -> np.ndarray:
     """Positions at which a string of `least` bytes starts that starts at another position too."""
     firsts = np.cumsum([0, *[len(s.position) for s in shards]])
     position = np.concatenate([s.position for s in shards])
-    numbers = np.unique(np.concatenate([s.symbol for s in shards]), return_inverse=True)[1]
+    symbol = np.concatenate([s.symbol for s in shards])
     earlier = np.concatenate([np.where(s.earlier < 0, -1, s.earlier + f) for s, f in zip(shards, firsts)])
     rows, block = np.arange(len(position)), np.zeros(len(position), np.int64)
     for _ in range(least // width):
         has = earlier[rows] >= 0
         rows, block = rows[has], block[has]
-        symbols = numbers[rows]
+        symbols = symbol[rows]
         order = dealt(symbols)
         symbols, block, rows = symbols[order], block[order], earlier[rows[order]]
         cut = np.ones(len(rows), bool)  # here the common prefix with the row above ends
@@ -158,23 +195,26 @@ def merge(shards: list[Shard], least: int, width: int) -> np.ndarray:
 
 
 def symbol_width(least: int) -> int:
-    """Bytes in a symbol: the largest divisor of `least` up to 8."""
-    return next(w for w in range(8, 0, -1) if least % w == 0)
+    """Bytes in a symbol: the largest divisor of `least` up to 64."""
+    return next(w for w in range(64, 0, -1) if least % w == 0)
 
 
 def repeated_starts(strings: list[bytes], least: int, shard_bytes: int = SHARD_BYTES) -> list[np.ndarray]:
-    """For each string the offsets at which a repeated string of `least` bytes starts."""
+    """For each string the offsets at which a repeated string of `least` bytes starts.
+
+    Symbols are numbered once for all shards, so that their transforms speak of the same.
+    """
+    if not strings:
+        return []
     width = symbol_width(least)
-    shards, held, begin, size = [], [], 0, 0
-    for value in strings:
-        if held and size + len(value) >= shard_bytes:
-            shards.append(transform(held, least, width, begin))
-            held, begin, size = [], begin + size, 0
-        held.append(value)
-        size += len(value) + 1
-    if held:
-        shards.append(transform(held, least, width, begin))
-    found = merge(shards, least, width) if shards else np.empty(0, np.int64)
+    names = before(laid_out(strings), width)
+    shards, begin = [], 0
+    for held in by_bytes(strings, shard_bytes, lambda s: len(s) + 1):
+        text = laid_out(held)
+        end = begin + len(text.ends)
+        shards.append(transform(text, names[begin:end], least, width, begin))
+        begin = end
+    found = merge(shards, least, width)
     edges = np.cumsum([0, *[len(s) + 1 for s in strings]])
     cuts = np.searchsorted(found, edges)
     return [found[a:b] - e for a, b, e in zip(cuts[:-1], cuts[1:], edges[:-1])]
@@ -281,7 +321,8 @@ def merged_spans(values: DataFrame, least: int) -> DataFrame:
         if held:
             yield settle()
 
-    dealt_out = values.select("anchor", "digest", "value").repartition("anchor").sortWithinPartitions("anchor", "digest")
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # work follows the bytes; keep all tasks
+    dealt_out = values.select("anchor", "digest", "value").repartition(tasks, "anchor").sortWithinPartitions("anchor", "digest")
     return dealt_out.mapInArrow(run, f"anchor long, digest long, spans {SPANS}").filter(F.size("spans") > 0)
 
 
@@ -313,7 +354,8 @@ def repeated_spans(docs: DataFrame, id: str, text: str, least: int, gram: int, c
     shared = stored(found.join(stored(anchors, "anchors"), "anchor"), "shared")
     one = F.min(F.struct("key", "size", "start", "length")).alias("one")
     kinds = stored(shared.groupBy("anchor", "digest").agg(F.count("*").alias("n"), one).select("anchor", "digest", "n", "one.*"), "kinds")
-    many = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    # kinds that occur twice are settled, so an anchor needs one that does not and another one
+    many = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("rarest")).filter("kinds > 1 and rarest = 1").drop("rarest")
     wanted = kinds.join(stored(many, "many"), "anchor").withColumn("crowded", F.col("kinds") > crowd)
     values = fetch(docs, stored(wanted, "differing"), id, text)
     whole = kinds.filter("n > 1").select("anchor", "digest", F.array(F.struct(F.lit(0).alias("start"), F.col("length").alias("end"))).alias("spans"))
@@ -367,3 +409,31 @@ def kept_bytes(docs: DataFrame) -> DataFrame:
     """Counts and the checksum of what is left of every document."""
     found = remove_repeats(docs)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The same rows as `kept_bytes`: every window's digest is counted, and runs of repeated ones are cut out.
+REPEATS_SQL = f"""
+with texts as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+sized as (select doc_id, h, cast(length(h) / 2 as bigint) as n_bytes from texts),
+segments as (
+    select doc_id, n_bytes, s, substr(h, 2 * s + 1, {2 * (LEAST + 499)}) as part
+    from (select doc_id, n_bytes, h, unnest(range(0, greatest(n_bytes - {LEAST - 1}, 0), 500)) as s from sized)
+),
+strings as (
+    select doc_id, s + j as i, md5(substr(part, 2 * j + 1, {2 * LEAST})) as digest
+    from (select doc_id, s, part, unnest(range(0, least(500, n_bytes - {LEAST - 1} - s))) as j from segments)
+),
+twice as (select digest from strings group by digest having count(*) > 1),
+starts as (select doc_id, i, i - lag(i) over (partition by doc_id order by i) as step from strings join twice using (digest)),
+marked as (select doc_id, i, sum(case when step <= {LEAST} then 0 else 1 end) over (partition by doc_id order by i) as run from starts),
+runs as (select doc_id, run, min(i) as start, max(i) + {LEAST} as stop from marked group by doc_id, run),
+gaps as (select doc_id, run, start, stop, lag(stop, 1, 0) over (partition by doc_id order by run) as since from runs),
+cut as (
+    select doc_id, sum(stop - start) as n_removed, count(*) as n_spans, max(stop) as last,
+        string_agg(substr(h, 2 * since + 1, 2 * (start - since)), '' order by run) as kept
+    from gaps join sized using (doc_id) group by doc_id
+)
+select doc_id, n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, cast(coalesce(n_spans, 0) as bigint) as n_spans,
+    sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from sized left join cut using (doc_id)
+"""
