@@ -97,18 +97,20 @@ def fit(
     """Learn a prototype for every non-null label.
 
     Each language is learned from a sample of about `rows_per_language` rows, taken by a
-    hash of `key` and text; a language with fewer rows is learned from all of them. Rows
-    without a label, a text or a letter teach nothing. The driver gets one vector of `dims`
-    numbers for each language.
+    hash of `key` and length; a language with fewer rows is learned from all of them. Rows
+    without a label, a text or a letter teach nothing. The driver gets the number of rows and
+    one vector of `dims` numbers for each language.
     """
     rows = labelled.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(label).cast("string").alias("label"),
         F.col(text).alias("text"),
         F.col(key).cast("string").alias("key"),
     )
-    sizes = rows.groupBy("label").count().withColumnRenamed("count", "n")
+    # one number for each language; as literals they need no join that would gather a language's texts
+    sizes = [x for r in rows.groupBy("label").count().collect() for x in (F.lit(r["label"]), F.lit(r["count"]))]
     draw = F.shiftrightunsigned(F.xxhash64(F.coalesce("key", F.lit("")), F.length("text")), 11) / float(1 << 53)
-    sample = rows.join(sizes, "label").filter(draw * F.col("n") < rows_per_language).select("label", "text")
+    share = F.element_at(F.create_map(*sizes), F.col("label")) if sizes else F.lit(0)
+    sample = rows.filter(draw * share < rows_per_language).select("label", "text")
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, dict[int, int]] = {}
