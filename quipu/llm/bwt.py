@@ -17,7 +17,8 @@ what precedes them is unique as well. After least / width passes each block is a
 string. No suffixes of different shards are compared with each other.
 
 An anchor with very many different stretches (a common line among changing text) would be a
-large group in one task; its strings are matched by 128-bit digests instead, spread evenly.
+large group in one task. Its stretches are cut into pieces that meet by all bytes their
+strings have in common instead of the anchor's alone, and go the same way.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ SEGMENT = 1 << 17  # window starts handled at once; bounds a task's memory
 PLACE = np.uint64((1 << 20) - 1)
 BASE = 0x9E3779B97F4A7C15
 CROWD = 256  # different stretches of one anchor that a merge takes
+STEPS = (16, 4, 1)  # string starts that a piece of a crowded stretch has, ever finer
+MASK = (1 << 64) - 1
 SHARD_BYTES = 32 << 10
 MERGE_BYTES = 1 << 20
 
@@ -326,25 +329,59 @@ def merged_spans(values: DataFrame, least: int) -> DataFrame:
     return dealt_out.mapInArrow(run, f"anchor long, digest long, spans {SPANS}").filter(F.size("spans") > 0)
 
 
-def crowded_spans(values: DataFrame, least: int) -> DataFrame:
-    """(anchor, digest, spans) by the digests of all strings of `least` bytes."""
+def cut_pieces(values: DataFrame, step: int, least: int, gram: int) -> DataFrame:
+    """Stretches cut by where their strings stand to the anchor, `step` places at a time, stored.
 
-    @F.pandas_udf("array<struct<start:int,high:long,low:long>>")
-    def strings(parts: pd.Series) -> pd.Series:
-        def each(value: bytes) -> list[dict[str, int]]:
-            out = []
-            for i in range(len(value) - least + 1):
-                both = np.frombuffer(xxhash.xxh3_128_digest(value[i : i + least], seed=10), ">i8")
-                out.append({"start": i, "high": int(both[0]), "low": int(both[1])})
-            return out
-
-        return parts.map(each)
+    Strings of the same place and content share the bytes that all strings of a piece have in
+    common, its core; the core's hash is the piece's own anchor. Columns: up_anchor, up_digest
+    (the stretch), anchor, digest, start (in the stretch), at (the anchor's place), value.
+    """
 
-    once = values.groupBy("anchor", "digest").agg(F.first("value").alias("value"))
-    shown = stored(once.select("anchor", "digest", F.explode(strings("value")).alias("s")).select("anchor", "digest", "s.*"), "strings")
-    twice = stored(shown.groupBy("high", "low").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "repeated")
-    found = shown.join(twice, ["high", "low"]).groupBy("anchor", "digest").agg(F.sort_array(F.collect_list("start")).alias("starts"))
-    return found.select("anchor", "digest", F.transform("starts", lambda s: F.struct(s.alias("start"), (s + least).cast("int").alias("end"))).alias("spans"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        names = ["up_anchor", "up_digest", "anchor", "digest", "start", "at", "value"]
+        for batch in batches:
+            out = []
+            for anchor, digest, at, value in zip(*[batch.column(i).to_pylist() for i in range(4)]):
+                if at is None:
+                    at = int(np.argmax(gram_hashes(np.frombuffer(value, np.uint8), gram).view(np.int64) == anchor))
+                # a string that starts at p stands at - p bytes before the anchor
+                for j in range(max(0, at - (len(value) - least)) // step, at // step + 1):
+                    start = max(0, at - j * step - step + 1)
+                    end = min(len(value), at - j * step + least)
+                    core = value[at - j * step : at - j * step - step + 1 + least]
+                    piece = value[start:end]
+                    own = xxhash.xxh3_128_intdigest(core, seed=j)
+                    other = xxhash.xxh3_64_intdigest(piece, seed=at - start)
+                    out.append((anchor, digest, *np.array([own >> 64 ^ own & MASK, other], np.uint64).view(np.int64).tolist(), start, at - start, piece))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+    kind = "up_anchor long, up_digest long, anchor long, digest long, start int, at int, value binary"
+    return stored(values.select("anchor", "digest", "at", "value").mapInArrow(grouped(run, 10_000), kind), "pieces")
+
+
+def crowded_spans(values: DataFrame, least: int, gram: int, crowd: int, steps: tuple[int, ...] = STEPS) -> DataFrame:
+    """(anchor, digest, spans) of stretches whose anchor has too many for one merge.
+
+    Their pieces meet by the hash of the piece's core instead of the anchor. Equal pieces
+    settle each other, the others are merged; what is still crowded is cut finer, in the end
+    into single strings, which are equal where their cores are.
+    """
+    parts = cut_pieces(values, steps[0], least, gram)
+    kinds = parts.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.first("at").alias("at"), F.first("value").alias("value"))
+    kinds = stored(kinds, "piece-kinds")
+    many = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("rarest")).filter("kinds > 1 and rarest = 1").drop("rarest")
+    differing = kinds.join(stored(many, "many"), "anchor")
+    whole = kinds.filter("n > 1").select("anchor", "digest", F.array(F.struct(F.lit(0).alias("start"), F.octet_length("value").alias("end"))).alias("spans"))
+    found = whole.unionByName(merged_spans(differing.filter(F.col("kinds") <= crowd), least))
+    crowded = differing.filter(F.col("kinds") > crowd)
+    if len(steps) > 1 and not crowded.isEmpty():
+        found = found.unionByName(crowded_spans(crowded, least, gram, crowd, steps[1:]))
+    own = F.transform("spans", lambda s: F.struct((s["start"] + F.col("start")).alias("start"), (s["end"] + F.col("start")).alias("end")))
+    up = parts.select("up_anchor", "up_digest", "anchor", "digest", "start").join(stored(found, "piece-spans"), ["anchor", "digest"])
+    up = up.select(F.col("up_anchor").alias("anchor"), F.col("up_digest").alias("digest"), own.alias("spans"))
+    return up.groupBy("anchor", "digest").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
 
 def repeated_spans(docs: DataFrame, id: str, text: str, least: int, gram: int, crowd: int) -> DataFrame:
@@ -359,7 +396,10 @@ def repeated_spans(docs: DataFrame, id: str, text: str, least: int, gram: int, c
     wanted = kinds.join(stored(many, "many"), "anchor").withColumn("crowded", F.col("kinds") > crowd)
     values = fetch(docs, stored(wanted, "differing"), id, text)
     whole = kinds.filter("n > 1").select("anchor", "digest", F.array(F.struct(F.lit(0).alias("start"), F.col("length").alias("end"))).alias("spans"))
-    parts = merged_spans(values.filter("not crowded"), least).unionByName(crowded_spans(values.filter("crowded"), least))
+    parts = merged_spans(values.filter("not crowded"), least)
+    crowded = values.filter("crowded").dropDuplicates(["anchor", "digest"]).withColumn("at", F.lit(None).cast("int"))
+    if not crowded.isEmpty():
+        parts = parts.unionByName(crowded_spans(crowded, least, gram, crowd))
     spans = stored(whole.unionByName(parts), "spans")
     own = F.transform("spans", lambda s: F.struct((s["start"] + F.col("start")).alias("start"), (s["end"] + F.col("start")).alias("end")))
     placed = shared.join(spans, ["anchor", "digest"]).select("key", "size", F.explode(own).alias("span"))
@@ -382,12 +422,11 @@ def remove_repeats(
     ranges = repeated_spans(docs, id, text, least, gram, crowd)
 
     @F.pandas_udf("kept binary, n_removed long, n_spans long")
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
         out = []
-        for value, own in zip(texts, spans):
+        for value, first, last in zip(texts, starts, ends):
             kept, reach, removed, runs = [], 0, 0, 0
-            for s in own if own is not None else ():
-                start, end = int(s["start"]), int(s["end"])
+            for start, end in zip(first.tolist(), last.tolist()) if first is not None else ():
                 if start > reach or not runs:
                     kept.append(value[reach:start])
                     runs += 1
@@ -401,7 +440,8 @@ def remove_repeats(
         return pd.DataFrame(out, columns=["kept", "n_removed", "n_spans"])
 
     rows = docs.select(F.col(id).alias("doc_id"), *text_keys(text), text_or_empty(text).cast("binary").alias("text"))
-    made = rows.join(ranges, ["key", "size"], "left").withColumn("made", cut("text", "spans"))
+    part = lambda name: F.transform("spans", lambda s: s[name])
+    made = rows.join(ranges, ["key", "size"], "left").withColumn("made", cut("text", part("start"), part("end")))
     return made.select("doc_id", "made.kept", F.col("size").cast("long").alias("n_bytes"), "made.n_removed", "made.n_spans")
 
 

@@ -75,6 +75,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edited_neighbours(table(spark, sf_dir, "documents"))
 
 
-@query("op10_repeats")
+@query("op10_repeats", bwt.REPEATS_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwt.kept_bytes(table(spark, sf_dir, "documents"))
