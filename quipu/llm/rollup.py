@@ -16,7 +16,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import by_bytes, text_or_empty
+from .common import by_bytes, stored, text_or_empty
 from .tokens import encoder
 
 #: Tokenizer versions and their vocabulary files.
@@ -81,6 +81,9 @@ def commit(changes: DataFrame, root: str, batch: int, versions: Mapping[str, str
     each = F.explode(F.array(*map(F.lit, versions))).alias("version")
     deletes = changes.filter("op = 'delete'").select("doc_id", "source", "lang", "op", "seq", each)
     counted = token_counts(changes.filter("op <> 'delete'"), versions).unionByName(deletes.withColumn("tokens", F.lit(None).cast("long")))
+    # read by several branches below; the texts are tokenised once
+    counted.write.mode("overwrite").parquet(f"{root}/counted/batch={batch}")
+    counted = spark.read.schema(counted.schema).parquet(f"{root}/counted/batch={batch}")
     last = Window.partitionBy("doc_id", "version").orderBy(F.col("seq").desc(), F.col("op"), F.col("tokens").desc(), "source", "lang")
     with_id = counted.filter("doc_id is not null").withColumn("turn", F.row_number().over(last)).filter("turn = 1").drop("turn")
     without_id = counted.filter("doc_id is null and op = 'insert'")
@@ -119,7 +122,8 @@ def copies(docs: DataFrame) -> DataFrame:
     """Deletions of all documents but the first by id among those with equal texts."""
     keyed = docs.select("doc_id", "source", "lang", F.md5(text_or_empty("text").cast("binary")).alias("key"))
     first = keyed.groupBy("key").agg(F.min("doc_id").alias("first"))
-    return keyed.join(first, "key").filter("doc_id <> first").select(
+    # stored, so that Spark can split the rows of a large group of copies
+    return keyed.join(stored(first, "firsts"), "key").filter("doc_id <> first").select(
         F.lit("delete").alias("op"), "doc_id", "source", "lang", F.lit(None).cast("string").alias("text")
     )
 
