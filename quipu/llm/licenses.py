@@ -35,8 +35,19 @@ SPELLINGS = {
     "utilis": "utiliz",
     "whilst": "while",
 }
-#: Lines that name a copyright holder and go.
-COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+ACROSS = {other: kept for other, kept in SPELLINGS.items() if " " in other}
+#: Lines that name a copyright holder and go. A line of a text's body that merely begins with the word,
+#: as hard-wrapped texts have it, stays: after the word must come (c), a year, "by" or a capitalised name, and the
+#: title-case terms of licence texts are no names.
+YEAR = r"[\[<{(]?((19|20)[0-9][0-9]|yyyy|year)"
+TERMS = (
+    r"(?m)^([^\p{L}\p{N}\n]*)C(opyright[ \t]+(Holder|Owner|Notice|License|Licence|Law|Act|Treat|Statement|Right|Interest|"
+    r"Status|Protection|Permission|Term|Grant|And|Or|In))"
+)
+COPYRIGHT = (
+    r"(?im)^[^\p{L}\p{N}\n]*(copyright[ \t:,-]*(\(c\)|©|" + YEAR + r"|by[ \t])|(\(c\)|©)[ \t]*(copyright|" + YEAR + r")"
+    r"|all rights reserved|(?-i:Copyright[ \t]+([Tt]he[ \t]+)?\p{Lu}))[^\n]*$"
+)
 OTHER = r"[^\p{L}\p{N}\n]+"
 
 _WARRANTY = (
@@ -117,12 +128,21 @@ KNOWN: tuple[tuple[str, str], ...] = (
 
 def canonical_lines(text: Column) -> Column:
     """Canonical form of each line; lines with nothing left are gone."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT, ""), OTHER, " ")
+    unsigned = F.regexp_replace(F.regexp_replace(text, TERMS, "$1c$2"), COPYRIGHT, "")
+    plain = F.regexp_replace(F.lower(unsigned), OTHER, " ")
     for other, kept in SPELLINGS.items():
         plain = F.replace(plain, F.lit(other), F.lit(kept))
     return F.filter(F.transform(F.split(plain, "\n"), lambda line: F.trim(line)), lambda line: line != "")
 
 
+def canonical_text(lines: Column) -> Column:
+    """Canonical form of a whole text; spellings of several words may lie across its line breaks."""
+    whole = F.array_join(lines, " ")
+    for other, kept in ACROSS.items():
+        whole = F.replace(whole, F.lit(other), F.lit(kept))
+    return whole
+
+
 def digest(canonical: Column) -> Column:
     return F.sha2(canonical, 256)
 
@@ -131,7 +151,7 @@ def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] | Mapp
     """(digest, license) of licence texts; of names with one digest the first stays."""
     rows = list(known.items()) if isinstance(known, Mapping) else list(known)
     texts = spark.createDataFrame(rows, "license string, text string")
-    canonical = F.array_join(canonical_lines(F.col("text")), " ")
+    canonical = canonical_text(canonical_lines(F.col("text")))
     return texts.groupBy(digest(canonical).alias("digest")).agg(F.min("license").alias("license"))
 
 
@@ -144,7 +164,7 @@ def scan(docs: DataFrame, known: DataFrame, id: str = "doc_id", text: str = "tex
     matches nothing. Repeated rows are answered each; an empty table gives no rows.
     """
     rows = docs.select(F.col(id).alias("doc_id"), F.monotonically_increasing_id().alias("row"), canonical_lines(text_or_empty(text)).alias("lines"))
-    whole = F.array_join("lines", " ")
+    whole = canonical_text(F.col("lines"))
     single = F.transform(F.array_distinct("lines"), lambda line: F.struct(F.lit(False).alias("whole"), digest(line).alias("digest")))
     units = F.concat(F.array(F.struct(F.lit(True).alias("whole"), digest(whole).alias("digest"))), single)
     shown = rows.select("doc_id", "row", F.explode(units).alias("u")).select("doc_id", "row", "u.*")
@@ -165,16 +185,23 @@ def license_sql() -> str:
     """The same rows in SQL."""
 
     def canonical(text: str) -> str:
-        plain = rf"regexp_replace(regexp_replace(lower(coalesce({text}, '')), '{COPYRIGHT}', '', 'g'), '{OTHER}', ' ', 'g')"
+        unsigned = rf"regexp_replace(regexp_replace(coalesce({text}, ''), '{TERMS}', '\1c\2', 'g'), '{COPYRIGHT}', '', 'g')"
+        plain = rf"regexp_replace(lower({unsigned}), '{OTHER}', ' ', 'g')"
         for other, kept in SPELLINGS.items():
             plain = f"replace({plain}, '{other}', '{kept}')"
         return f"[trim(l) for l in string_split({plain}, chr(10)) if trim(l) <> '']"
 
+    def whole(lines: str) -> str:
+        text = f"array_to_string({lines}, ' ')"
+        for other, kept in ACROSS.items():
+            text = f"replace({text}, '{other}', '{kept}')"
+        return text
+
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     values = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in KNOWN)
     return f"""
 with known as (
-    select sha256(array_to_string({canonical("text")}, ' ')) as digest, min(license) as license
+    select sha256({whole(canonical("text"))}) as digest, min(license) as license
     from (values {values}) v(license, text) group by 1
 ),
 docs as (select doc_id, {canonical("text")} as ls from documents),
@@ -182,6 +209,6 @@ lines as (
     select doc_id, string_agg(license, ',' order by license) as line_licenses
     from (select distinct doc_id, license from (select doc_id, unnest(ls) as line from docs) join known on sha256(line) = digest) group by doc_id
 )
-select doc_id, sha256(array_to_string(ls, ' ')) as canonical_sha256, license, coalesce(line_licenses, '') as line_licenses
-from docs left join known on digest = sha256(array_to_string(ls, ' ')) left join lines using (doc_id)
+select doc_id, sha256({whole("ls")}) as canonical_sha256, license, coalesce(line_licenses, '') as line_licenses
+from docs left join known on digest = sha256({whole("ls")}) left join lines using (doc_id)
 """

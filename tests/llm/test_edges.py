@@ -1,6 +1,7 @@
 """Odd tables for every operator: nulls, empty and long texts, ties, repeated rows, no rows, clashing columns."""
 
 import random
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -286,6 +287,40 @@ def test_licenses_of_odd_rows(spark, make, odd_rows):
     assert [r.license for r in licenses.scan(make([(1, "do AS you like")]), own).collect()] == ["mine"]
 
 
+def rewrapped(text, width):
+    """The text's paragraphs in lines of at most `width` letters."""
+    parts = [p for p in text.split("\n\n")]
+    return "\n\n".join(textwrap.fill(" ".join(p.split()), width) for p in parts)
+
+
+@pytest.mark.parametrize("width", [28, 40, 61, 66, 72, 78, 100])
+def test_wrapped_licenses_are_known(make, width):
+    """Wherever lines break, the body stays whole and holders' notices go."""
+    heads = ["Copyright (c) 1999, Some One <a@b.c>\nAll rights reserved.\n\n", "© 2001-2003 Some One\n\n", "Copyright Some Project contributors\n\n", "", "Copyright by some one\n(C) Copyright 2020 X\n"]
+    rows = [(i, heads[i % len(heads)] + rewrapped(text, width)) for i, (_, text) in enumerate(licenses.KNOWN)]
+    got = {r.doc_id: r.license for r in licenses.license_scan(make(rows)).collect()}
+    assert [name for i, (name, _) in enumerate(licenses.KNOWN) if got[i] != name] == []
+
+
+def test_only_holders_notices_go(spark):
+    gone = ["copyright 2020 x", "# Copyright (C) X", "(c) 1999 x", "© 2001", "All rights reserved.", "COPYRIGHT BY ACME", "Copyright [yyyy] [name]", "Copyright The Some Authors"]
+    kept = ["copyright notice and this", "COPYRIGHT HOLDERS BE LIABLE", "(c) You must retain", "Copyright Holder means", "Copyright License. Subject to", "copyrighted by X", "no copyright 2020"]
+    df = spark.createDataFrame([(t,) for t in gone + kept], "t string").select("t", licenses.canonical_lines(F.col("t")).alias("c"))
+    assert sorted(r.t for r in df.collect() if not r.c) == sorted(gone)
+
+
+def test_license_sql_agrees_on_wrapped_texts(spark, make):
+    import duckdb
+
+    rows = [(i, "Copyright Some One\n" + rewrapped(text, 61)) for i, (_, text) in enumerate(licenses.KNOWN)]
+    rows += [(1000, "Copyright\n(c) You must\ncopyright 2020 x\nnon\ncommercial per\ncent"), (1001, None), (1002, "released under the MIT License\n(c) 2020")]
+    db = duckdb.connect()
+    db.execute("create table documents (doc_id bigint, text varchar)")
+    db.executemany("insert into documents values (?, ?)", rows)
+    got = licenses.license_scan(make(rows)).select("doc_id", "canonical_sha256", "license", "line_licenses")
+    assert tuples(got) == sorted(db.execute(licenses.license_sql()).fetchall(), key=repr)
+
+
 def test_known_licenses_have_own_digests(spark):
     assert licenses.known_digests(spark).count() == len(licenses.KNOWN)
 
