@@ -8,7 +8,11 @@ its lines is looked up as a text of its own, for one-line notices. DataFrame fun
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+import re
+from collections.abc import Iterator, Mapping
+from importlib.resources import files
+from itertools import product
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -48,6 +52,8 @@ COPYRIGHT = (
     r"(?im)^[^\p{L}\p{N}\n]*(copyright[ \t:,-]*(\(c\)|©|" + YEAR + r"|by[ \t])|(\(c\)|©)[ \t]*(copyright|" + YEAR + r")"
     r"|all rights reserved|(?-i:Copyright[ \t]+([Tt]he[ \t]+)?\p{Lu}))[^\n]*$"
 )
+END = "END OF TERMS AND CONDITIONS"
+FSF = re.compile(r"51 Franklin St(reet)?,\s+Fifth\s+Floor,\s+Boston,?\s+MA\s+02110-1301,?\s+USA")
 OTHER = r"[^\p{L}\p{N}\n]+"
 
 _WARRANTY = (
@@ -77,8 +83,7 @@ _BSD_WARRANTY = (
     "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
     "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 )
-#: Known licence texts and one-line notices by SPDX name; callers may give their own.
-KNOWN: tuple[tuple[str, str], ...] = (
+_SHORT: tuple[tuple[str, str], ...] = (
     (
         "MIT",
         "MIT License\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software "
@@ -126,6 +131,48 @@ KNOWN: tuple[tuple[str, str], ...] = (
 )
 
 
+def _forms(name: str, text: str, wordings: dict) -> Iterator[str]:
+    """The usual forms of one text: other titles, no clause numbers, no appendix, older addresses."""
+    titles = wordings["titles"].get(name, [])
+    first, _, rest = text.partition("\n\n")
+    body = rest if first in titles else text
+    bodies = [body]
+    if name.startswith("BSD"):
+        bodies.append(re.sub(r"(?m)^\d\. ", "", body))
+    if (end := body.find(END)) >= 0:
+        bodies.append(body[: end + len(END)])
+    bodies += [FSF.sub(other, b) for b in bodies if FSF.search(b) for other in wordings["addresses"]]
+    bodies += [http for b in bodies if (http := b.replace("https://", "http://")) != b]
+    yield text
+    for b in bodies:
+        yield from [f"{title}\n\n{b}" for title in titles] or [b]
+
+
+def _notices(wordings: dict) -> Iterator[tuple[str, str]]:
+    p = wordings["phrases"]
+    heads = [" ".join(w).strip() for w in product(p["subject"], p["verb"], p["under"])] + [f"{label}:" for label in p["label"]]
+    for name, spellings in wordings["names"].items():
+        yield from ((name, f"{head} {spelling}.") for spelling in spellings for head in heads)
+
+
+def _known() -> Iterator[tuple[str, str]]:
+    """Texts and notices of this module and of the folder `known_licenses`, each wording once."""
+    folder = files(__package__).joinpath("known_licenses")
+    wordings = json.loads(folder.joinpath("wordings.json").read_text("utf-8"))
+    stored_texts = sorted((f.name.removesuffix(".txt").split("@")[0], f.read_text("utf-8")) for f in folder.iterdir() if f.name.endswith(".txt"))
+    texts = [(name, form) for name, text in [*_SHORT, *stored_texts] for form in _forms(name, text, wordings)]
+    seen = set()
+    for name, text in [*texts, *_notices(wordings)]:
+        words = " ".join(re.findall(r"\w+", re.sub(r"(?m)^\W*copyright \(c\).*$", "", text.lower())))
+        if words not in seen:
+            seen.add(words)
+            yield name, text
+
+
+#: Known licence texts and one-line notices by SPDX name; callers may give their own.
+KNOWN: tuple[tuple[str, str], ...] = tuple(_known())
+
+
 def canonical_lines(text: Column) -> Column:
     """Canonical form of each line; lines with nothing left are gone."""
     unsigned = F.regexp_replace(F.regexp_replace(text, TERMS, "$1c$2"), COPYRIGHT, "")

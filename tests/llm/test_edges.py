@@ -1,7 +1,9 @@
 """Odd tables for every operator: nulls, empty and long texts, ties, repeated rows, no rows, clashing columns."""
 
 import random
+import re
 import textwrap
+from importlib.resources import files
 
 import pytest
 from pyspark.sql import functions as F
@@ -288,9 +290,9 @@ def test_licenses_of_odd_rows(spark, make, odd_rows):
 
 
 def rewrapped(text, width):
-    """The text's paragraphs in lines of at most `width` letters."""
-    parts = [p for p in text.split("\n\n")]
-    return "\n\n".join(textwrap.fill(" ".join(p.split()), width) for p in parts)
+    """The text's paragraphs in lines of at most `width` letters; those with a holder's notice stay as they are."""
+    own = re.compile(r"copyright (\(c\)|\[)|all rights reserved", re.I)
+    return "\n\n".join(p if own.search(p) else textwrap.fill(" ".join(p.split()), width, break_long_words=False) for p in text.split("\n\n"))
 
 
 @pytest.mark.parametrize("width", [28, 40, 61, 66, 72, 78, 100])
@@ -313,7 +315,7 @@ def test_license_sql_agrees_on_wrapped_texts(spark, make):
     import duckdb
 
     rows = [(i, "Copyright Some One\n" + rewrapped(text, 61)) for i, (_, text) in enumerate(licenses.KNOWN)]
-    rows += [(1000, "Copyright\n(c) You must\ncopyright 2020 x\nnon\ncommercial per\ncent"), (1001, None), (1002, "released under the MIT License\n(c) 2020")]
+    rows += [(-1, "Copyright\n(c) You must\ncopyright 2020 x\nnon\ncommercial per\ncent"), (-2, None), (-3, "released under the MIT License\n(c) 2020")]
     db = duckdb.connect()
     db.execute("create table documents (doc_id bigint, text varchar)")
     db.executemany("insert into documents values (?, ?)", rows)
@@ -321,6 +323,23 @@ def test_license_sql_agrees_on_wrapped_texts(spark, make):
     assert tuples(got) == sorted(db.execute(licenses.license_sql()).fetchall(), key=repr)
 
 
+def test_full_texts_and_usual_notices_are_known(make):
+    """Licences that the given tables do not show, as files and as lines."""
+    texts = {name: (files("quipu.llm") / "known_licenses" / f"{name}.txt").read_text("utf-8") for name in ("Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "CC0-1.0", "Unlicense", "BSL-1.0")}
+    texts["MIT"] = "The MIT License (MIT)\n\nCopyright (c) 2020 X\n\n" + licenses.KNOWN[0][1].partition("\n\n")[2]
+    texts["BSD-3-Clause"] = "Copyright 2020 X. All rights reserved.\n\n" + next(t for n, t in licenses.KNOWN if n == "BSD-3-Clause").partition("\n\n")[2]
+    lines = {
+        "Licensed under the MIT License.": "MIT", "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0-or-later",
+        "This project is released under the terms of the Mozilla Public License 2.0": "MPL-2.0", "distributed under the BSD 3-clause licence": "BSD-3-Clause",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0", "MIT": "",
+        "Licensed under the GNU Affero General Public License, version 3 or later": "AGPL-3.0-or-later",
+    }
+    rows = [(i, t) for i, t in enumerate(texts.values())] + [(100 + i, f"prose\n{line}\nprose") for i, line in enumerate(lines)]
+    got = {r.doc_id: (r.license, r.line_licenses) for r in licenses.license_scan(make(rows)).collect()}
+    assert [got[i][0] for i in range(len(texts))] == list(texts)
+    assert [got[100 + i] for i in range(len(lines))] == [(None, name) for name in lines.values()]
+
+
 def test_known_licenses_have_own_digests(spark):
     assert licenses.known_digests(spark).count() == len(licenses.KNOWN)
 
