@@ -9,7 +9,7 @@ benchmark beyond the size bound is matched by a shuffle join on whole n-grams in
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -33,7 +33,7 @@ class Grams(NamedTuple):
     """Numbers of the words that occur in n-grams, and the items of each n-gram by length."""
 
     numbers: dict[bytes, int]
-    items: dict[int, dict[tuple[int, ...], tuple[str, ...]]]
+    items: dict[int, dict[tuple[int, ...], tuple[str | None, ...]]]
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -47,15 +47,20 @@ def windows(words: list, n: int) -> Iterator[list]:
         yield words[i : i + n]
 
 
+def in_order(items: Iterable[str | None]) -> list[str | None]:
+    """Sorted ids, a missing one last."""
+    return sorted(items, key=lambda i: (i is None, i or ""))
+
+
 def benchmark_grams(benchmark: DataFrame, id: str, text: str, n: int) -> DataFrame:
-    """(gram, width, item): distinct windows of every item, words joined by blanks."""
+    """(gram, width, item): distinct windows of every item, words joined by blanks; an item may have no id."""
     kind = "array<struct<gram:binary,width:int>>"
 
     @F.pandas_udf(kind)
     def cut(texts: pd.Series) -> pd.Series:
         return pd.Series([[{"gram": b" ".join(w), "width": len(w)} for w in windows(words_of(t), n)] for t in texts])
 
-    rows = benchmark.filter(F.col(id).isNotNull()).select(
+    rows = benchmark.select(
         F.col(id).cast("string").alias("item"), F.explode(cut(text_or_empty(text).cast("binary"))).alias("w")
     )
     return rows.select("w.gram", "w.width", "item").distinct()
@@ -63,22 +68,22 @@ def benchmark_grams(benchmark: DataFrame, id: str, text: str, n: int) -> DataFra
 
 def hash_set(grams: DataFrame, most_bytes: int) -> Grams | None:
     """The n-grams in memory, or None where they have more than `most_bytes`."""
-    size = grams.agg(F.sum(F.length("gram") + F.length("item") + 64).alias("n")).first().n or 0
+    size = grams.agg(F.sum(F.length("gram") + F.coalesce(F.length("item"), F.lit(0)) + 64).alias("n")).first().n or 0
     if size > most_bytes:
         return None
     numbers: dict[bytes, int] = {}
-    items: dict[int, dict[tuple[int, ...], set[str]]] = {}
+    items: dict[int, dict[tuple[int, ...], set[str | None]]] = {}
     for r in grams.toLocalIterator():
         key = tuple(numbers.setdefault(w, len(numbers) + 1) for w in bytes(r.gram).split(b" "))
         items.setdefault(r.width, {}).setdefault(key, set()).add(r.item)
-    return Grams(numbers, {w: {k: tuple(sorted(v)) for k, v in x.items()} for w, x in items.items()})
+    return Grams(numbers, {w: {k: tuple(in_order(v)) for k, v in x.items()} for w, x in items.items()})
 
 
-def scan(text: bytes, grams: Grams) -> tuple[int, np.ndarray, set[str]]:
+def scan(text: bytes, grams: Grams) -> tuple[int, np.ndarray, set[str | None]]:
     """Number of words, places of the words inside an occurrence, and the items found."""
     words = words_of(text)
     known = np.fromiter(map(grams.numbers.get, words, [0] * len(words)), np.int64, len(words))
-    found: set[str] = set()
+    found: set[str | None] = set()
     hit = np.zeros(len(words), bool)
     for width, table in grams.items.items():
         # a window can only begin where `width` known words follow
@@ -113,7 +118,7 @@ def hits_by_broadcast(docs: DataFrame, text: str, grams: Grams) -> tuple[DataFra
             rows = []
             for value in texts:
                 n, places, found = scan(value, table)
-                rows.append((n, len(places), sorted(found), spans_of(value, places)))
+                rows.append((n, len(places), in_order(found), spans_of(value, places)))
             yield pd.DataFrame(rows, columns=HITS.names)
 
     name = fresh(docs, "hits")
@@ -140,8 +145,8 @@ def hits_by_join(docs: DataFrame, text: str, grams: DataFrame, n: int) -> tuple[
 
     texts = keyed.select(F.col(key).alias("k"), text_or_empty(text).cast("binary").alias("t")).dropDuplicates(["k"])
     shown = texts.select("k", F.explode(cut("t")).alias("w")).select("k", "w.at", "w.gram")
-    met = stored(shown.join(grams, "gram").groupBy("k", "at").agg(F.max("width").alias("width"), F.collect_set("item").alias("items")), "windows")
-    per_text = met.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("at", "width"))).alias("met"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    met = stored(shown.join(grams, "gram").groupBy("k", "at").agg(F.max("width").alias("width"), F.collect_set(F.struct("item")).alias("items")), "windows")
+    per_text = met.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("at", "width"))).alias("met"), F.array_distinct(F.flatten(F.collect_list("items")))["item"].alias("items"))
 
     @F.pandas_udf(HITS)
     def finish(texts: pd.Series, met: pd.Series, items: pd.Series) -> pd.DataFrame:
@@ -152,7 +157,7 @@ def hits_by_join(docs: DataFrame, text: str, grams: DataFrame, n: int) -> tuple[
             for w in own if own is not None else ():
                 hit[w["at"] : w["at"] + w["width"]] = True
             places = np.flatnonzero(hit)
-            rows.append((n_words, len(places), sorted(names) if names is not None else [], spans_of(value, places)))
+            rows.append((n_words, len(places), in_order(names) if names is not None else [], spans_of(value, places)))
         return pd.DataFrame(rows, columns=HITS.names)
 
     per_text = stored(per_text, "hits").withColumnsRenamed({"k": key, "met": f"{name}_met", "items": f"{name}_items"})
@@ -171,9 +176,8 @@ def find_hits(
 ) -> tuple[DataFrame, str]:
     """`docs` with a struct column of its hits, and that column's name.
 
-    The struct has n_words, n_hit (words inside an occurrence), items (sorted ids as text)
-    and spans (code points). A null text has no words, and neither has a null item; items
-    without an id are left out; repeated items count once; an empty benchmark hits nothing.
+    The struct has n_words, n_hit (words inside an occurrence), items (sorted ids as text,
+    null last for items without an id) and spans (code points). A null text has no words, and neither has a null item; repeated items count once; an empty benchmark hits nothing.
     """
     grams = benchmark_grams(benchmark, item_id, item_text, n)
     table = hash_set(grams, broadcast_bytes)
@@ -203,7 +207,10 @@ def remove_hit_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text",
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document."""
+    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document.
+
+    All items without an id count as one in n_items, and no name stands for them in items_sha256.
+    """
     found, name = find_hits(docs.select("doc_id", "text"), benchmark, **options)
     hits = F.col(name)
     return found.select(

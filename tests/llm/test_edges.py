@@ -33,6 +33,25 @@ def test_contamination_of_odd_rows(make, odd_rows, benchmark, limit):
     assert tuples(got) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+def test_items_without_id_contaminate(make, benchmark, limit):
+    """Their windows count for words and spans, as in the SQL; no name stands for them."""
+    import duckdb
+
+    items = [(None, ITEM), (None, "brown fox jumps"), (3, "brown fox jumps")]
+    docs = [(1, f"x {ITEM} y"), (2, "A brown fox jumps"), (3, "clean"), (4, None)]
+    db = duckdb.connect()
+    db.execute("create table documents (doc_id bigint, text varchar); create table benchmark (item_id bigint, text varchar)")
+    db.executemany("insert into documents values (?, ?)", docs)
+    db.executemany("insert into benchmark values (?, ?)", items)
+    found = decontaminate.contamination(make(docs), benchmark(items), broadcast_bytes=limit)
+    assert tuples(found) == sorted(db.execute(decontaminate.CONTAMINATION_SQL).fetchall(), key=repr)
+    assert tuples(found, "doc_id", "n_hit", "contaminated") == [(1, 11, True), (2, 3, True), (3, 0, False), (4, 0, False)]
+    cut = decontaminate.remove_hit_spans(make(docs), benchmark(items), broadcast_bytes=limit)
+    assert tuples(cut, "doc_id", "text") == [(1, "x  y"), (2, "A "), (3, "clean"), (4, None)]
+    assert tuples(decontaminate.drop_contaminated(make(docs), benchmark(items), broadcast_bytes=limit), "doc_id") == [(3,), (4,)]
+
+
 def test_contamination_of_nothing(make, benchmark, odd_rows):
     assert tuples(decontaminate.contamination(make([]), benchmark([(1, ITEM)]))) == []
     got = decontaminate.contamination(make(odd_rows), benchmark([]))
