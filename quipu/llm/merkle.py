@@ -2,7 +2,9 @@
 
 A paragraph is a line with its line break. A section is a run of paragraphs that ends
 after one whose digest ends in three zero bits, and a word run ends after a word whose
-checksum is a multiple of three, so an edit moves only the cuts beside it. Every node's
+checksum is a multiple of three, so an edit moves only the cuts beside it. Words of more
+than 32 code points (texts without blanks) are cut into pieces first, by a checksum of
+four code points, and the pieces count as words; one of the greatest length ends a run. Every node's
 digest follows from its children's; equal roots mean equal texts, and a comparison
 descends into the branches that differ.
 
@@ -31,6 +33,7 @@ from .common import text_or_empty
 WORDS = re.compile(r"\S+\s*|\s+")
 SECTION_BITS = 7
 RUN_EVERY = 3
+LONG, WINDOW, PIECE_BITS, MOST = 32, 4, 7, 64  # code points: longest whole word, of a checksum, a mask, longest piece
 ROOT, NODE, RUN = 32, 8, 4  # letters
 
 
@@ -39,11 +42,32 @@ class Paragraph(NamedTuple):
     runs: str  # RUN letters for each word run
 
 
+def pieces(word: str) -> list[str]:
+    """A word cut where its code points say so, whatever stands further off; short words stay whole.
+
+    A cut follows a window whose checksum fits, unless one of the three windows before fits
+    too. What is still long between two cuts (repeated letters) is cut by length.
+    """
+    if len(word) <= LONG:
+        return [word]
+    points = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    sums = np.zeros(len(points) - WINDOW + 1, np.uint64)
+    for i in range(WINDOW):
+        sums = (sums ^ points[i : len(points) - WINDOW + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+        sums ^= sums >> np.uint64(29)
+    fits = sums & np.uint64(PIECE_BITS) == 0
+    near = np.zeros(len(fits), bool)
+    for i in range(1, WINDOW):
+        near[i:] |= fits[:-i]
+    cuts = [0, *(np.flatnonzero(fits & ~near) + WINDOW).tolist(), len(word)]
+    return [word[i : min(i + MOST, b)] for a, b in zip(cuts, cuts[1:]) for i in range(a, b, MOST)]
+
+
 def paragraph(text: str) -> Paragraph:
     runs, held = [], []
-    for word in WORDS.findall(text):
+    for word in (p for w in WORDS.findall(text) for p in pieces(w)):
         held.append(word)
-        if zlib.crc32(word.encode("utf-8", "surrogatepass")) % RUN_EVERY == 0:
+        if len(word) == MOST or zlib.crc32(word.encode("utf-8", "surrogatepass")) % RUN_EVERY == 0:
             runs.append("".join(held))
             held.clear()
     if held:

@@ -433,6 +433,20 @@ def test_tree_text_and_edits():
     assert merkle.fingerprint("") == merkle.fingerprint("") != merkle.fingerprint("\n")
 
 
+@pytest.mark.parametrize("letters", ["".join(map(chr, range(0x4E00, 0x5200))), "กขฃคฅฆงจฉชซฌญฎฏฐ", "0123456789abcdef", "a"])
+def test_edits_of_texts_without_blanks(make, letters):
+    """An edit spoils only the runs beside it, in one long word too."""
+    draw = random.Random(3)
+    texts = ["".join(draw.choices(letters, k=2000)) for _ in range(2)]
+    rows = merkle.edited_neighbours(make(list(enumerate(texts)))).collect()
+    assert all(0.65 < r.near_edited <= 1 for r in rows)
+    assert letters == "a" or all(r.near_next < 0.05 for r in rows)
+    for word in texts[0], "x" * 31 + "\udc80" + "🙂" * 90, "short":
+        assert "".join(merkle.pieces(word)) == word and max(map(len, merkle.pieces(word))) <= merkle.MOST
+    changed = texts[0][:900] + "!" + texts[0][901:]
+    assert merkle.likeness(merkle.fingerprint(texts[0]), merkle.fingerprint(changed)) > 0.9
+
+
 def test_fingerprint_columns(make):
     docs = merkle.with_fingerprint(make([(1, "a b c\nd e f\n"), (2, None)]))
     row = docs.select("doc_id", merkle.likeness_of("fingerprint", "fingerprint").alias("same"), merkle.edits_of("fingerprint", "fingerprint").alias("edits"))
