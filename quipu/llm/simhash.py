@@ -1,12 +1,13 @@
 """Near-duplicate documents by SimHash fingerprints and multi-index hashing.
 
-A fingerprint has two segments of 32 bits. The Hamming ball of radius 1 is enumerated
-within each segment: every fingerprint enters the table under its own value and under the
-64 values that differ from it in one bit of one segment. Two fingerprints at most 2 bits
-apart meet under the value halfway between them, and whatever meets there is verified by
-its complete distance. Since the untouched segment is part of the table's key, an entry
-holds at most 65 fingerprints, however many copies the corpus has: the entry is kept as a
-64-bit mask of the flipped bits, which Spark combines before the shuffle.
+The Hamming ball of radius 1 is enumerated around the whole fingerprint: every fingerprint
+enters one table under its own value and under the 64 values that differ from it in one
+bit. Two fingerprints at most 2 bits apart meet under the value halfway between them, and
+whatever meets there is verified by its complete distance. There are no tables for single
+segments, as the whole 64-bit value is the key: under a segment alone a family of near
+copies would be one bucket, whose members would all be paired. So an entry holds at most
+65 fingerprints, however many copies the corpus has: it is kept as a 64-bit mask of the
+flipped bits, which Spark combines before the shuffle. More than 2 bits are an error.
 """
 
 from __future__ import annotations
@@ -82,7 +83,7 @@ def links(values: DataFrame, max_bits: int = MOST_BITS) -> DataFrame:
         raise ValueError("max_bits must be 0, 1 or 2")
     one, bits = F.lit(1).cast("long"), F.sequence(F.lit(0), F.lit(63))
     flips = F.transform(bits, lambda i: F.call_function("shiftleft", one, i))
-    # segment 0 is the low half, segment 1 the high half; no flip stands for the value itself
+    # no flip stands for the value itself
     probes = values.select("fp", F.explode(F.concat(F.array(F.lit(0).cast("long")), flips)).alias("flip"))
     entries = probes.groupBy(F.col("fp").bitwiseXOR(F.col("flip")).alias("value")).agg(
         F.bit_or("flip").alias("flips"), F.max(F.col("flip") == 0).alias("own")
