@@ -1,4 +1,4 @@
-"""Repeated passages by merging Burrows-Wheeler transforms of text shards.
+"""Repeated passages by a radix refinement over the strings of text shards.
 
 Every byte covered by a string of `least` bytes that starts at two places is removed.
 
@@ -8,13 +8,13 @@ strings have equal anchors, so strings meet by the anchor's hash. Strings that f
 another in a text and share an anchor are sent as one stretch; stretches that are equal
 throughout settle each other by their digests, and one of each different kind goes on.
 
-Different stretches with the same anchor are sharded. Each shard is sorted on its own into
-its Burrows-Wheeler transform, whose symbols are the `width` bytes before a suffix (50). The
-shards' transforms are merged by refining their interleave: starting with no order, a pass
-deals the rows to the places of their symbols, which orders the suffixes by `width` bytes
-more, and marks where the common prefix ends. Rows alone in their block drop out, since
-what precedes them is unique as well. After least / width passes each block is a repeated
-string. No suffixes of different shards are compared with each other.
+Different stretches with the same anchor are laid out in shards. The symbol of a position is
+the `width` bytes before it (50), numbered by prefix doubling for all shards together. A
+radix refinement over these numbers follows: starting with no order, a pass deals the rows
+to the places of their symbols, steps to the positions where these begin, and marks where
+the common string ends. Rows alone in their block drop out, since what precedes them is
+unique as well. After least / width passes each block is a repeated string. The shards are
+not sorted into transforms of their own, as only equality of symbols decides.
 
 An anchor with very many different stretches (a common line among changing text) would be a
 large group in one task. Its stretches are cut into pieces that meet by all bytes their
@@ -102,7 +102,7 @@ def stretches(text: bytes, least: int, gram: int) -> Iterator[Stretches]:
 
 
 class Shard(NamedTuple):
-    """Suffixes in order, the bytes before each by number, and the row of the suffix that these begin."""
+    """Positions, the bytes before each by number, and the row of the position where these begin."""
 
     position: np.ndarray
     symbol: np.ndarray
@@ -142,14 +142,6 @@ def later(values: np.ndarray, ends: np.ndarray, step: int) -> np.ndarray:
     return np.where(at < ends, values[np.minimum(at, len(values) - 1)] + 1, 0)
 
 
-def suffix_order(text: Text, least: int) -> np.ndarray:
-    """Positions by at least the `least` bytes that follow in their string."""
-    rank, covered = numbered(text.words), 8
-    while covered < least and rank.max(initial=0) + 1 < len(rank):
-        rank, covered = numbered(rank, later(rank, text.ends, covered)), 2 * covered
-    return np.argsort(rank, kind="stable")
-
-
 def before(text: Text, width: int) -> np.ndarray:
     """Number of the `width` bytes before each position; right where the string has as many."""
     have = min(8, width)
@@ -160,13 +152,10 @@ def before(text: Text, width: int) -> np.ndarray:
     return np.concatenate([np.zeros(width, np.int64), names])[: len(names)]
 
 
-def transform(text: Text, names: np.ndarray, least: int, width: int, begin: int) -> Shard:
-    """Burrows-Wheeler transform of a shard's text, whose first position is `begin` of the merge."""
-    order = suffix_order(text, least)
-    row = np.empty(len(order), np.int64)
-    row[order] = np.arange(len(order))
-    earlier = np.where(text.offset[order] >= width, row[np.maximum(order - width, 0)], -1)
-    return Shard(order + begin, names[order], earlier)
+def linked(text: Text, names: np.ndarray, width: int, begin: int) -> Shard:
+    """Rows of a shard's text as they come; its first position is `begin` of the merge."""
+    at = np.arange(len(names))
+    return Shard(at + begin, names, np.where(text.offset >= width, at - width, -1))
 
 
 def dealt(symbols: np.ndarray) -> np.ndarray:
@@ -205,7 +194,7 @@ def symbol_width(least: int) -> int:
 def repeated_starts(strings: list[bytes], least: int, shard_bytes: int = SHARD_BYTES) -> list[np.ndarray]:
     """For each string the offsets at which a repeated string of `least` bytes starts.
 
-    Symbols are numbered once for all shards, so that their transforms speak of the same.
+    Symbols are numbered once for all shards, so that their rows speak of the same.
     """
     if not strings:
         return []
@@ -215,7 +204,7 @@ def repeated_starts(strings: list[bytes], least: int, shard_bytes: int = SHARD_B
     for held in by_bytes(strings, shard_bytes, lambda s: len(s) + 1):
         text = laid_out(held)
         end = begin + len(text.ends)
-        shards.append(transform(text, names[begin:end], least, width, begin))
+        shards.append(linked(text, names[begin:end], width, begin))
         begin = end
     found = merge(shards, least, width)
     edges = np.cumsum([0, *[len(s) + 1 for s in strings]])
