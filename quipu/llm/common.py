@@ -42,6 +42,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def table_of(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
+    """A small table from rows at hand, as literals of the plan: no Python workers read it."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    fields = to_arrow_schema(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    return spark.createDataFrame(pa.table([pa.array(list(c), f.type) for c, f in zip(columns, fields)], schema=fields), schema)
+
+
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import bwt, chat, decontaminate, langid, licenses, merkle, packing, rollup, secrets_scan, simhash
+from . import bwt, chat, decontaminate, langid, licenses, merkle, packing, ranked, rollup, secrets_scan, simhash
 from .common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_repeats", bwt.REPEATS_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwt.kept_bytes(table(spark, sf_dir, "documents"))
+
+
+@query("op11_ranked", ranked.RANKED_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
