@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import bwt, chat, decontaminate, langid, licenses, merkle, packing, ranked, rollup, secrets_scan, simhash
+from . import audit, bwt, chat, decontaminate, langid, licenses, merkle, packing, ranked, rollup, secrets_scan, simhash
 from .common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_ranked", ranked.RANKED_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_audit", audit.AUDIT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
