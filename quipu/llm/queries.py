@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import audit, bwt, chat, decontaminate, langid, licenses, merkle, packing, ranked, rollup, secrets_scan, simhash
+from . import audit, bwt, chat, decontaminate, langid, licenses, merkle, mincut, packing, ranked, rollup, secrets_scan, simhash
 from .common import importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_audit", audit.AUDIT_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_html")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mincut.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
