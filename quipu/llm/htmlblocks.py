@@ -48,9 +48,10 @@ NEVER_WORDS = set(
     "widget widgets pagination pager comment comments commentlist reply replies respond disqus discussion feedback copyright "
     "disclaimer legal privacy outbrain taboola skip hidden".split()
 )
-REPLACEABLE_WORDS = {"header", "form", "search", "top"}
-LIKELY_WORDS = set("article articles content main post entry story body text prose page".split())
-NEGATING = {"has", "with", "no", "without", "not", "is"}
+REPLACEABLE_WORDS = {"header", "form", "search"}
+LIKELY_WORDS = set("article articles content main post entry story body text prose".split())
+NEGATING = {"has", "with", "no", "without", "not", "is", "category", "tag", "topic"}  # before a word
+NEGATED = {"open", "closed", "off", "disabled"}  # behind it
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>\x00]*+)(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>|<[!?/][^>]*+>",
@@ -77,13 +78,12 @@ def own_evidence(name: str, attrs: str) -> int:
         elif key in ("class", "id"):
             for term in value.split():
                 parts = [x.lower() for x in NAME_PART.findall(term)]
-                words += [w for w, before in zip(parts, ["", *parts]) if before not in NEGATING]
-    if said == NEVER:
-        return said
-    never, likely = any(w in NEVER_WORDS for w in words), any(w in LIKELY_WORDS for w in words)
-    if never:
-        return SILENT if likely or said == MAIN else NEVER
-    if said == SILENT and likely:
+                if said == MAIN and len(parts) > 1:
+                    continue  # classes of a topic or state
+                words += [w for w, before, after in zip(parts, ["", *parts], [*parts[1:], ""]) if before not in NEGATING and after not in NEGATED]
+    if said == NEVER or any(w in NEVER_WORDS for w in words):
+        return NEVER
+    if said == SILENT and any(w in LIKELY_WORDS for w in words):
         return LIKELY
     return REPLACEABLE if said == SILENT and any(w in REPLACEABLE_WORDS for w in words) else said
 

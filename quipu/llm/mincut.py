@@ -28,7 +28,8 @@ SAMPLE_PAGES = 2000
 #: Counts (main, boilerplate) that stand beside the learned ones, so that a corpus without
 #: labelled blocks has a classifier too.
 PRIOR = {
-    ("tag", "p"): (8, 2), ("tag", "heading"): (5, 3), ("tag", "li"): (2, 6), ("tag", "other"): (4, 5),
+    ("tag", "p"): (8, 2), ("tag", "heading"): (5, 3), ("tag", "li"): (4, 5), ("tag", "other"): (5, 5),
+    ("tag", "p linked"): (2, 3), ("tag", "heading linked"): (2, 3), ("tag", "li linked"): (1, 8), ("tag", "other linked"): (1, 6),
     ("length", 0): (1, 6), ("length", 1): (2, 6), ("length", 2): (4, 4), ("length", 3): (6, 3), ("length", 4): (8, 1), ("length", 5): (8, 1),
     ("linked", 0): (8, 4), ("linked", 1): (6, 4), ("linked", 2): (2, 6), ("linked", 3): (1, 8),
     ("ends", True): (8, 3), ("ends", False): (3, 7),
@@ -45,7 +46,7 @@ def features(page: Page) -> list[tuple[tuple[str, int | bool | str], ...]]:
         share = linked / len(text)
         out.append(
             (
-                ("tag", kind),
+                ("tag", f"{kind} linked" if share >= 0.3 else kind),
                 ("length", min(5, max(0, int(math.log2(len(text))) - 3))),
                 ("linked", 0 if not linked else 1 if share < 0.3 else 2 if share < 0.8 else 3),
                 ("ends", text[-1] in ".!?…:;\"'”’»)。！？"),
