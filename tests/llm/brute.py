@@ -162,3 +162,80 @@ def check_packing(pieces, ids, room=1024):
         padding += 0 if at & (at - 1) == 0 else room - at
     assert sorted(sequences) == list(range(len(sequences)))
     return padding / (room * len(sequences)) if sequences else 0.0
+
+
+TERM = re.compile("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranked(texts, items, k=20):
+    """For each item (score, place of the text) of its best texts, equal scores by place."""
+    import math
+
+    cut = lambda t: TERM.findall((t or "").translate(LOWER))
+    bags = [Counter(cut(t)) for t in texts]
+    n, total = sum(map(bool, bags)), sum(b.total() for b in bags)
+    df = Counter(w for b in bags for w in b)
+    weight = {w: math.floor(1000 * math.log((2 * n + 2) / (2 * d + 1))) for w, d in df.items()}
+    out = []
+    for item in items:
+        scores = []
+        for place, bag in enumerate(bags):
+            m = 75 + (25 * bag.total() * n) // total if total else 0
+            s = sum(weight[w] * ((1_000_000_000 * bag[w]) // (1000 * bag[w] + 12 * m)) for w in cut(item) if w in bag)
+            if s > 0:
+                scores.append((-s, place))
+        out.append([(-s, place) for s, place in sorted(scores)[:k]])
+    return out
+
+
+def audit(rows, labels):
+    """(part, order, step) to counts, from (doc_id, text, part) and (doc_id, quality, toxic)."""
+    first = {}
+    for doc, text, _ in rows:
+        if doc is not None:
+            first[text or ""] = min(doc, first.get(text or "", doc))
+    good, bad = ({d for d, *v in labels if d is not None and v[i] == 1} for i in (0, 1))
+    docs = []
+    for doc, text, part in rows:
+        t = text or ""
+        words = re.findall("[^\x20\x09-\x0D]+", t)
+        fails = [len(words) < 100, 100 * len(set(words)) < 80 * len(words), 100 * sum("A" <= c <= "Z" for c in t) > 10 * len(t)]
+        fails += [any(c in "#$%&*|" for c in t), doc is not None and t in first and doc > first[t]]
+        docs.append((part or "", {f for f, x in zip("ABCDE", fails) if x}, doc in good, doc in bad))
+    out = {}
+    for part in {d[0] for d in docs}:
+        own, removed_by = [d for d in docs if d[0] == part], Counter()
+        for order in map("".join, itertools.permutations("ABCDE")):
+            left = own
+            for step, f in enumerate(order, 1):
+                gone = [d for d in left if f in d[1]]
+                before = len(own) - len(left)
+                left = [d for d in left if f not in d[1]]
+                failing = sum(f in d[1] for d in own)
+                removed_by[f] += len(gone)
+                out[part, order, step] = (len(left), len(gone), failing - len(gone), sum(d[1] == {f} for d in own), sum(d[2] for d in gone), sum(d[3] for d in gone))
+                assert before + len(gone) + len(left) == len(own)
+        for part_, order, step in list(out):
+            if part_ == part:
+                out[part, order, step] += (removed_by[order[step - 1]],)
+    return out
+
+
+def article(html):
+    """Heading and paragraphs of the one article of a page of the test tables."""
+    from html import unescape
+
+    blocks = re.split("</?(?:p|h1)>", re.search("<article>(.*)</article>", html, re.S)[1])
+    texts = [" ".join(unescape(re.sub("<[^>]*>", " ", b)).split()) for b in blocks]
+    return "\n".join(t for t in texts if t)
+
+
+def least_cut(terminal, edges):
+    """Price of the cheapest labelling."""
+    ways = itertools.product((False, True), repeat=len(terminal))
+    return min(cut_price(terminal, edges, s) for s in ways)
+
+
+def cut_price(terminal, edges, sides):
+    own = sum(abs(t) for t, s in zip(terminal, sides) if (t > 0) != s and t)
+    return own + sum(c for a, b, c in edges if sides[a] != sides[b])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import brute
 from conftest import LONG
-from quipu.llm import bwt, chat, decontaminate, langid, licenses, merkle, packing, rollup, secrets_scan, simhash
+from quipu.llm import bwt, chat, decontaminate, langid, licenses, merkle, packing, rollup, secrets_scan, simhash, tokens
 
 CLASH = ("n_words", "_hits", "_language", "_fingerprint", "key", "label", "spans", "_cuts", "id", "ids", "row", "part", "length", "name")
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
@@ -502,3 +502,49 @@ def test_merge_of_shards_keeps_their_order():
                 seen[s[k : k + least]] = seen.get(s[k : k + least], 0) + 1
         want = [[k for k in range(len(s) - least + 1) if seen[s[k : k + least]] > 1] for s in strings]
         assert [f.tolist() for f in found] == want
+
+
+# -- token ids of long texts
+
+
+@pytest.mark.parametrize("run", [" ", "\n", "\t", "a", "\r\n", " \n"])
+def test_ids_of_millions_of_equal_characters(run):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole, ids = Tokenizer.from_file(path), tokens.encoder(path)
+    for n in (1_000_000, 2_000_000, 5_000_000) if run == " " else (1_500_000,):
+        for text in (run * n, f"one {run * n}two 's {run * 20_000}\n", f"{run * n}\n x"):
+            assert ids([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"])
+def test_runs_are_cut_where_the_pattern_cuts(name, monkeypatch):
+    """With runs of three and more cut out, ids are those of the uncut text; a run of millions is read back."""
+    import public_tokenizers
+    import tiktoken
+
+    path = public_tokenizers.path(name)
+    ranks, _ = tokens.merge_ranks(path)
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    long = f"a{' ' * 3_000_000}b\n{chr(10) * 1_200_000}"
+    got = tokens.encoder(path)([long])[0].tolist()
+    assert plain.decode(got) == long
+    assert got[1:-1][: 2_999_000] == plain.encode_ordinary("a" + " " * 800_000)[1:2] * 2_999_000 or name != "byte_bpe_50k.tiktoken"
+    monkeypatch.setattr(tokens, "LONG_BLANKS", re.compile(tokens.LONG_BLANKS.pattern.replace("10000", "3")))
+    rng = random.Random(2)
+    for _ in range(3000):
+        text = "".join(rng.choice([" ", " ", "\n", "\t", "\u3000", "\xa0", "\x1c", "a", "b's", "1", ".", "é"]) for _ in range(rng.randrange(40)))
+        assert tokens.encoder(path)([text])[0].tolist() == plain.encode_ordinary(text)
+
+
+def test_long_runs_are_packed_and_counted(make):
+    docs = make([(1, "x" + " " * 1_200_000 + "y"), (2, "\n" * 1_500_000), (3, "z")])
+    pieces = packing.packed_pieces(docs).collect()
+    own = tokens.encoder()(["x" + " " * 1_200_000 + "y", "\n" * 1_500_000, "z"])
+    brute.check_packing(pieces, {i + 1: [*x.tolist(), 0] for i, x in enumerate(own)})
+    from quipu.session import scratch_path
+
+    totals = rollup.corpus_totals(docs, scratch_path(docs.sparkSession, "long-runs"))
+    assert totals.agg(F.sum("docs")).first()[0] == 3 * totals.select("version").distinct().count()
