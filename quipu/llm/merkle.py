@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.ranges import MOST_RANGES, range_starts, with_range
 from .common import text_or_empty
 
 WORDS = re.compile(r"\S+\s*|\s+")
@@ -35,6 +36,7 @@ SECTION_BITS = 7
 RUN_EVERY = 3
 LONG, WINDOW, PIECE_BITS, MOST = 32, 4, 7, 64  # code points: longest whole word, of a checksum, a mask, longest piece
 ROOT, NODE, RUN = 32, 8, 4  # letters
+KEY_LETTERS = 32  # of a text that help to deal rows with equal ids
 
 
 class Paragraph(NamedTuple):
@@ -201,37 +203,24 @@ def edits_of(a: str | Column, b: str | Column) -> Column:
 
 
 def in_order_with_next(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, text, ahead) dealt by ranges of `id` and sorted within a partition.
+    """(id, text, range, ahead) dealt by ranges of (id, first letters) and sorted within a partition.
 
-    The first row of a range also ends the range before it, marked `ahead`, and the first
-    row of all ends the last range, so every row's successor follows it in its partition.
-    The texts are shuffled once. The driver gets one number for each partition.
+    Spark chooses the ranges from the ids alone, of any type that can be ordered. The first
+    row of a range also ends the range before it, marked `ahead`, and the first row of all
+    ends the last range, so every row's successor follows it in its partition. The texts are
+    shuffled once; the driver gets nothing.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id).alias("id"), text_or_empty(text).alias("text"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    steps = rows.approxQuantile("id", [i / n for i in range(1, n)], 1 / (4 * n)) if n > 1 else []
-    bounds = np.unique(np.array(steps, np.float64).astype(np.int64))
-
-    @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
-        # a null id comes before all others
-        found = np.searchsorted(bounds, ids.fillna(0).astype("int64"), "right")
-        return pd.Series(np.where(ids.isna(), 0, found).astype("int32"))
-
-    ids = rows.select("id").withColumn("range", range_of("id"))
-    own = ids.groupBy("range").agg(F.min("id").alias("first"), F.max(F.col("id").isNull()).alias("missing")).orderBy("range").collect()
-    before = {}  # a range's first id and the range that it ends
-    for k, r in enumerate(own):
-        before[None if r.missing else r.first] = own[k - 1].range
-
-    @F.pandas_udf("int")
-    def ends(ids: pd.Series) -> pd.Series:
-        return pd.Series([before.get(None if pd.isna(i) else int(i)) for i in ids], dtype="Int32")
-
-    places = F.array(F.struct(range_of("id").alias("range"), F.lit(False).alias("ahead")), F.struct(ends("id").alias("range"), F.lit(True).alias("ahead")))
-    placed = rows.withColumn("p", F.explode(F.filter(places, lambda p: p["range"].isNotNull()))).select("id", "text", "p.range", "p.ahead")
-    return placed.repartitionById(max(len(bounds) + 1, n), "range").sortWithinPartitions("range", "ahead", F.col("id").asc_nulls_first(), "text")
+    rows = docs.select(F.col(f"`{id}`").alias("id"), text_or_empty(F.col(f"`{text}`")).alias("text"))
+    n = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_RANGES)
+    key = (F.col("id"), F.substring("text", 1, KEY_LETTERS).alias("letters"))
+    starts = range_starts(rows.select(*key), n)
+    placed = with_range(rows, F.struct(*key), starts, "range", n)
+    begins = placed.filter(F.get(starts.scalar(), F.col("range")) == F.struct(*key))  # with the few others of the same key
+    first = begins.groupBy("range").agg(F.min(F.struct("id", "text")).alias("row"))
+    before = F.pmod(F.col("range") - 1, F.size(starts.scalar())).alias("range")
+    ahead = first.select("row.id", "row.text", before, F.lit(True).alias("ahead"))
+    both = placed.select("id", "text", "range", F.lit(False).alias("ahead")).unionByName(ahead)
+    return both.repartitionById(n, "range").sortWithinPartitions("range", "ahead", F.col("id").asc_nulls_first(), "text")
 
 
 def edited_neighbours(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -239,8 +228,9 @@ def edited_neighbours(docs: DataFrame, id: str = "doc_id", text: str = "text") -
 
     In the edited text the last quarter of the code points (rounded down) gives way to as
     many first ones of the next document by id, or all it has; the last document is followed
-    by the first. A null text is empty. Null ids come first; documents with equal ids are in
-    order of their texts. An empty table gives an empty result.
+    by the first. A null text is empty. Ids are of any type that can be ordered, and are never
+    turned into another; null ids come first, documents with equal ids are in order of their
+    texts. Every row of `docs` has its row, an empty table gives an empty result.
     """
     kind = next(f.dataType for f in docs.schema if f.name == id).simpleString()
     out = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -254,8 +244,6 @@ def edited_neighbours(docs: DataFrame, id: str = "doc_id", text: str = "text") -
             for doc, value, place, ahead in zip(*columns):
                 if place != range_:
                     held, range_ = None, place
-                elif held is None:
-                    continue  # a second row ahead, its id repeats
                 known: dict[str, Paragraph] = {}
                 tree = fingerprint(value, known)
                 if held is not None:

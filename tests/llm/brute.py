@@ -239,3 +239,40 @@ def least_cut(terminal, edges):
 def cut_price(terminal, edges, sides):
     own = sum(abs(t) for t, s in zip(terminal, sides) if (t > 0) != s and t)
     return own + sum(c for a, b, c in edges if sides[a] != sides[b])
+
+
+def word_runs(text):
+    """Runs of words of a text, as its tree must have them."""
+    out = []
+    for line in (text or "").splitlines(keepends=True):
+        held = ""
+        for word in re.findall(r"\S+\s*|\s+", line):
+            for piece in cut_word(word):
+                held += piece
+                if len(piece) == 64 or zlib.crc32(piece.encode()) % 3 == 0:
+                    out.append(held)
+                    held = ""
+        if held:
+            out.append(held)
+    return out
+
+
+def cut_word(word):
+    if len(word) <= 32:
+        return [word]
+    fits = []
+    for i in range(len(word) - 3):
+        h = 0
+        for c in word[i : i + 4]:
+            h = (h ^ ord(c)) * 0x9E3779B97F4A7C15 % (1 << 64)
+            h ^= h >> 29
+        fits.append(h & 7 == 0)
+    cuts = [0, *(i + 4 for i, f in enumerate(fits) if f and not any(fits[max(0, i - 3) : i])), len(word)]
+    return [word[i : min(i + 64, b)] for a, b in zip(cuts, cuts[1:]) for i in range(a, b, 64)]
+
+
+def run_likeness(a, b):
+    """Share of the word runs that both texts have, repeats counted."""
+    left, right = Counter(word_runs(a)), Counter(word_runs(b))
+    total = left.total() + right.total()
+    return 1.0 if a == b else min(2 * (left & right).total() / total, 0.999999) if total else 0.0

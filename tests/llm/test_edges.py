@@ -1,8 +1,11 @@
 """Odd tables for every operator: nulls, empty and long texts, ties, repeated rows, no rows, clashing columns."""
 
+import hashlib
 import random
 import re
 import textwrap
+from datetime import date, timedelta
+from decimal import Decimal
 from importlib.resources import files
 
 import pytest
@@ -504,6 +507,34 @@ def test_merge_of_shards_keeps_their_order():
         assert [f.tolist() for f in found] == want
 
 
+ID_KINDS = {
+    "beyond 2^53": ("long", lambda i: (1 << 53) + 2 * i + 1),
+    "text": ("string", lambda i: f"d{i * 7919 % 1000:04}"),
+    "decimal": ("decimal(30,4)", lambda i: Decimal(f"{i * 7919 % 1000}12345678901234567.{i:04}")),
+    "date": ("date", lambda i: date(2000, 1, 1) + timedelta(days=i * 37 % 1000)),
+    "all equal": ("long", lambda i: 7),
+    "mostly null": ("long", lambda i: i if i % 3 == 0 else None),
+}
+
+
+@pytest.mark.parametrize("kind", ID_KINDS)
+def test_neighbours_of_any_ids(spark, kind):
+    """No row is lost, and every row's edited text and likeness are those of a plain loop."""
+    ddl, make_id = ID_KINDS[kind]
+    rng = random.Random(kind)
+    words = [f"w{i}" for i in range(50)] + ["x" * 40, "文字" * 30]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(1, 40))).replace("w1 ", "w1\n") for _ in range(199)]
+    rows = [(make_id(i), t) for i, t in enumerate(texts)] + [(None, "no id " * 9), (None, None)]
+    got = merkle.edited_neighbours(spark.createDataFrame(rows, f"doc_id {ddl}, text string").repartition(5)).collect()
+    order = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]) if r[0] is not None else (False, 0, r[1]))
+    changed = brute.edited([t for _, t in order])
+    ahead = [t for _, t in order[1:] + order[:1]]
+    want = [(d, len(t), hashlib.sha256(c.encode()).hexdigest(), brute.run_likeness(t, c), brute.run_likeness(t, n)) for (d, t), c, n in zip(order, changed, ahead)]
+    have = [(r.doc_id, r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in got]
+    assert len(got) == len(rows)
+    assert sorted(have, key=repr) == sorted(want, key=repr)
+
+
 # -- token ids of long texts
 
 
