@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.cells import CellRules
 from ..operators.compare import columns as cols
 from ..operators.compare import infer, patch, rows, textform, three_way
+from ..operators.compare.hash_tree import HashedTable
 from ..operators.compare.order import active_columns, order_changed, with_context
 from ..operators.numbering import number_rows
+from ..session import scratch_path
 from .registry import query
 
 KEY = ["c_custkey"]
@@ -200,7 +203,7 @@ def d3(m):
 _CANDIDATES = [["custkey", "total"], ["custkey", "day", "priority"], ["clerk"], ["status", "total", "day"], ["custkey", "status", "day", "clerk", "priority", "ship"]]
 
 
-def _order_versions(m) -> tuple[DataFrame, DataFrame]:
+def order_versions(m) -> tuple[DataFrame, DataFrame]:
     """Orders as they are, and a version with changed totals, days and clerks."""
     key = F.col("o_orderkey")
     a = m.sources.base("orders").select(
@@ -241,10 +244,62 @@ def _infer_sql() -> str:
     return f"with ord_a as ({a}), ord_b as ({b}), " + ", ".join(parts) + " " + " union all ".join(linked)
 
 
+ORDER_VERSIONS_SQL = _infer_sql().split(", l0 as")[0]
+
+
 @query("d4_align_infer_keys", _infer_sql())
 def d4(m):
     """No single key links all rows: the candidate keys are tried in turn."""
-    return infer.align_infer_keys(*_order_versions(m), "id", "id", _CANDIDATES)
+    return infer.align_infer_keys(*order_versions(m), "id", "id", _CANDIDATES)
+
+
+def _office_days(m) -> tuple[DataFrame, DataFrame]:
+    """Sales of an office and day, and a version in which some days are gone, new or corrected."""
+    day, office = F.col("fecha"), F.col("oficina_id")
+    a = m.raw("ventas").groupBy("oficina_id", F.col("fecha_venta").alias("fecha")).agg(
+        F.count("*").alias("ventas"), F.count_if(F.col("canal_venta") == "PDV").alias("pdv"), F.max("monto_venta").cast("long").alias("mayor")
+    )
+    a = a.withColumn("mayor", F.col("mayor") % 10).withColumn("id", F.unix_date(day).cast("long") * 100 + office)
+    b = a.filter(F.col("id") % 50 != 7).withColumns(
+        {
+            "fecha": F.when(F.col("id") % 31 == 0, F.date_add("fecha", 10000)).otherwise(day),
+            "ventas": F.when(F.col("id") % 3 == 0, F.col("ventas") + 1).otherwise(F.col("ventas")),
+            "id": F.col("id") + 90000000,
+        }
+    )
+    return a, b
+
+
+_DAYS = (
+    "with dias_a as (select oficina_id, fecha_venta as fecha, count(*) as ventas, count(*) filter (canal_venta = 'PDV') as pdv, trunc(max(monto_venta))::bigint % 10 as mayor, "
+    "date_diff('day', date '1970-01-01', fecha_venta)::bigint * 100 + oficina_id as id from ventas group by oficina_id, fecha_venta), "
+    "dias_b as (select oficina_id, if(id % 31 = 0, (fecha + 10000)::date, fecha) as fecha, if(id % 3 = 0, ventas + 1, ventas) as ventas, pdv, mayor, id + 90000000 as id from dias_a where id % 50 <> 7)"
+)
+_DAY_COLUMNS = ["oficina_id", "fecha", "ventas", "pdv", "mayor"]
+
+
+def _keys_sql() -> str:
+    """Every column set, whether it is unique and present in both tables, and the smallest of those."""
+    sets = [list(s) for n in range(1, len(_DAY_COLUMNS) + 1) for s in combinations(_DAY_COLUMNS, n)]
+    # the cast tells NULL from empty, and the length a text from its neighbour
+    cells = lambda s: " || ".join(f"coalesce(length({c}::varchar) || ':' || {c}::varchar, '-')" for c in s)
+    test = lambda s, t: f"(select count(distinct {cells(s)}) = count(*) and {' and '.join(f'count({c}) = count(*)' for c in s)} from {t})"
+    listed = " union all ".join(f"select {s} as parts where {test(s, 'dias_a')} and {test(s, 'dias_b')}" for s in sets)
+    return f"{_DAYS}, found as ({listed}) select array_to_string(parts, ',') as columnas, len(parts) as tamano from found f where not exists (select 1 from found g where len(g.parts) < len(f.parts) and list_has_all(f.parts, g.parts))"
+
+
+@query("d4_find_keys", _keys_sql())
+def d4_find(m):
+    """Given only two tables: the smallest column sets that tell all rows apart in both."""
+    a, b = _office_days(m)
+    found = infer.minimal_keys([a, b], _DAY_COLUMNS)
+    return m.spark.createDataFrame([(",".join(k), len(k)) for k in found], "columnas string, tamano long")
+
+
+@query("d4_align_found_keys", f"{_DAYS} select a.id as id_a, b.id as id_b, 'oficina_id,fecha' as subset from dias_a a join dias_b b using (oficina_id, fecha)")
+def d4_align_found(m):
+    """Office and day are the one key of both tables, and nobody says so."""
+    return infer.align_infer_keys(*_office_days(m), "id", "id")
 
 
 _ACTION = "case when a.c_custkey is null then '+++' when b.c_custkey is null then '---' when a.c_name is distinct from b.c_name or a.c_nationkey is distinct from b.c_nationkey or a.c_acctbal is distinct from b.c_acctbal or a.c_mktsegment is distinct from b.c_mktsegment then '->' else '' end"
@@ -392,9 +447,15 @@ def d12(m):
 
 @query("d13_tables_equal", "select 'copia' as par, 0::bigint as solo_a, 0::bigint as solo_b, true as iguales union all select 'version', (select count(*) from (select * from diff_a except all select * from diff_b)), (select count(*) from (select * from diff_b except all select * from diff_a)), false")
 def d13(m):
+    """Three stored tables: the trees tell which ranges of rows are read at all."""
     a, b = diff_pair(m)
-    copy = rows.equality_report(a, a.repartition("c_mktsegment")).withColumn("par", F.lit("copia"))
-    return copy.unionByName(rows.equality_report(a, b).withColumn("par", F.lit("version")))
+    first = HashedTable.store(a, scratch_path(m.spark, "version-a"), KEY, rows_per_range=1000)
+    others = {"copia": a.repartition("c_mktsegment"), "version": b}
+    reports = [
+        rows.equality_report(first, HashedTable.store(df, scratch_path(m.spark, par), KEY, like=first)).withColumn("par", F.lit(par))
+        for par, df in others.items()
+    ]
+    return reduce(DataFrame.unionByName, reports)
 
 
 @query(

@@ -15,7 +15,7 @@ from ..plans.quality import reconcile_counts
 from ..session import scratch_path
 from ..sources.schemas import RAW_SCHEMAS
 from ..sources.sinks import snapshot_copy
-from .changes import diff_pair
+from .changes import ORDER_VERSIONS_SQL, diff_pair, order_versions
 from .oracle import money_pct, month_of, pct, ratio
 from .registry import query
 
@@ -283,15 +283,17 @@ def o3(m):
     return number_rows(diff, [F.asc("c_custkey"), F.asc("action")], "puesto")
 
 
-@query(
-    "o4_top_columns",
-    f'select "column", distinct_values::bigint as distinct_values from ({_DISTINCT}) order by distinct_values desc, list_position([\'c_custkey\', \'c_name\', \'c_nationkey\', \'c_acctbal\', \'c_mktsegment\'], "column") limit 3',
+_ORDER_COLUMNS = ["custkey", "status", "total", "day", "priority", "clerk", "ship"]
+_ORDER_DISTINCT = " union all ".join(
+    f"select {i} as puesto, '{c}' as \"column\", (select count(distinct {c}) + max(({c} is null)::integer) from ord_a) + (select count(distinct {c}) + max(({c} is null)::integer) from ord_b) as n"
+    for i, c in enumerate(_ORDER_COLUMNS)
 )
+
+
+@query("o4_top_columns", f'{ORDER_VERSIONS_SQL} select "column", n::bigint as distinct_values from ({_ORDER_DISTINCT}) order by n desc, puesto limit 5')
 def o4(m):
-    """A top-k report: the three most distinct columns."""
-    a, b = diff_pair(m)
-    counts = infer.distinct_counts(a, b, a.columns)
-    return counts.orderBy(F.desc("distinct_values"), "at").limit(3).select("column", "distinct_values")
+    """A top-k report: the five most distinct columns of two versions of the orders."""
+    return infer.top_columns(*order_versions(m), _ORDER_COLUMNS)
 
 
 # ---- set operations -----------------------------------------------------------------

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ...functions.cells import EXACT, CellRules, same_cell
 from ...session import written
 from ..joins import null_safe
+from ..names import free, own
 from .columns import column_plan
+from .hash_tree import ROWS_PER_RANGE, HashedTable, aligned, unlike_rows
 from .order import order_changed
 
 INSERT, DELETE, UPDATE, FILL, MOVE, CONFLICT = "+++", "---", "->", "+", ":", "!->"
@@ -225,30 +227,63 @@ def diff_summary(a: DataFrame, b: DataFrame, keys: list[str], **options) -> Data
     return counts.withColumn("different", total > 0)
 
 
-def tables_equal(a: DataFrame, b: DataFrame) -> bool:
+def tables_equal(a: DataFrame | HashedTable, b: DataFrame | HashedTable, **options) -> bool:
     """Same columns and the same rows, repeats counted; row order does not matter."""
-    return a.columns == b.columns and equality_report(a, b).first()["iguales"]
+    return tuple(a.columns) == tuple(b.columns) and equality_report(a, b, **options).first()["iguales"]
 
 
-def equality_report(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows found on one side only, and the verdict; equal rows are netted by count."""
-    tagged = a.withColumn("_s", F.lit(1)).unionByName(b.withColumn("_s", F.lit(-1)))
-    net = tagged.groupBy(*a.columns).agg(F.sum("_s").alias("_net"))
-    return net.agg(
-        F.coalesce(F.sum(F.greatest("_net", F.lit(0))), F.lit(0)).alias("solo_a"),
-        F.coalesce(F.sum(F.greatest(-F.col("_net"), F.lit(0))), F.lit(0)).alias("solo_b"),
-        (F.count_if(F.col("_net") != 0) == 0).alias("iguales"),
+def equality_report(
+    a: DataFrame | HashedTable, b: DataFrame | HashedTable, keys: list[str] | None = None, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
+    """Rows found on one side only, and the verdict; equal rows are netted by count.
+
+    Only rows of key ranges whose hashes differ are netted, so equal tables exchange none.
+    `keys`, by default the first column, make the ranges of two frames. Two stored tables
+    are compared by their trees, and only ranges that differ are read.
+    """
+    if isinstance(a, HashedTable):
+        a, b = a.unlike_rows(b)
+    elif (pair := aligned(a, b)) is not None:
+        a, b = unlike_rows(*pair, keys or a.columns[:1], rows_per_range)
+    side, net = free("side", a, b), free("net", a, b)
+    tagged = a.withColumn(side, F.lit(1)).unionByName(b.withColumn(side, F.lit(-1)))
+    counts = tagged.groupBy(*[own(c) for c in a.columns]).agg(F.sum(own(side)).alias(net))
+    return counts.agg(
+        F.coalesce(F.sum(F.greatest(own(net), F.lit(0))), F.lit(0)).alias("solo_a"),
+        F.coalesce(F.sum(F.greatest(-own(net), F.lit(0))), F.lit(0)).alias("solo_b"),
+        (F.count_if(own(net) != 0) == 0).alias("iguales"),
     )
 
 
+def changed_only(a: DataFrame, b: DataFrame, keys: list[str], rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, DataFrame]:
+    """Both tables without the key ranges whose rows are equal; whole where columns or types differ."""
+    if a.columns != b.columns or a.dtypes != b.dtypes:
+        return a, b
+    return unlike_rows(a, b, keys, rows_per_range)
+
+
 def diff_many(
-    old: dict[str, DataFrame], new: dict[str, DataFrame], keys: dict[str, list[str]]
+    old: dict[str, DataFrame | HashedTable],
+    new: dict[str, DataFrame | HashedTable],
+    keys: dict[str, list[str]],
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """Action counts per table over a set of tables; a missing side counts as empty."""
+    """Action counts per table over a set of tables; a missing side counts as empty.
+
+    Of a table on both sides only the key ranges that differ are compared row by row: an
+    equal range holds no change, repeated keys in it or not. A pair of stored tables is
+    compared by its trees.
+    """
     parts = []
     for name in sorted({*old, *new}):
-        a = old[name] if name in old else new[name].limit(0)
-        b = new[name] if name in new else old[name].limit(0)
+        a, b = old.get(name), new.get(name)
+        if isinstance(a, HashedTable) and isinstance(b, HashedTable):
+            a, b = a.unlike_rows(b)
+        else:
+            a, b = (x.rows() if isinstance(x, HashedTable) else x for x in (a, b))
+            if a is not None and b is not None:
+                a, b = changed_only(a, b, keys[name], rows_per_range)
+        a, b = (b.limit(0) if a is None else a), (a.limit(0) if b is None else b)
         state = "added" if name not in old else "dropped" if name not in new else "kept"
         counts = row_diff(a, b, keys[name]).groupBy("action").count()
         parts.append(
