@@ -620,7 +620,49 @@ def d19(m):
         .unionByName(change(base.filter((key % 20 == 1) & (key % 50 != 0)), "->", key, key, F.col("c_acctbal") * 2))
         .unionByName(change(base.filter(key % 70 == 0), "+++", none, key + 50000000, F.col("c_acctbal")))
     )
-    return patch.apply_row_changes(base, changes, ["c_custkey"], ["c_custkey", "c_acctbal", "c_nationkey"])
+    table, _ = patch.apply_row_changes(base, changes, ["c_custkey"], ["c_custkey", "c_acctbal", "c_nationkey"], keys=KEY)
+    return table
+
+
+@query(
+    "d19_row_change_rejects",
+    "select '->' as action, c_custkey + 90000000 as clave, null::varchar as nombre from customer where c_custkey % 30 = 0 "
+    "union all select '->', c_custkey, null from customer, (values (0), (1)) v(n) where c_custkey % 110 = 0 "
+    "union all select unnest(['->', '---']), unnest([c_custkey, null]), unnest([null, c_name]) from customer where c_custkey % 20 = 1 "
+    "union all select '---', null, null from customer where c_custkey = 7 "
+    "union all select '+++', null, null from customer where c_custkey % 70 = 0",
+)
+def d19_rejects(m):
+    """Changes with conditions of their own: by key or by name, absent, repeated, or two for one row."""
+    base = m.sources.base("customer")
+    key, none = F.col("c_custkey"), F.lit(None)
+
+    def change(rows_: DataFrame, action: str, by: str | None, clave: Column = none, nombre: Column = none, nueva: Column = none) -> DataFrame:
+        return rows_.select(
+            F.lit(action).alias("action"),
+            (F.array(F.lit(by)) if by else none.cast("array<string>")).alias("conds"),
+            clave.cast("long").alias("cond_c_custkey"),
+            nombre.cast("string").alias("cond_c_name"),
+            F.array(F.lit("c_custkey" if action == "+++" else "c_mktsegment")).alias("vals"),
+            nueva.cast("long").alias("val_c_custkey"),
+            F.lit("NUEVO").alias("val_c_mktsegment"),
+        )
+
+    twice = base.filter(key % 110 == 0)
+    clash = base.filter(key % 20 == 1)
+    changes = [
+        change(base.filter(key % 30 == 0), "->", "c_custkey", key + 90000000),
+        change(twice, "->", "c_custkey", key),
+        change(twice, "->", "c_custkey", key),
+        change(clash, "->", "c_custkey", key),
+        change(clash, "---", "c_name", nombre=F.col("c_name")),
+        change(base.filter(key % 20 == 3), "->", "c_name", nombre=F.col("c_name")),
+        change(base.filter(key == 7), "---", "c_name"),
+        change(base.filter(key % 70 == 0), "+++", None, nueva=key),
+        change(base.filter(key % 70 == 0), "+++", None, nueva=key + 50000000),
+    ]
+    _, rejects = patch.apply_row_changes(base, reduce(DataFrame.unionByName, changes), ["c_custkey", "c_name"], ["c_custkey", "c_mktsegment"], keys=KEY)
+    return rejects.select("action", F.col("cond_c_custkey").alias("clave"), F.col("cond_c_name").alias("nombre"))
 
 
 @query(

@@ -110,8 +110,8 @@ def cdc_apply(m):
 
 @query("s6_cdc_stream", CDC_SQL)
 def cdc_stream(m):
-    schema = m.sources.base("events").schema
     """Two runs over two drops of the log with a compaction between them."""
+    schema = m.sources.base("events").schema
     root, drops = scratch_path(m.spark, "cdc"), scratch_path(m.spark, "events")
     events = m.sources.base("events")
     for drop in (F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0):
@@ -280,9 +280,7 @@ def recreate_targets(m):
     }
     parts = []
     for name, df in loads.items():
-        path = sinks.model_path(root, "", name)
-        df.write.mode("append").parquet(path)
-        rows = m.spark.read.parquet(path).agg(F.count("*").alias("filas"))
+        rows = sinks.as_table(df, sinks.model_path(root, "", name)).agg(F.count("*").alias("filas"))
         parts.append(rows.select(F.lit(name).alias("tabla"), "filas"))
     return reduce(DataFrame.unionByName, parts)
 

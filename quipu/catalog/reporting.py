@@ -9,6 +9,7 @@ from ..functions.numeric import percent
 from ..plans import kpis, layered, measures, quality, reports
 from ..session import scratch_path
 from ..sources.sinks import as_table, model_path, resolve_schema
+from ..sources.versions import published
 from .oracle import pct, ratio
 from .registry import query
 from .shaping import AS_OF
@@ -96,7 +97,7 @@ def e1(m):
     for custom, model in ((" marts ", "ventas"), (None, "recepciones")):
         schema = resolve_schema(custom, "staging")
         as_table(m.raw(model), model_path(root, schema, model))
-        rows = m.spark.read.parquet(f"{root}/{schema}/{model}").groupBy("oficina_id").agg(F.count("*").alias("filas"))
+        rows = published(m.spark, f"{root}/{schema}/{model}").groupBy("oficina_id").agg(F.count("*").alias("filas"))
         parts.append(rows.select(F.lit(schema).alias("esquema"), "oficina_id", "filas"))
     return parts[0].unionByName(parts[1])
 

@@ -17,12 +17,11 @@ from pyspark.sql.types import StructType
 
 from ...session import written
 from ..names import free, own
-from ..ranges import MOST_RANGES, range_starts, with_range
+from ..ranges import key_ranges, placed
 
 FANOUT = 256  # 65,536 ranges at most, so a root, 256 nodes and the ranges
 LEVELS = 3
 ROWS_PER_RANGE = 1_000_000
-SAMPLED_KEYS = 100  # for each range
 #: parts of a 64-bit hash whose sums over two million million rows stay whole numbers of 64 bits
 PARTS = ((0, 22), (22, 21), (43, 21))
 SUMS = ["n", *[f"h{i}" for i in range(2 * len(PARTS))]]
@@ -36,29 +35,6 @@ def row_sums(columns: list[str]) -> list[Column]:
     return [F.count("*").alias("n"), *[F.sum(p).alias(name) for p, name in zip(parts, SUMS[1:])]]
 
 
-def key_ranges(df: DataFrame, keys: list[str], rows_per_range: int) -> tuple[DataFrame, int]:
-    """Starts of ranges of about so many rows, from a sample of the distinct keys, and how many at most.
-
-    A key never spans two ranges, so the rows of a very frequent key are one range.
-    """
-    rows = df.count()
-    n = max(1, min(MOST_RANGES, -(-rows // rows_per_range)))
-    cells = [own(k) for k in keys]
-    share = min(1.0, SAMPLED_KEYS * n / max(rows, 1))
-    drawn = F.pmod(F.xxhash64(*cells, *[c.isNull() for c in cells]), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
-    picked = df.select(*[c.alias(f"k{i}") for i, c in enumerate(cells)], drawn.alias("drawn")).filter("drawn").drop("drawn").distinct()
-    return range_starts(picked, n), n
-
-
-def key_of(keys: list[str]) -> Column:
-    return F.struct(*[own(k).alias(f"k{i}") for i, k in enumerate(keys)])
-
-
-def placed(df: DataFrame, keys: list[str], starts: DataFrame, most: int, name: str) -> DataFrame:
-    """`df` with the range of its key in `name`; keys below all starts are in the first."""
-    return with_range(df, key_of(keys), starts, name, most).withColumn(name, F.greatest(own(name), F.lit(0)))
-
-
 def range_hashes(df: DataFrame, columns: list[str], name: str) -> DataFrame:
     """One row for each range (`node`); only these sums are shuffled."""
     return df.groupBy(own(name).alias("node")).agg(*row_sums(columns))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..names import free, own
 from ..numbering import number_rows
 
 
@@ -38,29 +39,25 @@ def with_context(
     return shown.select(*cells, "posicion", papel.alias("papel"))
 
 
-def order_changed(pairs: DataFrame, old: str, new: str, bucket_rows: int = 1_000_000) -> DataFrame:
-    """Matched rows whose new position lies below that of a row that came earlier.
+def order_changed(pairs: DataFrame, old: str, new: str, bucket_rows: int = 1_000_000, name: str = "movida") -> DataFrame:
+    """Matched rows whose new position lies below that of a row that came earlier, marked in `name`.
 
     `old` holds distinct positions. Rows fall into ranges of `bucket_rows` old
     positions; a range needs only the largest new position of the ranges before it,
     so no window spans more than one range.
     """
-    slot = F.floor(F.col(old) / F.lit(bucket_rows))
-    rows = pairs.withColumn("_slot", slot)
-    before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    slot, top, prior, inside = (free(stem, pairs, [name]) for stem in ("slot", "top", "prior", "inside"))
+    rows = pairs.withColumn(slot, F.floor(own(old) / F.lit(bucket_rows)))
+    before = Window.orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
     # one row per range of positions
-    prior = (
-        rows.groupBy("_slot")
-        .agg(F.max(new).alias("_top"))
-        .select("_slot", F.max("_top").over(before).alias("_prior"))
-    )
-    inside = Window.partitionBy("_slot").orderBy(old).rowsBetween(Window.unboundedPreceding, -1)
-    own = rows.withColumn("_inside", F.max(new).over(inside))
-    highest = F.greatest(F.col("_prior"), F.col("_inside"))
+    tops = rows.groupBy(slot).agg(F.max(own(new)).alias(top)).select(slot, F.max(top).over(before).alias(prior))
+    earlier = Window.partitionBy(slot).orderBy(own(old)).rowsBetween(Window.unboundedPreceding, -1)
+    highest = F.greatest(F.col(prior), F.col(inside))
     return (
-        own.join(prior, "_slot")
-        .withColumn("movida", F.coalesce(highest > F.col(new), F.lit(False)))
-        .drop("_slot", "_prior", "_inside")
+        rows.withColumn(inside, F.max(own(new)).over(earlier))
+        .join(tops, slot)
+        .withColumn(name, F.coalesce(highest > own(new), F.lit(False)))
+        .drop(slot, prior, inside)
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ...functions.cells import EXACT, CellRules, same_cell
 from ...session import written
 from ..joins import null_safe
-from ..names import free, own
+from ..names import free, own, unless_taken
 from .columns import column_plan
 from .hash_tree import ROWS_PER_RANGE, HashedTable, aligned, unlike_rows
 from .order import order_changed
@@ -20,18 +20,19 @@ INSERT, DELETE, UPDATE, FILL, MOVE, CONFLICT = "+++", "---", "->", "+", ":", "!-
 
 def repeated_keys(sides: list[DataFrame], keys: list[str]) -> DataFrame:
     """Keys that a side holds more than once, from the keys alone, written once."""
-    tagged = [df.select(*keys, F.lit(i).alias("_side")) for i, df in enumerate(sides)]
-    counts = reduce(DataFrame.unionByName, tagged).groupBy(*keys, "_side").agg(F.count("*").alias("_n"))
-    return written(counts.filter("_n > 1").select(*keys).distinct(), "repeated-keys")
+    side, n = free("side", keys), free("n", keys)
+    tagged = [df.select(*map(own, keys), F.lit(i).alias(side)) for i, df in enumerate(sides)]
+    counts = reduce(DataFrame.unionByName, tagged).groupBy(*map(own, keys), side).agg(F.count("*").alias(n))
+    return written(counts.filter(F.col(n) > 1).select(*map(own, keys)).distinct(), "repeated-keys")
 
 
 def repeated_rows(sides: dict[str, DataFrame], repeated: DataFrame, keys: list[str]) -> DataFrame:
     """Every row whose key repeats on some side, with `side` and its other cells as a struct."""
-    rows = []
+    rows, tag = [], unless_taken("side", keys, sides)
     for side, df in sides.items():
-        body = F.struct(*[c for c in df.columns if c not in keys])
-        own = null_safe(df, repeated, keys, "left_semi")
-        rows.append(own.select(*keys, F.lit(side).alias("side"), body.alias(side)))
+        body = F.struct(*[own(c) for c in df.columns if c not in keys])
+        found = null_safe(df, repeated, keys, "left_semi")
+        rows.append(found.select(*map(own, keys), F.lit(side).alias(tag), body.alias(side)))
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), rows)
 
 
@@ -41,32 +42,46 @@ def collate_versions(sides: dict[str, DataFrame], keys: list[str], repeated: Dat
     All sides are stacked and grouped by key: one exchange for any number of sides, NULL
     keys meet like any other. Where a key repeats on a side, that side's struct is NULL
     and its count tells. With `repeated`, rows of those keys meet no other row: each comes
-    out by itself, as often as it was there, and spreads by its content.
+    out by itself, as often as it was there, and spreads by its content. The names of the
+    sides, and `n_` before them, must not be names of keys.
     """
+    wide = [*keys, *sides, *[f"n_{s}" for s in sides]]
+    if len({c.lower() for c in wide}) < len(wide):
+        raise ValueError("a key has the name of a side")
+    mark, tag, repeats, copy = (free(stem, wide, *sides.values()) for stem in ("own", "side", "repeats", "copy"))
     stacked = []
     for side, df in sides.items():
-        body = F.struct(*[c for c in df.columns if c not in keys])
-        own = F.lit(None).cast("struct<side:string,a:long,b:int>")
+        body = F.struct(*[own(c) for c in df.columns if c not in keys])
+        alone = F.lit(None).cast("struct<side:string,a:long,b:int>")
         rows = df
         if repeated is not None:
-            rows = null_safe(df, repeated.withColumn("_repeats", F.lit(True)), keys, "left")
-            mark = F.struct(F.lit(side).alias("side"), F.xxhash64(*df.columns).alias("a"), F.hash(*df.columns).alias("b"))
-            own = F.when(F.col("_repeats"), mark)
-        stacked.append(rows.select(*keys, own.alias("_own"), F.lit(side).alias("_side"), body.alias(side)))
+            rows = null_safe(df, repeated.withColumn(repeats, F.lit(True)), keys, "left")
+            cells = [own(c) for c in df.columns]
+            alone = F.when(F.col(repeats), F.struct(F.lit(side).alias("side"), F.xxhash64(*cells).alias("a"), F.hash(*cells).alias("b")))
+        stacked.append(rows.select(*map(own, keys), alone.alias(mark), F.lit(side).alias(tag), body.alias(side)))
     rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), stacked)
-    by = [*keys, "_own"] if repeated is not None else keys
-    grouped = rows.groupBy(*by).agg(
-        *[F.count_if(F.col("_side") == s).alias(f"n_{s}") for s in sides],
-        *[F.any_value(F.col(s), F.lit(True)).alias(f"_{s}") for s in sides],
+    by = [*keys, mark] if repeated is not None else keys
+    held = {s: free(s, wide, [mark, tag, copy]) for s in sides}
+    grouped = rows.groupBy(*map(own, by)).agg(
+        *[F.count_if(F.col(tag) == s).alias(f"n_{s}") for s in sides],
+        *[F.any_value(own(s), F.lit(True)).alias(held[s]) for s in sides],
     )
     if repeated is not None:
         # equal rows of a repeating key were combined; bring each back
-        times = F.when(F.col("_own").isNotNull(), F.greatest(*[F.col(f"n_{s}") for s in sides], F.lit(1))).otherwise(1)
-        grouped = grouped.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), times.cast("long"))))
-        alone = F.col("_own").isNotNull()
+        alone = F.col(mark).isNotNull()
+        times = F.when(alone, F.greatest(*[F.col(f"n_{s}") for s in sides], F.lit(1))).otherwise(1)
+        grouped = grouped.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), times.cast("long"))))
         grouped = grouped.withColumns({f"n_{s}": F.when(alone, F.least(F.col(f"n_{s}"), F.lit(1))).otherwise(F.col(f"n_{s}")) for s in sides})
-    bodies = [F.when(F.col(f"n_{s}") == 1, F.col(f"_{s}")).alias(s) for s in sides]
-    return grouped.select(*keys, *[f"n_{s}" for s in sides], *bodies)
+    bodies = [F.when(F.col(f"n_{s}") == 1, own(held[s])).alias(s) for s in sides]
+    return grouped.select(*map(own, keys), *[f"n_{s}" for s in sides], *bodies)
+
+
+def side_names(keys: list[str]) -> tuple[str, str]:
+    """Names of the two sides of a comparison: `l` and `r`, with `_` before them where a key needs it."""
+    left, right = "l", "r"
+    while {left, right, f"n_{left}", f"n_{right}"} & {k.lower() for k in keys}:
+        left, right = f"_{left}", f"_{right}"
+    return left, right
 
 
 def align_by_key(a: DataFrame, b: DataFrame, keys: list[str], unique_keys: bool = False) -> DataFrame:
@@ -74,21 +89,24 @@ def align_by_key(a: DataFrame, b: DataFrame, keys: list[str], unique_keys: bool
 
     A key that repeats on a side links nothing: its rows come out one by one as left-only
     and right-only rows. `unique_keys=True` declares that no key repeats, and a key that
-    does is an error.
+    does is an error. Where a key has the name of a side, both sides get a `_` in front.
     """
+    left, right = side_names(keys)
+    sides = {left: a, right: b}
     if unique_keys:
-        pairs = collate_versions({"l": a, "r": b}, keys)
-        wrong = (F.col("n_l") > 1) | (F.col("n_r") > 1)
+        pairs = collate_versions(sides, keys)
+        wrong = (F.col(f"n_{left}") > 1) | (F.col(f"n_{right}") > 1)
         checked = lambda c: F.when(wrong, F.raise_error(F.lit("a key declared unique repeats"))).otherwise(F.col(c)).alias(c)
-        return pairs.select(*keys, checked("l"), checked("r"))
+        return pairs.select(*map(own, keys), checked(left), checked(right))
     repeated = repeated_keys([a, b], keys)
-    return collate_versions({"l": a, "r": b}, keys, repeated).select(*keys, "l", "r")
+    return collate_versions(sides, keys, repeated).select(*map(own, keys), left, right)
 
 
 def link_unique(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Only the keys that occur exactly once on both sides, with both rows."""
-    pairs = collate_versions({"l": a, "r": b}, keys)
-    return pairs.filter((F.col("n_l") == 1) & (F.col("n_r") == 1)).select(*keys, "l", "r")
+    left, right = side_names(keys)
+    pairs = collate_versions({left: a, right: b}, keys)
+    return pairs.filter((F.col(f"n_{left}") == 1) & (F.col(f"n_{right}") == 1)).select(*map(own, keys), left, right)
 
 
 def _is_filled(cell: Column) -> Column:
@@ -111,14 +129,16 @@ def row_diff(
     Actions: insert, delete, update, `+` where only a new column is filled, and an
     empty action for unchanged rows when those are kept. `ordered` names a column with
     the row's position (distinct on a side); an otherwise unchanged row that now stands
-    above one it used to follow gets `:` (moved).
+    above one it used to follow gets `:` (moved). Where a column of the tables is named
+    `action`, the diff's has `_` before it (see `action_of`).
     """
     a = a.drop(*rules.ignore_columns).withColumnsRenamed(renames or {})
     b = b.drop(*rules.ignore_columns)
     plan = column_plan(a, b)
     common = [c for c in plan.common if c not in keys and c != ordered]
     rows = align_by_key(a, b, keys, unique_keys)
-    left, right = F.col("l"), F.col("r")
+    left, right = map(F.col, side_names(keys))
+    verdict = unless_taken("action", a, b)
 
     def changed(c: str) -> Column:
         typed = a.schema[c].dataType == b.schema[c].dataType
@@ -126,7 +146,7 @@ def row_diff(
 
     any_change = reduce(Column.__or__, [changed(c) for c in common], F.lit(False))
     any_fill = reduce(Column.__or__, [_is_filled(right[c]) for c in plan.added], F.lit(False))
-    action = (
+    code = (
         F.when(left.isNull(), INSERT)
         .when(right.isNull(), DELETE)
         .when(any_change, UPDATE)
@@ -138,17 +158,26 @@ def row_diff(
         before = left[c] if c in a.columns else F.lit(None).cast(b.schema[c].dataType)
         after = right[c] if c in b.columns else F.lit(None).cast(a.schema[c].dataType)
         cells.append(F.struct(before.alias("before"), after.alias("after")).alias(c))
-    places = [left[ordered].alias("_old"), right[ordered].alias("_new")] if ordered else []
-    out = rows.select(*keys, action.alias("action"), *cells, *places)
+    old, new = free("old", a, b, [verdict]), free("new", a, b, [verdict])
+    places = [left[ordered].alias(old), right[ordered].alias(new)] if ordered else []
+    out = rows.select(*map(own, keys), code.alias(verdict), *cells, *places)
+    action = F.col(verdict)
     if ordered:
         placed = written(out, "placed")  # read twice: the linked rows in their order, and the others
-        both = F.col("_old").isNotNull() & F.col("_new").isNotNull()
-        moved = order_changed(placed.filter(both), "_old", "_new")
-        moved = moved.withColumn("action", F.when((F.col("action") == "") & F.col("movida"), MOVE).otherwise(F.col("action")))
-        out = moved.drop("movida").unionByName(placed.filter(~both)).drop("_old", "_new")
+        both = F.col(old).isNotNull() & F.col(new).isNotNull()
+        flag = free("moved", placed)
+        moved = order_changed(placed.filter(both), old, new, name=flag)
+        moved = moved.withColumn(verdict, F.when((action == "") & F.col(flag), MOVE).otherwise(action))
+        out = moved.drop(flag).unionByName(placed.filter(~both)).drop(old, new)
     if not keep_unchanged:
-        out = out.filter(F.col("action") != "")
-    return out.filter(F.col("action").isin(list(actions))) if actions is not None else out
+        out = out.filter(action != "")
+    return out.filter(action.isin(list(actions))) if actions is not None else out
+
+
+def action_of(diff: DataFrame, keys: list[str]) -> str:
+    """The diff's column of action codes: the one that is neither a key nor a struct of cells."""
+    (name,) = [f.name for f in diff.schema.fields if f.name not in keys and f.dataType.typeName() != "struct"]
+    return name
 
 
 def flat_cells(diff: DataFrame) -> DataFrame:
@@ -156,28 +185,42 @@ def flat_cells(diff: DataFrame) -> DataFrame:
     cells = []
     for f in diff.schema.fields:
         if f.dataType.typeName() != "struct":
-            cells.append(F.col(f.name))
+            cells.append(own(f.name))
             continue
         for part in f.dataType.names:
-            cells.append(F.col(f.name)[part].alias(f"{f.name}_{part}"))
+            cells.append(own(f.name)[part].alias(f"{f.name}_{part}"))
     return diff.select(*cells)
 
 
 def changed_cells(diff: DataFrame, keys: list[str], rules: CellRules = EXACT) -> DataFrame:
-    """Long form: one row per changed cell, both values as text."""
-    names = [f.name for f in diff.schema.fields if f.dataType.typeName() == "struct"]
+    """Long form: one row per changed cell, both values as text.
+
+    Beside the keys stand the action code, `column`, `before` and `after`; where a key has one
+    of these names, the latter get `_` in front.
+    """
+    names = [f.name for f in diff.schema.fields if f.dataType.typeName() == "struct" and f.name not in keys]
+    parts = [unless_taken(n, diff.select(*map(own, keys), action_of(diff, keys))) for n in ("column", "before", "after", "changed")]
     cells = F.array(
         *[
             F.struct(
-                F.lit(c).alias("column"),
-                F.col(c)["before"].cast("string").alias("before"),
-                F.col(c)["after"].cast("string").alias("after"),
-                (~same_cell(F.col(c)["before"], F.col(c)["after"], rules)).alias("changed"),
+                *[
+                    value.alias(part)
+                    for value, part in zip(
+                        (
+                            F.lit(c),
+                            own(c)["before"].cast("string"),
+                            own(c)["after"].cast("string"),
+                            ~same_cell(own(c)["before"], own(c)["after"], rules),
+                        ),
+                        parts,
+                    )
+                ]
             )
             for c in names
         ]
     )
-    return diff.select(*keys, "action", F.inline(cells)).filter("changed").drop("changed")
+    long = diff.select(*map(own, keys), action_of(diff, keys), F.inline(cells))
+    return long.filter(F.col(parts[-1])).drop(parts[-1])
 
 
 def inserts(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -196,21 +239,22 @@ def diff_summary(a: DataFrame, b: DataFrame, keys: list[str], **options) -> Data
     """One row of counts: rows and columns inserted, deleted, updated, and `different`."""
     plan = column_plan(a, b, options.get("renames"))
     rows = row_diff(a, b, keys, keep_unchanged=True, **options)
-    names = [f.name for f in rows.schema.fields if f.dataType.typeName() == "struct"]
+    action = F.col(action_of(rows, keys))
+    names = [f.name for f in rows.schema.fields if f.dataType.typeName() == "struct" and f.name not in keys]
     both = [c for c in names if c in plan.common]
-    matched = ~F.col("action").isin(INSERT, DELETE)
+    matched = ~action.isin(INSERT, DELETE)
     rules = options.get("rules", EXACT)
     touched = [
-        F.max((matched & ~same_cell(F.col(c)["before"], F.col(c)["after"], rules)).cast("int"))
+        F.max((matched & ~same_cell(own(c)["before"], own(c)["after"], rules)).cast("int"))
         for c in both
     ]
     col_updates = reduce(Column.__add__, touched, F.lit(0))
     counts = rows.agg(
-        F.count_if(F.col("action") == INSERT).alias("row_inserts"),
-        F.count_if(F.col("action") == DELETE).alias("row_deletes"),
-        F.count_if(F.col("action") == UPDATE).alias("row_updates"),
-        F.count_if(F.col("action") != INSERT).alias("row_count_initial"),
-        F.count_if(F.col("action") != DELETE).alias("row_count_final"),
+        F.count_if(action == INSERT).alias("row_inserts"),
+        F.count_if(action == DELETE).alias("row_deletes"),
+        F.count_if(action == UPDATE).alias("row_updates"),
+        F.count_if(action != INSERT).alias("row_count_initial"),
+        F.count_if(action != DELETE).alias("row_count_final"),
         F.coalesce(col_updates, F.lit(0)).cast("long").alias("col_updates"),
     )
     added, dropped = len(plan.added), len(plan.dropped)
@@ -285,11 +329,7 @@ def diff_many(
                 a, b = changed_only(a, b, keys[name], rows_per_range)
         a, b = (b.limit(0) if a is None else a), (a.limit(0) if b is None else b)
         state = "added" if name not in old else "dropped" if name not in new else "kept"
-        counts = row_diff(a, b, keys[name]).groupBy("action").count()
-        parts.append(
-            counts.select(
-                F.lit(name).alias("table_name"), F.lit(state).alias("state"), "action",
-                F.col("count").alias("rows"),
-            )
-        )
+        diff = row_diff(a, b, keys[name])
+        counts = diff.groupBy(F.col(action_of(diff, keys[name])).alias("action")).agg(F.count("*").alias("rows"))
+        parts.append(counts.select(F.lit(name).alias("table_name"), F.lit(state).alias("state"), "action", "rows"))
     return reduce(DataFrame.unionByName, parts)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import checkpointed
+from .names import free, own
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: Column, how: str = "left") -> DataFrame:
@@ -28,8 +29,9 @@ def left_join_unique(
     # always 0, but not a constant the optimizer would fold out of the join keys
     zero = F.pmod(F.xxhash64(key), F.lit(1))
     scattered = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(1 << 20)))
-    spread = left.withColumn("_spread", scattered.otherwise(zero))
-    return spread.join(right.withColumn("_spread", zero), [key, "_spread"], "left").drop("_spread")
+    beside = free("spread", left, right)
+    spread = left.withColumn(beside, scattered.otherwise(zero))
+    return spread.join(right.withColumn(beside, zero), [key, beside], "left").drop(beside)
 
 
 def hot_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
@@ -37,10 +39,10 @@ def hot_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
 
     Fewer than `parts` keys can hold that many rows, which bounds the list.
     """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    counts = df.select(own(key).alias("_key")).filter("_key is not null").groupBy("_key").agg(F.count("*").alias("_n"))
     limit = counts.agg(F.greatest(F.ceil(F.sum("_n") / parts), F.lit(1))).scalar()
     splits = F.ceil(F.col("_n") / limit).cast("int")
-    return counts.select(F.col(key).alias("_hot"), splits.alias("_splits")).filter("_splits > 1")
+    return counts.select(F.col("_key").alias("_hot"), splits.alias("_splits")).filter("_splits > 1")
 
 
 def skew_join(
@@ -67,26 +69,29 @@ def skew_join(
     if hot.isEmpty():
         return left.join(right, key, how)
 
-    is_hot = F.col("_hot").isNotNull()
-    spread = F.array(F.pmod(F.xxhash64(*left.columns), F.lit(parts)).cast("int"))
-    own_right = F.pmod(F.xxhash64(*right.columns), F.col("_splits")).cast("int")
+    names = {stem: free(stem, left, right) for stem in ("hot", "splits", "salt", "found")}
+    hot = hot.withColumnsRenamed({"_hot": names["hot"], "_splits": names["splits"]})
+    hot_key, splits, salt, found = (F.col(names[x]) for x in ("hot", "splits", "salt", "found"))
+    is_hot = hot_key.isNotNull()
+    spread = F.array(F.pmod(F.xxhash64(*map(own, left.columns)), F.lit(parts)).cast("int"))
+    own_right = F.pmod(F.xxhash64(*map(own, right.columns)), splits).cast("int")
     split_right = (
-        right.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
-        .withColumn("_salt", F.when(is_hot, own_right).otherwise(0))
-        .withColumn("_found", F.lit(True))
-        .drop("_hot", "_splits")
+        right.join(F.broadcast(hot), own(key) == hot_key, "left")
+        .withColumn(names["salt"], F.when(is_hot, own_right).otherwise(0))
+        .withColumn(names["found"], F.lit(True))
+        .drop(names["hot"], names["splits"])
     )
-    repeated_left = left.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn(
-        "_salt",
+    repeated_left = left.join(F.broadcast(hot), own(key) == hot_key, "left").withColumn(
+        names["salt"],
         F.explode(
-            F.when(is_hot, F.sequence(F.lit(0), F.col("_splits") - 1))
-            .when(F.col(key).isNull(), spread)
+            F.when(is_hot, F.sequence(F.lit(0), splits - 1))
+            .when(own(key).isNull(), spread)
             .otherwise(F.array(F.lit(0)))
         ),
     )
-    joined = repeated_left.join(split_right, [key, "_salt"], how)
+    joined = repeated_left.join(split_right, [key, names["salt"]], how)
     # a repeated left row has a match in some piece; drop its empty pieces
-    return joined.filter(~is_hot | F.col("_found").isNotNull()).drop("_salt", "_hot", "_splits", "_found")
+    return joined.filter(~is_hot | found.isNotNull()).drop(*names.values())
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -95,6 +100,8 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> D
     The right keys are renamed first, so two versions of one table never confuse their
     columns; the result has the left keys.
     """
-    theirs = {k: f"_r_{k}" for k in keys}
-    condition = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(theirs[k])) for k in keys])
+    theirs: dict[str, str] = {}
+    for k in keys:
+        theirs[k] = free(f"r_{k}", left, right, theirs.values())
+    condition = reduce(Column.__and__, [own(k).eqNullSafe(own(theirs[k])) for k in keys])
     return left.join(right.withColumnsRenamed(theirs), condition, how).drop(*theirs.values())

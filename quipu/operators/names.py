@@ -16,6 +16,14 @@ def free(stem: str, *taken: DataFrame | Iterable[str]) -> str:
     return name
 
 
+def unless_taken(name: str, *taken: DataFrame | Iterable[str]) -> str:
+    """`name` itself where it is free, else with as many `_` before it as make it so."""
+    held = {c.lower() for x in taken for c in (x.columns if isinstance(x, DataFrame) else x)}
+    while name.lower() in held:
+        name = f"_{name}"
+    return name
+
+
 def own(name: str) -> Column:
     """The column of exactly this name, dots and blanks included."""
     return F.col("`" + name.replace("`", "``") + "`")

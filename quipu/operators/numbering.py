@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import checkpointed
+from .names import free, own
 
 ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
@@ -18,20 +19,20 @@ def number_rows(df: DataFrame, order: list[Column], name: str, start: Column | N
     """
     base = start if start is not None else F.lit(0)
     placed = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order))
-    placed = placed.withColumn("_at", F.monotonically_increasing_id())
-    part = F.shiftright("_at", ROW_BITS)
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    at, part, before = (free(stem, placed, [name]) for stem in ("at", "part", "before"))
+    placed = placed.withColumn(at, F.monotonically_increasing_id())
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: the frame and the broadcast hold at most shuffle.partitions rows
     offsets = (
-        placed.groupBy(part.alias("_part"))
-        .count()
-        .select("_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_before"))
+        placed.groupBy(F.shiftright(at, ROW_BITS).alias(part))
+        .agg(F.count("*").alias(before))
+        .select(part, F.coalesce(F.sum(before).over(earlier), F.lit(0)).alias(before))
     )
-    index = F.col("_at").bitwiseAND((1 << ROW_BITS) - 1)
+    index = F.col(at).bitwiseAND((1 << ROW_BITS) - 1)
     return (
-        placed.join(F.broadcast(offsets), part == F.col("_part"))
-        .withColumn(name, base + F.col("_before") + index + 1)
-        .drop("_at", "_part", "_before")
+        placed.join(F.broadcast(offsets), F.shiftright(at, ROW_BITS) == F.col(part))
+        .withColumn(name, base + F.col(before) + index + 1)
+        .drop(at, part, before)
     )
 
 
@@ -41,14 +42,16 @@ def keep_best(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     Catalyst puts a WindowGroupLimit before the exchange, so each map task sends at
     most one row per key and a hot key never gathers in one task.
     """
-    ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.filter("_rn = 1").drop("_rn")
+    place = free("place", df)
+    ranked = df.withColumn(place, F.row_number().over(Window.partitionBy(*map(own, keys)).orderBy(*order)))
+    return ranked.filter(F.col(place) == 1).drop(place)
 
 
 def first_writer(streams: list[DataFrame], keys: list[str]) -> DataFrame:
     """Insert-ignore: the earliest stream that brings a key keeps it."""
-    tagged = [s.withColumn("_turn", F.lit(turn)) for turn, s in enumerate(streams)]
+    order = free("turn", *streams)
+    tagged = [s.withColumn(order, F.lit(turn)) for turn, s in enumerate(streams)]
     rows = tagged[0]
     for stream in tagged[1:]:
         rows = rows.unionByName(stream, allowMissingColumns=True)
-    return keep_best(rows, keys, [F.col("_turn")]).drop("_turn")
+    return keep_best(rows, keys, [F.col(order)]).drop(order)

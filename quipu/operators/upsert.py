@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .names import free, own
 from .numbering import keep_best, number_rows
 
 
@@ -25,19 +26,20 @@ def upsert(
     """
     columns = [c for c in target.columns if c != surrogate]
     rest = [c for c in columns if c not in keys]
-    source = keep_best(source, keys, last or [F.desc_nulls_last(c) for c in [*rest, *keys]])
-    changed = set(update_cols if update_cols is not None else [c for c in columns if c not in keys])
-    fresh = source.select(*keys, F.struct(*[c for c in columns if c not in keys]).alias("_new"))
+    source = keep_best(source, keys, last or [own(c).desc_nulls_last() for c in [*rest, *keys]])
+    changed = set(update_cols if update_cols is not None else rest)
+    new = free("new", target, source)
+    fresh = source.select(*map(own, keys), F.struct(*[own(c) for c in rest] or [F.lit(1)]).alias(new))
     kept = target.join(fresh, keys, "left").select(
-        F.col(surrogate),
+        own(surrogate),
         *[
-            F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
+            F.when(F.col(new).isNotNull(), F.col(new)[c]).otherwise(own(c)).alias(c)
             if c in changed
-            else F.col(c)
+            else own(c)
             for c in columns
         ],
     )
-    unseen = source.select(*columns).join(target.select(*keys), keys, "left_anti")
-    top = target.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
-    added = number_rows(unseen, number_by or [F.col(k) for k in keys], surrogate, start=top)
-    return kept.unionByName(added.withColumn(surrogate, F.col(surrogate).cast(kept.schema[surrogate].dataType)))
+    unseen = source.select(*map(own, columns)).join(target.select(*map(own, keys)), keys, "left_anti")
+    top = target.agg(F.coalesce(F.max(own(surrogate)), F.lit(0))).scalar()
+    added = number_rows(unseen, number_by or [own(k) for k in keys], surrogate, start=top)
+    return kept.unionByName(added.withColumn(surrogate, own(surrogate).cast(kept.schema[surrogate].dataType)))

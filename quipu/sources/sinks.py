@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.text import FOLDED
+from ..operators.names import unless_taken
 from .schemas import MART_DEFAULTS, MART_SCHEMAS
+from .versions import publish
 
 
 def resolve_schema(custom: str | None, default: str) -> str:
@@ -25,31 +27,37 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def as_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Materialise as a table: replaced in full, so a rerun leaves the same rows."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Materialise as a table: replaced in full or not at all, so a rerun leaves the same rows.
+
+    Read it later with `versions.published`.
+    """
+    return publish(df, path, partition_by)
 
 
 def append_load(df: DataFrame, path: str, load_id: int) -> DataFrame:
     """Append under a load id.
 
     The load is its own partition and only that partition is replaced, so running the
-    same load again does not duplicate rows.
+    same load again does not duplicate rows. The id's column is `load_id`, with `_` before it
+    where the source has a column of that name.
     """
+    held = with_load_id(df.schema)
+    name = held.names[-1]
     (
-        df.withColumn("load_id", F.lit(load_id))
+        df.withColumn(name, F.lit(load_id))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_id")
+        .partitionBy(name)
         .parquet(path)
     )
-    held = StructType([*df.schema.fields, StructField("load_id", IntegerType())])
     return df.sparkSession.read.schema(held).parquet(path)
 
 
+def with_load_id(schema: StructType) -> StructType:
+    """A source's columns, and last the one that holds the load id."""
+    return StructType([*schema.fields, StructField(unless_taken("load_id", schema.names), IntegerType())])
+
+
 def snapshot_copy(tables: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Copy whole tables into a mirror folder."""
     return {name: as_table(df, f"{root}/{name}") for name, df in tables.items()}

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.joins import null_safe
-from ..sources.sinks import append_load
+from ..operators.names import own
+from ..sources.sinks import append_load, with_load_id
 
 
 def newer_than(source: DataFrame, cursor: str, last: object | None) -> DataFrame:
     """Rows at or past the last cursor value, or without one; the filter reaches the file scan."""
     if last is None:
         return source
-    return source.filter((F.col(cursor) >= F.lit(last)) | F.col(cursor).isNull())
+    return source.filter((own(cursor) >= F.lit(last)) | own(cursor).isNull())
 
 
 def append_newer(
@@ -26,20 +26,22 @@ def append_newer(
     their key is not among the loaded rows of that value. A load that runs again replaces
     its own partition. Loads must come in the order of their ids.
     """
-    held = StructType([*source.schema.fields, StructField("load_id", IntegerType())])
+    held = with_load_id(source.schema)
+    by_load = held.names[-1]
     try:
-        loaded = spark.read.schema(held).parquet(path).filter(F.col("load_id") < load_id)
-        last = loaded.agg(F.max(cursor)).first()[0]
+        loaded = spark.read.schema(held).parquet(path).filter(F.col(by_load) < load_id)
+        last = loaded.agg(F.max(own(cursor))).first()[0]
     except AnalysisException as error:  # the first load finds no table
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         loaded, last = None, None
     rows = newer_than(source, cursor, last)
     if loaded is not None:
-        tied = loaded.filter((F.col(cursor) == F.lit(last)) | F.col(cursor).isNull() if last is not None else F.lit(True))
-        rows = null_safe(rows, tied.select(*keys, cursor), [*keys, cursor], "left_anti")
+        tied = loaded.filter((own(cursor) == F.lit(last)) | own(cursor).isNull() if last is not None else F.lit(True))
+        same = list(dict.fromkeys([*keys, cursor]))
+        rows = null_safe(rows, tied.select(*map(own, same)), same, "left_anti")
     append_load(rows, path, load_id)
-    return spark.read.schema(held).parquet(path).drop("load_id")
+    return spark.read.schema(held).parquet(path).drop(by_load)
 
 
 def append_stream(

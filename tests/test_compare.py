@@ -239,14 +239,70 @@ def test_unmatched_changes_are_rejected(pair, rows):
     assert rows(rejects.select("k", "action")) == [(3, "->"), (5, "---"), (None, "->")]
 
 
+def test_patches_never_multiply_rows(spark, rows):
+    source = table(spark, [(1, "a", 1), (2, "b", 2), (3, "c", 3), (None, "n", 4)])
+    target = table(spark, [(1, "a", 10), (2, "b", 20), (4, "d", 4), (None, "n", 5)])
+    diff = rowdiff.row_diff(source, target, ["k"])
+    twice = diff.unionByName(diff.filter("k = 1 or k is null or k = 4"))
+    table_, rejects = patch.apply_patch(source, twice, ["k"])
+    assert rows(table_) == [(1, "a", 1), (2, "b", 20), (None, "n", 4)]
+    assert rows(rejects.select("k", "action")) == [(k, a) for k, a in ((1, "->"), (4, "+++"), (None, "->")) for _ in range(2)]
+    # the inserted key is there already
+    table_, rejects = patch.apply_patch(target, diff, ["k"])
+    assert rows(rejects.select("k", "action")) == [(3, "---"), (4, "+++")] and table_.count() == 4
+
+
+def test_patches_in_any_order_and_chained(spark, rows):
+    draw = random.Random(8)
+    for _ in range(2):
+        make = lambda: [(k, draw.choice("pq"), draw.randint(0, 2)) for k in range(30) if draw.random() < 0.6]
+        a, b, c = (table(spark, make()) for _ in range(3))
+        first, second = rowdiff.row_diff(a, b, ["k"]), rowdiff.row_diff(b, c, ["k"])
+        middle, none = patch.apply_patch(a, first.repartition(3), ["k"])
+        end, rejected = patch.apply_patch(middle, second, ["k"])
+        assert rows(end) == rows(c) and none.isEmpty() and rejected.isEmpty()
+        again, rejected = patch.apply_patch(b, first, ["k"])
+        # applied again, inserts and deletes find nothing to do, and no row is doubled
+        assert rows(again) == rows(b) and {r.action for r in rejected.collect()} <= {"+++", "---"}
+
+
 def test_row_changes_match_null_conditions(spark, rows):
     target = table(spark, [(1, "a", 1), (2, None, 2), (3, "c", 3)])
     changes = spark.createDataFrame(
-        [("---", None, None, None), ("->", "a", 9, None), ("+", "c", None, None), ("+++", None, 4, 40)],
-        "action string, cond_x string, val_y int, val_k int",
-    ).withColumn("val_y", F.col("val_y"))
-    got = patch.apply_row_changes(target, changes.drop("val_k"), ["x"], ["y"])
-    assert rows(got) == [(1, "a", 9), (3, "c", 3), (None, None, 4)]
+        [("---", None, None), ("->", "a", 9), ("+", "c", None), ("+++", None, 4)], "action string, cond_x string, val_y int"
+    )
+    got, rejects = patch.apply_row_changes(target, changes, ["x"], ["y"])
+    assert rows(got) == [(1, "a", 9), (3, "c", 3), (None, None, 4)] and rejects.isEmpty()
+
+
+def test_row_changes_that_are_unclear_are_rejected(spark, rows):
+    target = table(spark, [(1, "a", 1), (2, "b", 2), (3, "c", 3), (4, "d", 4), (5, None, 5), (5, "f", 5)])
+    kind = "action string, conds array<string>, cond_k int, cond_x string, vals array<string>, val_k int, val_y int, note string"
+    changes = [
+        ("->", ["k"], 1, "zz", ["y"], None, 11, "only the key counts"),
+        ("->", ["k", "x"], 2, "b", ["y"], None, 22, "both count"),
+        ("---", ["x"], None, "b", None, None, None, "meets a row of the one above"),
+        ("->", ["x", "k"], 3, "c", ["y"], None, None, "sets NULL"),
+        ("->", ["x"], None, "d", ["y"], None, 44, "twice"),
+        ("---", ["x"], 9, "d", None, None, None, "twice, the key does not count"),
+        ("->", ["k", "x"], 5, None, ["y"], None, 55, "NULL is asked for"),
+        ("->", ["k"], 77, None, ["y"], None, 1, "meets none"),
+        ("---", [], 4, None, None, None, None, "asks nothing"),
+        ("+++", None, None, None, ["k", "y"], 6, 6, "new"),
+        ("+++", None, None, None, ["k"], 1, 8, "is there"),
+        ("+++", None, None, None, ["k"], 8, 8, "repeats"),
+        ("+++", None, None, None, ["k"], 8, 9, "repeats too"),
+    ]
+    got, rejects = patch.apply_row_changes(target, spark.createDataFrame(changes, kind), ["k", "x"], ["k", "y"], keys=["k"])
+    assert rows(got) == [(1, "a", 11), (2, "b", 2), (3, "c", None), (4, "d", 4), (5, None, 55), (5, "f", 5), (6, None, 6)]
+    assert rows(rejects.select("note")) == [
+        ("both count",), ("meets a row of the one above",), ("twice",), ("twice, the key does not count",),
+        ("meets none",), ("asks nothing",), ("is there",), ("repeats",), ("repeats too",),
+    ]
+    assert rejects.columns == spark.createDataFrame(changes, kind).columns
+    none = spark.createDataFrame([], kind)
+    got, rejects = patch.apply_row_changes(target, none, ["k", "x"], ["k", "y"], keys=["k"])
+    assert rows(got) == rows(target) and rejects.isEmpty()
 
 
 # ---- text form --------------------------------------------------------------------------

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quipu import session
-from quipu.sources import files, sinks
+from quipu.sources import files, sinks, versions
 from quipu.sources.registry import Sources
 from quipu.streaming import cdc, incremental
 
@@ -194,7 +194,8 @@ def test_cdc_stream_over_arriving_files(spark, rows, tmp_path):
     state = cdc.cdc_stream(spark, src, LOG, lambda df: df, ["key"], root)
     files_read = state.inputFiles()
     assert rows(cdc.live_rows(state)) == [(1, "b"), (3, "m")]
-    assert {f.split("/changes/")[1].split("/")[0] for f in files_read if "/changes/" in f} == {"batch=3"}
+    last = cdc.last_manifest(spark, root).version
+    assert {f.split("/runs/")[1].split("/")[0] for f in files_read} == {f"version={last - 1}", f"version={last}"}
 
 
 def test_an_image_may_have_a_column_named_batch(spark, rows, tmp_path):
@@ -229,3 +230,70 @@ def test_scratch_tables_can_be_dropped(spark):
     session.drop_scratch(spark)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+# ---- levelled state and versions --------------------------------------------------------
+
+
+def test_small_batches_read_little_of_the_state(spark, rows, tmp_path):
+    """Whatever the number of batches before: only runs of touched ranges are read and written."""
+    root, want = str(tmp_path / "state"), {}
+
+    def batch(number, changes):
+        for op, key, seq, x in changes:
+            if seq > want.get(key, (0, 0))[0]:
+                want[key] = (seq, None if op == "D" else x)
+        return cdc.apply_batch(spark, root, spark.createDataFrame(changes, LOG), number, ["key"], fanout=3, ranges=40)
+
+    batch(0, [("I", k, 1, "first") for k in range(2000)])
+    assert len(cdc.last_manifest(spark, root).runs) >= 35
+    for number in range(1, 11):
+        keys = [number, number + 1, 1000 + number] if number % 2 else [number, 1500]
+        work = batch(number, [("D" if k % 5 == 0 else "U", k, 10 * number + i, f"b{number}") for i, k in enumerate(keys)])
+        live = cdc.last_manifest(spark, root)
+        assert sum(r.rows for r in work.read) < sum(r.rows for r in live.runs) / 10
+        assert {r.range for r in work.read} <= {r.range for r in work.written} and len({r.range for r in work.written}) <= len(keys)
+    assert max(r.level for r in live.runs) >= 2
+    expected = sorted((k, x) for k, (_, x) in want.items() if x is not None)
+    assert sorted(map(tuple, cdc.live_rows(cdc.changes_state(spark, root, ["key"])).collect())) == expected
+    again = cdc.apply_batch(spark, root, spark.createDataFrame([("U", 1, 999, "again")], LOG), 10, ["key"])
+    assert again == cdc.Work()
+    assert sorted(map(tuple, cdc.live_rows(cdc.compact_changes(spark, root, ["key"])).collect())) == expected
+    runs = cdc.last_manifest(spark, root).runs
+    assert len(runs) == len({r.range for r in runs})
+
+
+def test_a_batch_that_dies_leaves_the_old_state(spark, rows, tmp_path, monkeypatch):
+    root = str(tmp_path / "state")
+    log = lambda *changes: spark.createDataFrame(list(changes), LOG)
+    cdc.apply_batch(spark, root, log(("I", 1, 1, "a"), ("I", 2, 2, "b")), 0, ["key"], fanout=2, ranges=2)
+    before = cdc.last_manifest(spark, root)
+    write = cdc.write_manifest
+
+    def dies(*args):
+        raise RuntimeError("lost between two writes")
+
+    monkeypatch.setattr(cdc, "write_manifest", dies)
+    with pytest.raises(RuntimeError):
+        cdc.apply_batch(spark, root, log(("U", 1, 3, "c"), ("D", 2, 4, "b")), 1, ["key"], fanout=2, ranges=2)
+    assert cdc.last_manifest(spark, root) == before
+    assert rows(cdc.live_rows(cdc.changes_state(spark, root, ["key"]))) == [(1, "a"), (2, "b")]
+    monkeypatch.setattr(cdc, "write_manifest", write)
+    cdc.apply_batch(spark, root, log(("U", 1, 3, "c"), ("D", 2, 4, "b")), 1, ["key"], fanout=2, ranges=2)
+    assert rows(cdc.live_rows(cdc.changes_state(spark, root, ["key"]))) == [(1, "c")]
+
+
+def test_a_refresh_that_dies_leaves_the_old_table(spark, rows, tmp_path):
+    path = str(tmp_path / "table")
+    sinks.as_table(spark.range(100).toDF("k"), path)
+    broken = spark.range(0, 100, 1, 4).select(F.when(F.col("id") < 60, F.col("id")).otherwise(F.raise_error(F.lit("midway"))).alias("k"))
+    with pytest.raises(Exception, match="midway"):
+        sinks.as_table(broken, path)
+    assert versions.published(spark, path).count() == 100
+    # a table may be rebuilt from itself, and old versions go
+    for _ in range(3):
+        sinks.as_table(versions.published(spark, path).filter("k % 2 = 0"), path)
+    assert rows(versions.published(spark, path)) == [(k,) for k in range(0, 100, 2)]
+    assert len(versions.numbered_folders(spark, path, "version")) == versions.KEPT_VERSIONS
+    with pytest.raises(ValueError):
+        versions.published(spark, str(tmp_path / "none"))
