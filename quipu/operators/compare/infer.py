@@ -123,9 +123,8 @@ def _key(columns: list[str], rules: CellRules) -> Column:
 
 
 def _link_key(columns: list[str], rules: CellRules) -> Column:
-    """The cells themselves, so that no separator inside a text can mix them up; NULL where all are empty."""
-    cells = [key_text(comparable(own(c), rules)) for c in columns]
-    return F.when(F.concat(*cells) != "", F.array(*cells))
+    """The cells themselves, so that no separator inside a text can mix them up; NULL where the key text is empty."""
+    return F.when(_key(columns, rules) != "", F.array(*[key_text(comparable(own(c), rules)) for c in columns]))
 
 
 def align_infer_keys(
