@@ -8,11 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.compare.rows import row_diff
-from ..operators.numbering import first_writer
+from ..operators.numbering import first_writer, number_rows
 from ..operators.upsert import upsert
 from ..plans import layered, scripted
 from ..session import scratch_path
-from ..sources import files, sinks
+from ..sources import files, ranged, sinks
 from ..sources.schemas import MART_SCHEMAS, RAW_SCHEMAS
 from ..streaming import cdc, incremental
 from .changes import diff_pair
@@ -191,6 +191,26 @@ def upsert_all(m):
     return upsert(target, twice, ["oficina_id"], "dofic_id", last=[F.desc("turno")])
 
 
+@query(
+    "s12_upsert_ranges",
+    "with antes as (select row_number() over (order by producto_id) as prod_key, producto_id, precio_base from productos where producto_id % 9 <> 0), "
+    "nuevos as (select producto_id, precio_base, row_number() over (order by producto_id) as n from productos where producto_id % 9 = 0 and producto_id <= 90) "
+    "select prod_key, producto_id, if(producto_id <= 40, precio_base + 1, precio_base)::decimal(10,2) as precio_base from antes "
+    "union all select (select max(prod_key) from antes) + n, producto_id, precio_base from nuevos",
+)
+def upsert_ranges(m):
+    """A stored table of products; only the ranges of new and repriced ones are written again."""
+    products = m.raw("productos").select("producto_id", "precio_base")
+    number = F.col("producto_id")
+    root = scratch_path(m.spark, "productos")
+    target = number_rows(products.filter(number % 9 != 0), [number], "prod_key")
+    ranged.store(target, root, ["producto_id"], "prod_key", rows_per_range=1000)
+    price = F.when(number % 9 != 0, F.col("precio_base") + 1).otherwise(F.col("precio_base"))
+    source = products.filter((number <= 40) | ((number % 9 == 0) & (number <= 90))).withColumn("precio_base", price.cast("decimal(10,2)"))
+    ranged.upsert_ranges(m.spark, root, source, ["producto_id"], "prod_key")
+    return ranged.read(m.spark, root)
+
+
 @query(
     "s13_partial_upsert",
     "with antes as (select row_number() over (order by vendedor_id) as dases_id, vendedor_id as origen_id, cast(99 as decimal(5,2)) as monto from vendedores where vendedor_id % 4 = 0), "

@@ -16,13 +16,14 @@ def upsert(
     update_cols: list[str] | None = None,
     last: list[Column] | None = None,
     number_by: list[Column] | None = None,
+    after: int | None = None,
 ) -> DataFrame:
     """Rows of `target` keep their surrogate; new keys of `source` are numbered after it.
 
     Matched rows take `update_cols` (all non-key columns by default) from the source
     and keep the rest. Of source rows with one key a single one counts: the first in the
     order `last`, by default the one with the greatest values. New rows are numbered by
-    `number_by`, by default in key order.
+    `number_by`, by default in key order, after `after` or else the target's greatest number.
     """
     columns = [c for c in target.columns if c != surrogate]
     rest = [c for c in columns if c not in keys]
@@ -40,6 +41,6 @@ def upsert(
         ],
     )
     unseen = source.select(*map(own, columns)).join(target.select(*map(own, keys)), keys, "left_anti")
-    top = target.agg(F.coalesce(F.max(own(surrogate)), F.lit(0))).scalar()
+    top = F.lit(after) if after is not None else target.agg(F.coalesce(F.max(own(surrogate)), F.lit(0))).scalar()
     added = number_rows(unseen, number_by or [own(k) for k in keys], surrogate, start=top)
     return kept.unionByName(added.withColumn(surrogate, own(surrogate).cast(kept.schema[surrogate].dataType)))

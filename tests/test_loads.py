@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quipu import session
-from quipu.sources import files, sinks, versions
+from quipu.sources import files, ranged, sinks, versions
 from quipu.sources.registry import Sources
 from quipu.streaming import cdc, incremental
 
@@ -297,3 +297,33 @@ def test_a_refresh_that_dies_leaves_the_old_table(spark, rows, tmp_path):
     assert len(versions.numbered_folders(spark, path, "version")) == versions.KEPT_VERSIONS
     with pytest.raises(ValueError):
         versions.published(spark, str(tmp_path / "none"))
+
+
+def test_an_upsert_rewrites_only_ranges_of_its_keys(spark, tmp_path):
+    root = str(tmp_path / "t")
+    target = spark.range(1, 5001).select((F.col("id") * 2).alias("key"), F.lit("old").alias("x"), F.lit("kept").alias("y"), F.col("id").alias("sk"))
+    ranged.store(target, root, ["key"], "sk", rows_per_range=50)
+    before = ranged.parts(spark, root)
+    assert len(before) >= 90 and sum(p.rows for p in before) == 5000
+    changes = [(k, "new", None) for k in (20, 22, 24, 4000, 4001, 4003, 9999, 10001, -5, 20)]
+    source = spark.createDataFrame(changes, "key long, x string, y string")
+    made = ranged.upsert_ranges(spark, root, source, ["key"], "sk", ["x"])
+    after = {p.range: p for p in ranged.parts(spark, root)}
+    assert len(made) <= 5 and {p.folder for p in before} - {p.folder for p in after.values()} == {p.folder for p in before if p.range in {m.range for m in made}}
+    want = {k: ("old", "kept", k // 2) for k in range(2, 10001, 2)} | {k: ("new", "kept", k // 2) for k in (20, 22, 24, 4000)}
+    want |= {k: ("new", None, 5001 + i) for i, k in enumerate((-5, 4001, 4003, 9999, 10001))}
+    assert {r.key: (r.x, r.y, r.sk) for r in ranged.read(spark, root).collect()} == want
+    # the next one numbers after all ranges, also those it does not read
+    ranged.upsert_ranges(spark, root, spark.createDataFrame([(-7, "z", "z")], source.schema), ["key"], "sk")
+    assert ranged.read(spark, root).filter("key = -7").first().sk == 5006
+    assert ranged.upsert_ranges(spark, root, source.limit(0), ["key"], "sk") == []
+    with pytest.raises(ValueError):
+        ranged.read(spark, str(tmp_path / "none"))
+
+
+def test_a_stored_table_without_rows_takes_an_upsert(spark, tmp_path):
+    root = str(tmp_path / "t")
+    none = spark.createDataFrame([], "key long, x string, sk long")
+    assert ranged.store(none, root, ["key"], "sk").count() == 0
+    ranged.upsert_ranges(spark, root, spark.createDataFrame([(2, "b"), (1, "a"), (None, "n")], "key long, x string"), ["key"], "sk")
+    assert sorted((r.key, r.sk) for r in ranged.read(spark, root).filter("key is not null").collect()) == [(1, 2), (2, 3)]
