@@ -6,7 +6,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..plans import scripted
+from ..plans import deltas, layered, scripted
+from ..plans.staging import STAGING
+from ..session import scratch_path
 from .registry import query
 
 RAW4 = ("ventas", "recepciones", "activaciones", "productos")
@@ -76,6 +78,32 @@ def hecho_desempeno(m):
     )
 
 
+def corrected_sums(m) -> DataFrame:
+    """Sums after three loads: two of new sales, the last deletes some and moves others to another channel."""
+    root = scratch_path(m.land().spark, "sales-sums")
+    raw, activations = m.raw("ventas"), m.stg("activaciones")
+    sale = F.col("venta_id")
+    touched = (sale % 17 == 0) | (sale % 23 == 0)
+    moved = raw.filter((sale % 17 == 0) & (sale % 23 != 0)).withColumn("canal_venta", F.lit("PDV"))
+    own = lambda rows, part: (STAGING["ventas"](rows), activations.filter(part))
+    deltas.add_load(root, 0, own(raw.filter(sale % 3 == 0), sale % 3 == 0))
+    deltas.add_load(root, 1, own(raw.filter(sale % 3 != 0), sale % 3 != 0))
+    for _ in range(2):  # the corrections come twice and count once
+        deltas.add_load(root, 2, own(moved, touched), removed=own(raw.filter(touched), touched))
+    return deltas.stored_sums(m.spark, root)
+
+
+@query("x7_canal_after_corrections", "select * from corr_fact_canal")
+def canal_corrected(m):
+    return layered.canal_of_months(deltas.channel_months(corrected_sums(m)), m.dim_tiempo, m.dim_oficina)
+
+
+@query("x8_desempeno_after_corrections", "select * from corr_fact_desempeno")
+def desempeno_corrected(m):
+    months = deltas.seller_months(corrected_sums(m))
+    return layered.desempeno_of_months(months, m.stg("metas"), m.dim_tiempo, m.dim_oficina, m.dim_asesor_pdv)
+
+
 @query("x10_vw_enriched", "select * from vw_enriched")
 def vw_enriched(m):
     return scripted.vw_ventas_enriched(*[m.land().raw(t) for t in RAW4])

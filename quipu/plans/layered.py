@@ -246,20 +246,29 @@ def fact_inventario(
     )
 
 
-def fact_canal(ventas: DataFrame, activaciones: DataFrame, tiempo: DataFrame, oficina: DataFrame) -> DataFrame:
+def channel_months(ventas: DataFrame, activaciones: DataFrame) -> DataFrame:
+    """Kits and income of both channels per month and office."""
     sales = weighted_sales(ventas, activaciones)
     income = F.col("monto_calculado") * F.col("_rows")
 
     def of(channel: str, value: Column) -> Column:
         return F.sum(F.when(F.col("canal_venta") == channel, value).otherwise(0))
 
-    monthly = sales.groupBy(month_start(F.col("fecha_venta")).alias("fecha_mes"), "oficina_id").agg(
+    return sales.groupBy(month_start(F.col("fecha_venta")).alias("fecha_mes"), "oficina_id").agg(
         of(rules.DIRECT, F.col("_rows")).alias("kits_canal_directo"),
         of(rules.RETAIL, F.col("_rows")).alias("kits_canal_pdv"),
         of(rules.DIRECT, income).cast("decimal(22,2)").alias("ingresos_directo"),
         of(rules.RETAIL, income).cast("decimal(22,2)").alias("ingresos_pdv"),
         F.sum("_rows").alias("total_kits"),
     )
+
+
+def fact_canal(ventas: DataFrame, activaciones: DataFrame, tiempo: DataFrame, oficina: DataFrame) -> DataFrame:
+    return canal_of_months(channel_months(ventas, activaciones), tiempo, oficina)
+
+
+def canal_of_months(monthly: DataFrame, tiempo: DataFrame, oficina: DataFrame) -> DataFrame:
+    """The channel fact of `channel_months`, however these were made."""
     key = date_key(F.col("fecha_mes"))
     monthly = lookup(monthly, tiempo.select("dtiem_id"), key == F.col("dtiem_id"))
     offices = oficina.select("dofic_id", F.col("oficina_id").alias("_of"))
@@ -322,8 +331,15 @@ def fact_desempeno(
     asesor: DataFrame,
 ) -> DataFrame:
     """Several goals for one office and month repeat the row, as the goals are joined as they are."""
+    return desempeno_of_months(seller_months(ventas, activaciones), metas, tiempo, oficina, asesor)
+
+
+def desempeno_of_months(
+    months: DataFrame, metas: DataFrame, tiempo: DataFrame, oficina: DataFrame, asesor: DataFrame
+) -> DataFrame:
+    """The performance fact of `seller_months`, however these were made."""
     goals = metas.select("oficina_id", "anio", "mes_num", "meta_kits")
-    rows = seller_months(ventas, activaciones).join(goals, ["oficina_id", "anio", "mes_num"], "left")
+    rows = months.join(goals, ["oficina_id", "anio", "mes_num"], "left")
     rows = rows.withColumn("meta_kits_mes", F.coalesce("meta_kits", F.lit(0)))
     rows = lookup(rows, tiempo.select("dtiem_id"), date_key(F.col("fecha_mes")) == F.col("dtiem_id"))
     offices = oficina.select("dofic_id", F.col("oficina_id").alias("_of"))
