@@ -20,6 +20,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import checkpointed
 
@@ -181,11 +182,13 @@ def repair(
     `inserted` counts the empty turns put before a turn, and after the last one of a
     conversation; the `cost`s of a conversation add up to the least possible. `rendered`
     is what the turn adds: the pieces of a conversation, in order, are its chat text.
-    Turns are ordered by number (null first), then role and text. A null or unknown role fits
+    Turns are ordered by number (null first), then role and a hash of the text; both ids are of
+    any type that can be ordered. A null or unknown role fits
     no label free of charge; a null text is empty. Rows with a null conversation are one
     conversation. Repeated rows are turns of their own; an empty table gives no rows.
     """
     kinds = dict(turns.dtypes)
+    arrow = {f.name: to_arrow_type(f.dataType) for f in turns.schema if f.name in (conv, turn)}
     order = ["key", "turn", "role", F.xxhash64("text")]
     rows = turns.select(F.col(conv).alias("key"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
     # kept as dealt: all passes below must see the same pieces
@@ -204,14 +207,11 @@ def repair(
                 flat = np.array(plan.matrix([role_of(t[2]) for t in piece.turns]), np.int64).ravel()
                 out.append((part_id(), n, piece.turns[0][0], flat.tolist()))
         if out:
-            key_kind = batch_kind(kinds[conv])
+            key_kind = arrow[conv]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.int64(), key_kind, pa.list_(pa.int64())))], ["part", "n", "key", "matrix"]
             )
 
-    def batch_kind(spark_kind: str) -> pa.DataType:
-        return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[spark_kind]
-
     # one or two rows for each partition
     crossing = dealt.mapInArrow(first_pass, f"part int, n long, key {kinds[conv]}, matrix array<long>").orderBy("part", "n").collect()
     entry, last = {}, set()
@@ -253,7 +253,7 @@ def repair(
         part, out = part_id(), []
 
         def batch_of(rows: list) -> pa.RecordBatch:
-            own = (batch_kind(kinds[conv]), batch_kind(kinds[turn]), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string())
+            own = (arrow[conv], arrow[turn], pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string())
             names = ["conv_id", "turn", "role", "action", "new_role", "inserted", "cost", "rendered"]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), own)], names)
 

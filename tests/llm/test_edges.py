@@ -507,6 +507,21 @@ def test_merge_of_shards_keeps_their_order():
         assert [f.tolist() for f in found] == want
 
 
+CHAT_KINDS = {"smallint": lambda i: i, "decimal(20,2)": lambda i: Decimal(i), "date": lambda i: date(2000, 1, 1) + timedelta(days=i), "string": lambda i: f"{i:04}", "double": float}
+
+
+@pytest.mark.parametrize("kind", CHAT_KINDS)
+def test_chat_ids_of_any_type(spark, kind):
+    make, rng = CHAT_KINDS[kind], random.Random(4)
+    roles = {c: [rng.choice(["system", "user", "assistant", "tool"]) for _ in range(rng.randrange(1, 9))] for c in range(30)}
+    rows = [(make(c), make(t), r, "x") for c, own in roles.items() for t, r in enumerate(own)]
+    got = chat.repair(spark.createDataFrame(rows, f"conv_id {kind}, turn {kind}, role string, text string").repartition(4)).collect()
+    costs = {}
+    for r in got:
+        costs[r.conv_id] = costs.get(r.conv_id, 0) + r.cost
+    assert costs == {make(c): brute.chat_cost(tuple(own)) for c, own in roles.items()} and len(got) == len(rows)
+
+
 ID_KINDS = {
     "beyond 2^53": ("long", lambda i: (1 << 53) + 2 * i + 1),
     "text": ("string", lambda i: f"d{i * 7919 % 1000:04}"),
