@@ -169,6 +169,8 @@ def _known() -> Iterator[tuple[str, str]]:
             yield name, text
 
 
+BROADCAST_BYTES = 16 << 20  # of digests and names
+
 #: Known licence texts and one-line notices by SPDX name; callers may give their own.
 KNOWN: tuple[tuple[str, str], ...] = tuple(_known())
 
@@ -202,20 +204,27 @@ def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] | Mapp
     return texts.groupBy(digest(canonical).alias("digest")).agg(F.min("license").alias("license"))
 
 
-def scan(docs: DataFrame, known: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, known: DataFrame, id: str = "doc_id", text: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """doc_id, canonical_sha256, license and line_licenses of every row.
 
-    `known` has (digest, license), of any size: Spark joins by its measured bytes. `license`
+    `known` has (digest, license), of any size. It is stored once and measured: up to
+    `broadcast_bytes` go to every task and no line is shuffled, beyond that lines and digests
+    meet in a shuffle join, after the rows with their numbers have been stored. `license`
     is null where the whole text is no known licence; `line_licenses` lists the licences of
     single lines, sorted and comma-joined. A null text is empty, and an empty canonical text
     matches nothing. Repeated rows are answered each; an empty table gives no rows.
     """
+    listed = stored(known.filter(F.col("digest") != F.sha2(F.lit(""), 256)).select("digest", "license"), "license-digests")
+    size = listed.agg(F.coalesce(F.sum(F.length("digest") + F.length("license") + 32), F.lit(0)).alias("n")).first().n
     rows = docs.select(F.col(id).alias("doc_id"), F.monotonically_increasing_id().alias("row"), canonical_lines(text_or_empty(text)).alias("lines"))
+    if size <= broadcast_bytes:
+        listed = F.broadcast(listed)
+    else:
+        rows = stored(rows, "license-lines")
     whole = canonical_text(F.col("lines"))
     single = F.transform(F.array_distinct("lines"), lambda line: F.struct(F.lit(False).alias("whole"), digest(line).alias("digest")))
     units = F.concat(F.array(F.struct(F.lit(True).alias("whole"), digest(whole).alias("digest"))), single)
     shown = rows.select("doc_id", "row", F.explode(units).alias("u")).select("doc_id", "row", "u.*")
-    listed = known.filter(F.col("digest") != F.sha2(F.lit(""), 256))
     # only a text's own row and the lines that match are kept, so little is stored
     met = stored(shown.join(listed, "digest", "left").filter(F.col("whole") | F.col("license").isNotNull()), "licenses")
     lines = met.filter("not whole").groupBy("row").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("line_licenses"))

@@ -550,6 +550,20 @@ def test_neighbours_of_any_ids(spark, kind):
     assert sorted(have, key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("limit", [licenses.BROADCAST_BYTES, 0])
+def test_digests_in_memory_or_by_a_join(make, odd_rows, limit):
+    """Both ways give the same rows, for repeated rows and clashing columns too."""
+    own = licenses.known_digests(make([]).sparkSession, {"mine": "Do as you like", "other": "one", "none": " . "})
+    texts = ["do AS, you like", "x\nDo as you like\none\none", "One.", None, " . ", "x"]
+    rows = odd_rows + [(40 + i % 50, texts[i % 6], "en", "s", 1) for i in range(90)]
+    docs = make(rows, CLASH)
+    got = licenses.scan(docs, own, broadcast_bytes=limit)
+    answer = {0: ("mine", "mine"), 1: (None, "mine,other"), 2: ("other", "other")}
+    want = [(40 + i % 50, *answer.get(i % 6, (None, ""))) for i in range(90)]
+    want += [(r[0], "other" if r[1] == "one" else None, "other" if r[1] == "one" else "") for r in odd_rows]
+    assert tuples(got, "doc_id", "license", "line_licenses") == sorted(want, key=repr)
+
+
 # -- token ids of long texts
 
 
