@@ -13,26 +13,63 @@ from ..functions.text import null_as_text, text_as_null
 SEPARATORS = {"csv": ",", "tsv": "\t", "ssv": ";", "psv": "\U0001f4a9"}
 
 
-def read_delimited(spark: SparkSession, path: str, ext: str, schema: str) -> DataFrame:
+#: marks a folder whose cells hold no line breaks: they are written as ESCAPED
+ESCAPED_MARK = "_LINES_ESCAPED"
+ESCAPED = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def escape_breaks(text: Column) -> Column:
+    for plain, written in ESCAPED:
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
+
+
+def unescape_breaks(text: Column) -> Column:
+    """Reverse of `escape_breaks`: a backslash takes the letter behind it along."""
+    parts = F.regexp_extract_all(text, F.lit(r"(?s)\\.|[^\\]+|\\$"), F.lit(0))
+    plain = F.transform(parts, lambda p: F.when(p == "\\\\", "\\").when(p == "\\n", "\n").when(p == "\\r", "\r").otherwise(p))
+    return F.when(F.contains(text, F.lit("\\")), F.array_join(plain, "")).otherwise(text)
+
+
+def _mark(spark: SparkSession, path: str):
+    file = spark._jvm.org.apache.hadoop.fs.Path(path, ESCAPED_MARK)
+    return file, file.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def read_delimited(spark: SparkSession, path: str, ext: str, schema: str, multi_line: bool | None = None) -> DataFrame:
     """Header row first; `NULL` is a missing cell and `_NULL` the text `NULL`.
 
-    Quoted cells may hold separators, quotes and line breaks.
+    Quoted cells may hold separators, quotes and line breaks. Files of `write_delimited` have
+    their line breaks escaped and are split over tasks. In other files a cell may go over
+    several lines, so each is read by one task, unless the caller says `multi_line=False`.
     """
     fields = StructType.fromDDL(schema).fields
-    reader = spark.read.option("header", True).option("sep", SEPARATORS[ext]).option("multiLine", True)
+    file, files = _mark(spark, path)
+    escaped = files.exists(file)
+    whole = (not escaped) if multi_line is None else multi_line
+    reader = spark.read.option("header", True).option("sep", SEPARATORS[ext]).option("multiLine", whole)
     reader = reader.option("nullValue", "\0").option("emptyValue", "").option("escape", '"')
     for side in ("Leading", "Trailing"):
         reader = reader.option(f"ignore{side}WhiteSpace", False)
     texts = reader.schema(StructType([StructField(f.name, StringType()) for f in fields])).csv(path)
-    return texts.select(*[text_as_null(F.col(f"`{f.name}`")).try_cast(f.dataType).alias(f.name) for f in fields])
+    plain = unescape_breaks if escaped else lambda cell: cell
+    return texts.select(*[text_as_null(plain(F.col(f"`{f.name}`"))).try_cast(f.dataType).alias(f.name) for f in fields])
 
 
 def write_delimited(df: DataFrame, path: str, ext: str) -> None:
-    texts = df.select(*[null_as_text(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    """Cells as text, line breaks and backslashes escaped, so that every line is a whole row."""
+    names = {c: reduce(lambda name, pair: name.replace(*pair), ESCAPED, c) for c in df.columns}
+    texts = df.select(*[escape_breaks(null_as_text(F.col(f"`{c}`"))).alias(name) for c, name in names.items()])
     if ext == "psv":
         _write_wide_separator(texts, path, SEPARATORS[ext])
-        return
-    writer = texts.write.mode("overwrite").option("header", True).option("sep", SEPARATORS[ext])
+    else:
+        _write_csv(texts, path, SEPARATORS[ext])
+    file, files = _mark(df.sparkSession, path)
+    files.create(file, True).close()
+
+
+def _write_csv(texts: DataFrame, path: str, sep: str) -> None:
+    writer = texts.write.mode("overwrite").option("header", True).option("sep", sep)
     for side in ("Leading", "Trailing"):
         writer = writer.option(f"ignore{side}WhiteSpace", False)
     writer.option("emptyValue", '""').option("escape", '"').csv(path)

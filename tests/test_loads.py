@@ -327,3 +327,21 @@ def test_a_stored_table_without_rows_takes_an_upsert(spark, tmp_path):
     assert ranged.store(none, root, ["key"], "sk").count() == 0
     ranged.upsert_ranges(spark, root, spark.createDataFrame([(2, "b"), (1, "a"), (None, "n")], "key long, x string"), ["key"], "sk")
     assert sorted((r.key, r.sk) for r in ranged.read(spark, root).filter("key is not null").collect()) == [(1, 2), (2, 3)]
+
+
+@pytest.mark.parametrize("ext", ["csv", "psv"])
+def test_own_text_files_are_split_over_tasks(spark, rows, tmp_path, ext):
+    cells = ["plain", "two\nlines", "a\r\nb", "back\\slash", "\\n", "\\\\n\n", "ends in \\", 'quo"ted, ', "", None, "NULL", "\n"]
+    cell = F.element_at(F.array(*map(F.lit, cells)), (F.col("id") % len(cells) + 1).cast("int"))
+    df = spark.range(20_000).select("id", F.lit("x" * 50).alias("pad"), cell.alias("s"))
+    path = str(tmp_path / "t")
+    files.write_delimited(df.coalesce(1), path, ext)
+    size = sum(f.stat().st_size for f in (tmp_path / "t").iterdir() if f.name.startswith("part"))
+    assert size > 1_200_000
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        back = files.read_delimited(spark, path, ext, "id long, pad string, s string")
+        assert back.rdd.getNumPartitions() > 10
+        assert back.exceptAll(df).isEmpty() and back.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
