@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.dates import day_gap, days_since
 from ..functions.numeric import percent
-from ..plans import kpis, layered, measures, quality, reports
+from ..plans import histograms, kpis, layered, measures, quality, reports
 from ..session import scratch_path
 from ..sources.sinks import as_table, model_path, resolve_schema
 from ..sources.versions import published
@@ -124,6 +125,37 @@ _K5 = f"select oficina_id, avg({_AGE}) as dias_inactivo_prom from recepciones wh
 query("k5_mean_idle_days", _K5)(lambda m: kpis.mean_idle_days(m.raw("recepciones"), AS_OF, ["oficina_id"]))
 
 
+def _points(days: str, levels: str) -> str:
+    n = levels.count(",") + 1
+    return f"{levels}, count(*) as kits, avg({days}) as dias_promedio, quantile_cont({days}, 0.5) as dias_mediana, quantile_cont({days}, 0.9) as dias_p90, ({n} - bit_count(grouping({levels})))::integer as nivel"
+
+
+@query(
+    "k5_idle_day_drill",
+    f"select {_points('edad', 'region, departamento, nom_oficina')} from (select region, departamento, nom_oficina, {_AGE} as edad from recepciones join oficinas using (oficina_id) where estado_recepcion <> 'VENDIDO') where edad is not null group by rollup (region, departamento, nom_oficina)",
+)
+def k5_drill(m):
+    """Idle days of unsold kits at every level of the geography, from one histogram per office."""
+    idle = m.raw("recepciones").filter(F.col("estado_recepcion") != kpis.SOLD)
+    by_office = histograms.day_histogram(idle, [F.col("oficina_id")], days_since(F.col("fecha_recepcion"), AS_OF))
+    places = m.raw("oficinas").select("oficina_id", "region", "departamento", "nom_oficina")
+    return histograms.day_drill(by_office.join(places, "oficina_id"), ["region", "departamento", "nom_oficina"])
+
+
+@query(
+    "k6_rotation_day_drill",
+    f"select {_points('dias', 'anio, mes, oficina_id')} from (select year(fecha_recepcion)::integer as anio, month(fecha_recepcion)::integer as mes, r.oficina_id, date_diff('day', fecha_recepcion, fecha_venta) as dias from recepciones r join (select recepcion_id, fecha_venta from enriched where es_activacion = 1) using (recepcion_id)) group by rollup (anio, mes, oficina_id)",
+)
+def k6_drill(m):
+    """Days from receipt to sale of active kits by year, month and office; the months come as two loads."""
+    joined = m.raw("recepciones").select("recepcion_id", "fecha_recepcion", "oficina_id").join(_active_sales(m), "recepcion_id")
+    day = F.col("fecha_recepcion")
+    by = [F.year(day).alias("anio"), F.month(day).alias("mes"), F.col("oficina_id")]
+    gap = day_gap(F.col("fecha_venta"), day)
+    loads = [histograms.day_histogram(joined.filter(part), by, gap, F.col("pesos")) for part in (F.col("recepcion_id") % 2 == 0, F.col("recepcion_id") % 2 != 0)]
+    return histograms.day_drill(histograms.added(loads), ["anio", "mes", "oficina_id"])
+
+
 def _active_sales(m):
     rows = layered.weighted_sales(m.stg("ventas"), m.stg("activaciones"))
     return rows.filter("_active > 0 and recepcion_id is not null").select(

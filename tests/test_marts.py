@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from quipu.plans import deltas, kpis, layered, measures, quality, scripted
+from quipu.plans import deltas, histograms, kpis, layered, measures, quality, scripted
 from quipu.plans.mart import Mart
 from quipu.sources import versions
 from quipu.sources.schemas import RAW_SCHEMAS
@@ -244,3 +244,17 @@ def test_loads_and_corrections_add_up_to_a_rebuild(spark, rows, tmp_path):
     # all gone: no group stays behind
     deltas.add_load(root, 4, tuple(df.limit(0) for df in whole), whole)
     assert deltas.stored_sums(spark, root).isEmpty()
+
+
+def test_histograms_of_loads_give_means_and_quantiles_of_all_rows(spark):
+    draw = random.Random(2)
+    data = [(draw.choice("ab"), draw.choice(["x", "y"]), draw.choice([None, draw.randrange(-5, 200)]), draw.randrange(0, 3)) for _ in range(300)]
+    df = spark.createDataFrame(data, "g string, h string, d int, w long")
+    parts = [histograms.day_histogram(df.filter(p), [F.col("g"), F.col("h")], F.col("d"), F.col("w")) for p in ("d % 2 = 0", "d % 2 <> 0", "d is null")]
+    got = {(r.g, r.h): r for r in histograms.day_drill(histograms.added(parts), ["g", "h"]).collect()}
+    for g, h in [(None, None), ("a", None), ("b", "x")]:
+        days = sorted(d for a, b, d, w in data for _ in range(w) if d is not None and g in (None, a) and h in (None, b))
+        at = lambda q: days[int(i := q * (len(days) - 1))] + (i - int(i)) * (days[min(int(i) + 1, len(days) - 1)] - days[int(i)])
+        r = got[g, h]
+        assert (r.kits, r.nivel) == (len(days), 2 - [g, h].count(None))
+        assert (r.dias_promedio, r.dias_mediana, r.dias_p90) == pytest.approx((sum(days) / len(days), at(0.5), at(0.9)))
