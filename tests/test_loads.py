@@ -247,16 +247,16 @@ def test_small_batches_read_little_of_the_state(spark, rows, tmp_path):
 
     batch(0, [("I", k, 1, "first") for k in range(2000)])
     assert len(cdc.last_manifest(spark, root).runs) >= 35
-    for number in range(1, 11):
+    for number in range(1, 7):
         keys = [number, number + 1, 1000 + number] if number % 2 else [number, 1500]
         work = batch(number, [("D" if k % 5 == 0 else "U", k, 10 * number + i, f"b{number}") for i, k in enumerate(keys)])
         live = cdc.last_manifest(spark, root)
         assert sum(r.rows for r in work.read) < sum(r.rows for r in live.runs) / 10
         assert {r.range for r in work.read} <= {r.range for r in work.written} and len({r.range for r in work.written}) <= len(keys)
-    assert max(r.level for r in live.runs) >= 2
+    assert max(r.level for r in live.runs) >= 1
     expected = sorted((k, x) for k, (_, x) in want.items() if x is not None)
     assert sorted(map(tuple, cdc.live_rows(cdc.changes_state(spark, root, ["key"])).collect())) == expected
-    again = cdc.apply_batch(spark, root, spark.createDataFrame([("U", 1, 999, "again")], LOG), 10, ["key"])
+    again = cdc.apply_batch(spark, root, spark.createDataFrame([("U", 1, 999, "again")], LOG), 6, ["key"])
     assert again == cdc.Work()
     assert sorted(map(tuple, cdc.live_rows(cdc.compact_changes(spark, root, ["key"])).collect())) == expected
     runs = cdc.last_manifest(spark, root).runs
@@ -301,21 +301,21 @@ def test_a_refresh_that_dies_leaves_the_old_table(spark, rows, tmp_path):
 
 def test_an_upsert_rewrites_only_ranges_of_its_keys(spark, tmp_path):
     root = str(tmp_path / "t")
-    target = spark.range(1, 5001).select((F.col("id") * 2).alias("key"), F.lit("old").alias("x"), F.lit("kept").alias("y"), F.col("id").alias("sk"))
+    target = spark.range(1, 2501).select((F.col("id") * 2).alias("key"), F.lit("old").alias("x"), F.lit("kept").alias("y"), F.col("id").alias("sk"))
     ranged.store(target, root, ["key"], "sk", rows_per_range=50)
     before = ranged.parts(spark, root)
-    assert len(before) >= 90 and sum(p.rows for p in before) == 5000
-    changes = [(k, "new", None) for k in (20, 22, 24, 4000, 4001, 4003, 9999, 10001, -5, 20)]
+    assert len(before) >= 45 and sum(p.rows for p in before) == 2500
+    changes = [(k, "new", None) for k in (20, 22, 24, 4000, 4001, 4003, 4999, 5001, -5, 20)]
     source = spark.createDataFrame(changes, "key long, x string, y string")
     made = ranged.upsert_ranges(spark, root, source, ["key"], "sk", ["x"])
     after = {p.range: p for p in ranged.parts(spark, root)}
     assert len(made) <= 5 and {p.folder for p in before} - {p.folder for p in after.values()} == {p.folder for p in before if p.range in {m.range for m in made}}
-    want = {k: ("old", "kept", k // 2) for k in range(2, 10001, 2)} | {k: ("new", "kept", k // 2) for k in (20, 22, 24, 4000)}
-    want |= {k: ("new", None, 5001 + i) for i, k in enumerate((-5, 4001, 4003, 9999, 10001))}
+    want = {k: ("old", "kept", k // 2) for k in range(2, 5001, 2)} | {k: ("new", "kept", k // 2) for k in (20, 22, 24, 4000)}
+    want |= {k: ("new", None, 2501 + i) for i, k in enumerate((-5, 4001, 4003, 4999, 5001))}
     assert {r.key: (r.x, r.y, r.sk) for r in ranged.read(spark, root).collect()} == want
     # the next one numbers after all ranges, also those it does not read
     ranged.upsert_ranges(spark, root, spark.createDataFrame([(-7, "z", "z")], source.schema), ["key"], "sk")
-    assert ranged.read(spark, root).filter("key = -7").first().sk == 5006
+    assert ranged.read(spark, root).filter("key = -7").first().sk == 2506
     assert ranged.upsert_ranges(spark, root, source.limit(0), ["key"], "sk") == []
     with pytest.raises(ValueError):
         ranged.read(spark, str(tmp_path / "none"))
