@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,7 +11,7 @@ from ..operators.compare.rows import row_diff
 from ..operators.numbering import first_writer, number_rows
 from ..operators.upsert import upsert
 from ..plans import layered, scripted
-from ..session import scratch_path
+from ..session import at_once, scratch_path
 from ..sources import files, ranged, sinks
 from ..sources.schemas import MART_SCHEMAS, RAW_SCHEMAS
 from ..streaming import cdc, incremental
@@ -244,10 +244,12 @@ def post_load_update(m):
 
 
 def _scripted_sales(m):
-    view = scripted.vw_ventas_enriched(*[m.land().raw(t) for t in ("ventas", "recepciones", "activaciones", "productos")])
+    m.land()
     office = scripted.dim_oficina(scripted.empty_dim(m.spark, "dim_oficina"), m.raw("oficinas"))
     state = scripted.dim_estado(m.raw("recepciones"), m.raw("productos"))
-    return scripted.hecho_ventas(view, office, state, m.raw("productos"))
+    goods = scripted.with_status(m.raw("productos"), state)
+    view = scripted.vw_ventas_enriched(*[m.raw(t) for t in ("ventas", "recepciones", "activaciones")], goods)
+    return scripted.hecho_ventas(view, office, state, goods)
 
 
 @query(
@@ -278,30 +280,40 @@ def conform_defaults(m):
     ),
 )
 def recreate_targets(m):
-    """All eight targets hold old rows, are replaced by empty ones, and are loaded once."""
-    raw = m.land().raw
+    """All eight targets hold old rows, are replaced by empty ones, and are loaded once.
+
+    Dimensions are loaded before the facts that read them, and tables that do not need each
+    other at once. The status of the products is looked up beside the facts that do without it.
+    """
     root = scratch_path(m.spark, "targets")
-    for name in MART_SCHEMAS:
-        sinks.as_table(raw("oficinas").select(F.lit(name).alias("vieja")), sinks.model_path(root, "", name))
+    raw, path = m.raw, partial(sinks.model_path, root, "")
+    old = [m.raw("oficinas").select(F.lit(name).alias("vieja")) for name in MART_SCHEMAS]
+    at_once(m.land, *[partial(sinks.as_table, df, path(name)) for name, df in zip(MART_SCHEMAS, old)])
     empty = sinks.recreate(m.spark, root, list(MART_SCHEMAS))
-    office = scripted.dim_oficina(empty["dim_oficina"], raw("oficinas"))
-    seller = scripted.dim_asesor_pdv(empty["dim_asesor_pdv"], raw("vendedores"), raw("asesores"))
-    state = scripted.dim_estado(raw("recepciones"), raw("productos"))
-    view = scripted.vw_ventas_enriched(*[raw(t) for t in ("ventas", "recepciones", "activaciones", "productos")])
-    loads = {
-        "dim_tiempo": scripted.dim_tiempo(raw("ventas"), raw("recepciones"), raw("metas")),
-        "dim_oficina": office,
-        "dim_estado": state,
-        "dim_asesor_pdv": seller,
-        "hecho_ventas": scripted.hecho_ventas(view, office, state, raw("productos")),
-        "hecho_inventario": scripted.hecho_inventario(raw("recepciones"), raw("productos"), raw("ventas"), office, state),
-        "hecho_canal": scripted.hecho_canal(raw("ventas"), raw("activaciones"), office),
-        "hecho_desempeno": scripted.hecho_desempeno(raw("ventas"), raw("activaciones"), raw("metas"), office, seller),
+    loaded = {}
+    load = lambda name, make: loaded.update({name: sinks.as_table(make(), path(name))})
+    dims = {
+        "dim_estado": lambda: scripted.dim_estado(raw("recepciones"), raw("productos")),
+        "dim_tiempo": lambda: scripted.dim_tiempo(raw("ventas"), raw("recepciones"), raw("metas")),
+        "dim_oficina": lambda: scripted.dim_oficina(empty["dim_oficina"], raw("oficinas")),
+        "dim_asesor_pdv": lambda: scripted.dim_asesor_pdv(empty["dim_asesor_pdv"], raw("vendedores"), raw("asesores")),
     }
-    parts = []
-    for name, df in loads.items():
-        rows = sinks.as_table(df, sinks.model_path(root, "", name)).agg(F.count("*").alias("filas"))
-        parts.append(rows.select(F.lit(name).alias("tabla"), "filas"))
+    at_once(*[partial(load, *job) for job in dims.items()])
+    office, state, seller = (loaded[n] for n in ("dim_oficina", "dim_estado", "dim_asesor_pdv"))
+    by_office = {
+        "hecho_canal": lambda: scripted.hecho_canal(raw("ventas"), raw("activaciones"), office),
+        "hecho_desempeno": lambda: scripted.hecho_desempeno(raw("ventas"), raw("activaciones"), raw("metas"), office, seller),
+    }
+    goods = at_once(lambda: scripted.with_status(raw("productos"), state), *[partial(load, *job) for job in by_office.items()])[0]
+    view = lambda: scripted.vw_ventas_enriched(*[raw(t) for t in ("ventas", "recepciones", "activaciones")], goods)
+    by_product = {
+        "hecho_ventas": lambda: scripted.hecho_ventas(view(), office, state, goods),
+        "hecho_inventario": lambda: scripted.hecho_inventario(raw("recepciones"), goods, raw("ventas"), office, state),
+    }
+    at_once(*[partial(load, *job) for job in by_product.items()])
+    parts = [
+        df.agg(F.count("*").alias("filas")).select(F.lit(name).alias("tabla"), "filas") for name, df in loaded.items()
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

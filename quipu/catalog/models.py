@@ -48,8 +48,11 @@ def scripted_dims(m):
 
 @query("x5_hecho_ventas", "select * from hecho_ventas")
 def hecho_ventas(m):
-    view = scripted.vw_ventas_enriched(*[m.land().raw(t) for t in RAW4])
-    return scripted.hecho_ventas(view, *scripted_dims(m), m.raw("productos"))
+    m.land()
+    office, state = scripted_dims(m)
+    goods = scripted.with_status(m.raw("productos"), state)
+    view = scripted.vw_ventas_enriched(*[m.raw(t) for t in RAW4[:3]], goods)
+    return scripted.hecho_ventas(view, office, state, goods)
 
 
 @query("x6_hecho_inventario", "select * from hecho_inventario")

@@ -22,6 +22,9 @@ from .layered import resolve_seller, weighted_sales
 from .staging import stg_activaciones, stg_ventas
 
 
+STATUS = ["dest_id", "n_estados"]  # what `join_status` adds
+
+
 def _activation_rows(activaciones: DataFrame) -> DataFrame:
     return activaciones.select("venta_id", flag(F.col("flag_activo")).alias("_active"))
 
@@ -29,12 +32,16 @@ def _activation_rows(activaciones: DataFrame) -> DataFrame:
 def vw_ventas_enriched(
     ventas: DataFrame, recepciones: DataFrame, activaciones: DataFrame, productos: DataFrame
 ) -> DataFrame:
-    """Sales with receipt, activation and series; every sale stays."""
+    """Sales with receipt, activation and series; every sale stays.
+
+    Products `with_status` bring the status columns of their series along.
+    """
     receipts = recepciones.select(
         "recepcion_id", "fecha_recepcion", "estado_recepcion", "dias_inactivo",
         F.lit(True).alias("_received"),
     )
-    series = productos.select("producto_id", F.col("serie").alias("serie_producto"))
+    status = [c for c in STATUS if c in productos.columns]
+    series = productos.select("producto_id", F.col("serie").alias("serie_producto"), *status)
     rows = skew_join(ventas, _activation_rows(activaciones), "venta_id")
     rows = left_join_unique(rows, receipts, "recepcion_id", ["venta_id"])
     rows = left_join_unique(rows, series, "producto_id", ["venta_id"])
@@ -56,6 +63,7 @@ def vw_ventas_enriched(
         flag(at_risk).alias("flag_riesgo_90d"),
         F.coalesce("_active", F.lit(0)).alias("es_activacion"),
         "serie_producto",
+        *status,
     )
 
 
@@ -97,23 +105,21 @@ def dim_tiempo(ventas: DataFrame, recepciones: DataFrame, metas: DataFrame) -> D
 
 
 def dim_estado(recepciones: DataFrame, productos: DataFrame) -> DataFrame:
-    """Every distinct (state, idle days, risk, series); texts equal under the collation are one."""
+    """Every distinct (state, idle days, risk, series); texts equal under the collation are one.
+
+    States get their common text before the rows are made distinct, so all rows are exchanged
+    once for that.
+    """
     series = productos.select("producto_id", "serie").join(
         canonical_texts(productos, "serie", "lote_serie"), "serie"
     )
-    names = canonical_texts(recepciones, "estado_recepcion", "estado")
+    names = written(canonical_texts(recepciones, "estado_recepcion", "estado"), "states")
     rows = left_join_unique(
         recepciones, series.select("producto_id", "lote_serie"), "producto_id", ["recepcion_id"]
     )
     at_risk = flag(rules.stock_at_risk(F.col("dias_inactivo"), F.col("estado_recepcion")))
-    states = rows.groupBy(
-        "estado_recepcion",
-        F.col("dias_inactivo").alias("dias_desde_recepcion"),
-        at_risk.alias("flag_riesgo_90d"),
-        "lote_serie",
-    ).agg(F.lit(1))
-    states = states.join(names, "estado_recepcion", "left").select(
-        "estado", "dias_desde_recepcion", "flag_riesgo_90d", "lote_serie"
+    states = left_join_unique(rows, names, "estado_recepcion", ["recepcion_id"]).select(
+        "estado", F.col("dias_inactivo").alias("dias_desde_recepcion"), at_risk.alias("flag_riesgo_90d"), "lote_serie"
     )
     order = ["estado", "lote_serie", "dias_desde_recepcion", "flag_riesgo_90d"]
     numbered = number_rows(states.distinct(), [F.asc_nulls_last(c) for c in order], "dest_id")
@@ -162,32 +168,49 @@ def join_status(
 
     The series and the status rows meet under the collation. A series may own any share
     of the status rows, and rows are not repeated for them: sums take the number as a weight.
+    The status rows are first summed up by their text, so the texts meet without them.
     `texts` may name a shorter table that holds every series of `rows`.
     """
-    known = equal_texts(rows if texts is None else texts, serie, estado, "lote_serie")
-    states = known.join(estado.select("dest_id", "lote_serie"), "lote_serie").groupBy(serie).agg(
+    owned = estado.filter("lote_serie is not null").groupBy("lote_serie").agg(
         F.min("dest_id").alias("dest_id"), F.count("*").alias("n_estados")
     )
+    owned = written(owned, "owned")
+    known = equal_texts(rows if texts is None else texts, serie, owned, "lote_serie")
+    states = known.join(owned, "lote_serie").groupBy(serie).agg(
+        F.min("dest_id").alias("dest_id"), F.sum("n_estados").alias("n_estados")
+    )
     joined = left_join_unique(rows, written(states, "status"), serie, spread_by)
     return joined.withColumn("n_estados", F.coalesce("n_estados", F.lit(0)))
 
 
+def with_status(productos: DataFrame, estado: DataFrame) -> DataFrame:
+    """Products with the status columns of their series, written once for the facts that read them.
+
+    A fact that joins them by product needs no further exchange of its rows by series.
+    """
+    series = productos.select("producto_id", "serie")
+    return written(join_status(series, estado, "serie", ["producto_id"]), "products")
+
+
 def hecho_ventas(
     view: DataFrame, oficina: DataFrame, estado: DataFrame, productos: DataFrame
 ) -> DataFrame:
     """Typed sales fact, a row for each sale and activation; the office share is filled in from the loaded rows.
 
     `n_estados` is the number of status rows of the sale's series, and the weight of its
-    income in the office share (1 where there is none).
+    income in the office share (1 where there is none). A view of products `with_status` has it
+    already.
     """
-    texts = productos.select(F.col("serie").alias("serie_producto"))
     offices = oficina.select("dofic_id", F.col("oficina_id").alias("_of"))
     rows = lookup(view, offices, F.col("oficina_id") == F.col("_of"), "inner")
-    rows = join_status(rows, estado, "serie_producto", ["venta_id"], texts).select(
+    if "n_estados" not in view.columns:
+        texts = productos.select(F.col("serie").alias("serie_producto"))
+        rows = join_status(rows, estado, "serie_producto", ["venta_id"], texts)
+    rows = rows.select(
         date_key(F.col("fecha_venta")).alias("dtiem_id"),
         "dofic_id",
         "dest_id",
-        "n_estados",
+        F.coalesce("n_estados", F.lit(0)).alias("n_estados"),
         F.lit(1).alias("kits_vendidos"),
         F.col("es_activacion").alias("kits_activos"),
         rules.activation_pct(F.col("es_activacion")).alias("tasa_activacion_pct"),
@@ -214,12 +237,16 @@ def fill_contribution(loaded: DataFrame) -> DataFrame:
 def hecho_inventario(
     recepciones: DataFrame, productos: DataFrame, ventas: DataFrame, oficina: DataFrame, estado: DataFrame
 ) -> DataFrame:
-    """Receipts of known products and offices, repeated per sale, with the number of status rows."""
+    """Receipts of known products and offices, repeated per sale, with the number of status rows.
+
+    The status comes with the product, see `with_status`.
+    """
     offices = oficina.select("dofic_id", F.col("oficina_id").alias("_of"))
-    rows = recepciones.join(productos.select("producto_id", "serie"), "producto_id")
+    goods = productos if "n_estados" in productos.columns else with_status(productos, estado)
+    rows = recepciones.join(goods.select("producto_id", "serie", *STATUS), "producto_id")
     rows = lookup(rows, offices, F.col("oficina_id") == F.col("_of"), "inner")
     sold = ventas.filter(F.col("recepcion_id").isNotNull()).select("recepcion_id", "fecha_venta")
-    rows = join_status(skew_join(rows, sold, "recepcion_id"), estado, "serie", ["recepcion_id"], productos)
+    rows = skew_join(rows, sold, "recepcion_id")
     at_risk = rules.stock_at_risk(F.col("dias_inactivo"), F.col("estado_recepcion"))
     return conform(
         rows.select(

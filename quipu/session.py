@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+DRIVER_THREADS = 4
+
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -57,6 +61,12 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def at_once(*jobs: Callable[[], DataFrame | None]) -> list[DataFrame | None]:
+    """What jobs that do not need each other return, run from a few driver threads."""
+    with ThreadPoolExecutor(DRIVER_THREADS) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write `df` once to the shared folder, keeping its partitions and row order."""
     shared_dir(df.sparkSession)

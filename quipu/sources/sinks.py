@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.text import FOLDED
 from ..operators.names import unless_taken
+from ..session import at_once
 from .schemas import MART_DEFAULTS, MART_SCHEMAS
 from .versions import publish
 
@@ -107,8 +110,5 @@ def collate_text(df: DataFrame, collation: str = FOLDED) -> DataFrame:
 
 def recreate(spark: SparkSession, root: str, tables: list[str]) -> dict[str, DataFrame]:
     """Replace target tables by empty ones of their declared schema."""
-    made = {}
-    for name in tables:
-        empty = spark.createDataFrame([], MART_SCHEMAS[name])
-        made[name] = as_table(empty, f"{root}/{name}")
-    return made
+    empty = lambda name: as_table(spark.createDataFrame([], MART_SCHEMAS[name]), f"{root}/{name}")
+    return dict(zip(tables, at_once(*[partial(empty, name) for name in tables])))

@@ -137,6 +137,25 @@ def test_scripted_sales_repeat_per_status_row(mart, rows):
     ]
 
 
+def test_status_by_product_gives_the_status_by_series(spark, mart, rows):
+    view = [mart.raw(t) for t in ("ventas", "recepciones", "activaciones")]
+    office = scripted.dim_oficina(scripted.empty_dim(mart.spark, "dim_oficina"), mart.raw("oficinas"))
+    states = [(1, "VENDIDO", 1, 0, "ab2"), (2, "VENDIDO", 2, 0, " AB\t1"), (3, "VENDIDO", 3, 0, "AB2 "), (4, "VENDIDO", 4, 0, None)]
+    state = spark.createDataFrame(states, scripted.MART_SCHEMAS["dim_estado"])
+    more = [(11, "ab2 ", "kit", None, True), (12, "unknown", "kit", None, True), (None, "AB2", "kit", None, True)]
+    products = mart.raw("productos").unionByName(spark.createDataFrame(more, RAW_SCHEMAS["productos"]))
+    goods = scripted.with_status(products, state)
+    want = scripted.hecho_ventas(scripted.vw_ventas_enriched(*view, products), office, state, products)
+    got = scripted.hecho_ventas(scripted.vw_ventas_enriched(*view, goods), office, state, goods)
+    assert rows(got) == rows(want) and got.schema == want.schema
+    assert {(r.dest_id, r.n_estados) for r in got.collect()} == {(1, 2), (2, 1)}
+    sold = [scripted.hecho_inventario(mart.raw("recepciones"), p, mart.raw("ventas"), office, state) for p in (products, goods)]
+    assert rows(sold[0]) == rows(sold[1])
+    assert {(r.serie, r.dest_id, r.n_estados) for r in sold[0].collect()} == {
+        (" ab\t1 ", 2, 1), ("AB2", 1, 2), ("ab2 ", 1, 2), ("AB1", None, 0), (" \n", None, 0),
+    }
+
+
 def test_blank_series_meet_under_the_collation(spark, rows):
     states = spark.createDataFrame([(1, "ab1"), (2, "  "), (3, " "), (4, None)], "dest_id int, lote_serie string")
     sales = spark.createDataFrame([(1, "AB1  "), (2, ""), (3, None)], "v int, s string")

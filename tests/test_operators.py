@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quipu.operators import joins
+from quipu.functions.text import folded
+from quipu.operators import folding, joins
 from quipu.operators.numbering import first_writer, keep_best, number_rows
 from quipu.operators.upsert import upsert
 
@@ -154,3 +155,34 @@ def test_distributed_numbering_after_upsert_start(spark):
     source = spark.range(1, 50).withColumnRenamed("id", "k")
     got = {(r.k, r.sk) for r in upsert(target, source, ["k"], "sk").collect()}
     assert got == {(1, 7)} | {(k, k + 6) for k in range(2, 50)}
+
+
+# equal in groups under the collation: accents, case, ligatures, ignorable signs, trailing blanks
+TEXTS = [
+    "É", "e", "E ", "\u0001", "", " ", "a\u0001b", "AB", "a\tb", "ß", "ss", "SS ", "ﬁ", "fi", "K", "k", "İ", "i", "ı", "a\n", "a", "a\r\n",
+    "ａ", "١", "1", "½", "\U0001f4a9", "\u3000", "ñ", "N", "x-1", "X-1  ", " x-1", "x_1",
+]
+
+
+def test_texts_meet_as_under_the_collation(spark, rows):
+    texts = spark.createDataFrame([(t,) for t in TEXTS], "t string")
+    fold = texts.withColumn("f", folded(F.col("t")))
+    heads = fold.groupBy("f").agg(F.min("t").alias("head"))
+    assert rows(folding.canonical_texts(texts, "t", "head")) == rows(fold.join(heads, "f").select("t", "head"))
+    other = texts.filter(F.length("t") < 2).withColumnRenamed("t", "u")
+    want = fold.join(other.withColumn("f", folded(F.col("u"))), "f").select("t", "u")
+    assert rows(folding.equal_texts(texts, "t", other, "u").select("t", "u")) == rows(want)
+
+
+def test_collation_sees_each_text_once(spark, rows, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(3000).select(F.element_at(F.array(*map(F.lit, ("É", "e", "b"))), (F.col("id") % 3 + 1).cast("int")).alias("t")).write.parquet(path)
+    got = folding.canonical_texts(spark.read.parquet(path), "t", "head")
+    assert rows(got) == [("É", "e"), ("e", "e"), ("b", "b")]
+    assert not [f for f in got.inputFiles() if path in f]
+
+
+def test_printable_texts_need_no_collation(spark):
+    texts = spark.createDataFrame([("B",), ("b ",), ("x-1",)], "t string")
+    plan = folding.canonical_texts(texts, "t", "head")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collat" not in plan.lower()
