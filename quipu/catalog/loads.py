@@ -282,37 +282,45 @@ def conform_defaults(m):
 def recreate_targets(m):
     """All eight targets hold old rows, are replaced by empty ones, and are loaded once.
 
-    Dimensions are loaded before the facts that read them, and tables that do not need each
-    other at once. The status of the products is looked up beside the facts that do without it.
+    Tables that do not need each other are loaded at once: the small dimensions while the order
+    rows land, and facts without a status while the status dimension is made.
     """
     root = scratch_path(m.spark, "targets")
-    raw, path = m.raw, partial(sinks.model_path, root, "")
-    old = [m.raw("oficinas").select(F.lit(name).alias("vieja")) for name in MART_SCHEMAS]
-    at_once(m.land, *[partial(sinks.as_table, df, path(name)) for name, df in zip(MART_SCHEMAS, old)])
-    empty = sinks.recreate(m.spark, root, list(MART_SCHEMAS))
-    loaded = {}
-    load = lambda name, make: loaded.update({name: sinks.as_table(make(), path(name))})
-    dims = {
-        "dim_estado": lambda: scripted.dim_estado(raw("recepciones"), raw("productos")),
-        "dim_tiempo": lambda: scripted.dim_tiempo(raw("ventas"), raw("recepciones"), raw("metas")),
-        "dim_oficina": lambda: scripted.dim_oficina(empty["dim_oficina"], raw("oficinas")),
-        "dim_asesor_pdv": lambda: scripted.dim_asesor_pdv(empty["dim_asesor_pdv"], raw("vendedores"), raw("asesores")),
-    }
-    at_once(*[partial(load, *job) for job in dims.items()])
-    office, state, seller = (loaded[n] for n in ("dim_oficina", "dim_estado", "dim_asesor_pdv"))
-    by_office = {
-        "hecho_canal": lambda: scripted.hecho_canal(raw("ventas"), raw("activaciones"), office),
-        "hecho_desempeno": lambda: scripted.hecho_desempeno(raw("ventas"), raw("activaciones"), raw("metas"), office, seller),
-    }
-    goods = at_once(lambda: scripted.with_status(raw("productos"), state), *[partial(load, *job) for job in by_office.items()])[0]
-    view = lambda: scripted.vw_ventas_enriched(*[raw(t) for t in ("ventas", "recepciones", "activaciones")], goods)
-    by_product = {
-        "hecho_ventas": lambda: scripted.hecho_ventas(view(), office, state, goods),
-        "hecho_inventario": lambda: scripted.hecho_inventario(raw("recepciones"), goods, raw("ventas"), office, state),
-    }
-    at_once(*[partial(load, *job) for job in by_product.items()])
+    raw, path, loaded = m.raw, partial(sinks.model_path, root, ""), {}
+
+    def load(name, make, *args):
+        loaded[name] = sinks.as_table(make(*args), path(name))
+
+    def renew():
+        old = lambda name: sinks.as_table(raw("oficinas").select(F.lit(name).alias("vieja")), path(name))
+        at_once(*[partial(old, name) for name in MART_SCHEMAS])
+        empty = sinks.recreate(m.spark, root, list(MART_SCHEMAS))
+        at_once(
+            lambda: load("dim_oficina", scripted.dim_oficina, empty["dim_oficina"], raw("oficinas")),
+            lambda: load("dim_asesor_pdv", scripted.dim_asesor_pdv, empty["dim_asesor_pdv"], raw("vendedores"), raw("asesores")),
+        )
+
+    at_once(m.sources.land, renew)
+    office, seller = loaded["dim_oficina"], loaded["dim_asesor_pdv"]
+    sales, receipts, activations, products, goals = map(raw, ("ventas", "recepciones", "activaciones", "productos", "metas"))
+
+    def load_by_product():
+        state = scripted.dim_estado(receipts, products)
+        goods, _ = at_once(lambda: scripted.with_status(products, state), lambda: load("dim_estado", lambda: state))
+        view = partial(scripted.vw_ventas_enriched, sales, receipts, activations, goods)
+        at_once(
+            lambda: load("hecho_ventas", lambda: scripted.hecho_ventas(view(), office, state, goods)),
+            lambda: load("hecho_inventario", scripted.hecho_inventario, receipts, goods, sales, office, state),
+        )
+
+    at_once(
+        load_by_product,
+        lambda: load("dim_tiempo", scripted.dim_tiempo, sales, receipts, goals),
+        lambda: load("hecho_canal", scripted.hecho_canal, sales, activations, office),
+        lambda: load("hecho_desempeno", scripted.hecho_desempeno, sales, activations, goals, office, seller),
+    )
     parts = [
-        df.agg(F.count("*").alias("filas")).select(F.lit(name).alias("tabla"), "filas") for name, df in loaded.items()
+        loaded[name].agg(F.count("*").alias("filas")).select(F.lit(name).alias("tabla"), "filas") for name in MART_SCHEMAS
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -25,10 +25,11 @@ def text_keys(texts: DataFrame, column: str) -> DataFrame:
     Printable ASCII texts are equal under it where their lower case without trailing blanks
     is. Only the others are compared under the collation, whose collator is one lock to all
     tasks of an executor; they take the key of a printable text equal to them or else the least
-    of their own.
+    of their own. The texts are written with their keys: a minimum over them does not depend on
+    repeats, so Catalyst would leave the distinct out and compare all rows.
     """
     text = F.col(column)
-    keyed = texts.withColumn("_key", F.when(text.rlike(PRINTABLE), F.lower(F.rtrim(text))))
+    keyed = written(texts.withColumn("_key", F.when(text.rlike(PRINTABLE), F.lower(F.rtrim(text)))), "texts")
     plain, odd = keyed.filter("_key is not null"), keyed.filter("_key is null").drop("_key")
     if odd.isEmpty():
         return plain
@@ -40,12 +41,8 @@ def text_keys(texts: DataFrame, column: str) -> DataFrame:
 
 
 def canonical_texts(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Each distinct text with the least of the texts equal to it under the collation.
-
-    The distinct texts are written first: the least of a group does not depend on repeats, so
-    Catalyst would leave the distinct out and compare every row of `df`.
-    """
-    texts = text_keys(written(distinct_texts(df, column), "texts"), column)
+    """Each distinct text with the least of the texts equal to it under the collation."""
+    texts = text_keys(distinct_texts(df, column), column)
     heads = texts.groupBy("_key").agg(F.min(column).alias(name))
     return texts.join(heads, "_key").drop("_key")
 
@@ -57,7 +54,7 @@ def equal_texts(left: DataFrame, column: str, right: DataFrame, other: str) -> D
         for df, c, mine in ((left, column, True), (right, other, False))
     ]
     held = sides[0].unionByName(sides[1]).groupBy("_text").agg(F.max("_left").alias("_left"), F.max("_right").alias("_right"))
-    keyed = text_keys(written(held, "texts"), "_text")
+    keyed = text_keys(held, "_text")
     a = keyed.filter("_left").select("_key", F.col("_text").alias(column))
     b = keyed.filter("_right").select("_key", F.col("_text").alias(other))
     return a.join(b, "_key").drop("_key")
